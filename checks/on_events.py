@@ -110,7 +110,7 @@ add(
     "E11_flatten_snapshots",
     lambda i: payload.flatten_snapshots(i.snapshots),
     """WITH s AS (SELECT *, CAST(regexp_extract(props, '[0-9]+') AS INTEGER) AS k, CAST(event_id AS VARCHAR) AS polled FROM events),
- r AS (SELECT *, unnest(range(1, 2 + user_id % 3)) AS region FROM s)
+ r AS (SELECT *, CAST(unnest(range(1, 2 + user_id % 3)) AS INTEGER) AS region FROM s)
  SELECT 'national_intensity' AS event_type, polled AS "timestamp", 'a' AS "from", 'b' AS "to", value AS forecast,
   value + 1 AS actual, 'low' AS "index", CAST(NULL AS VARCHAR) AS fuel, CAST(NULL AS DOUBLE) AS percentage, CAST(NULL AS INTEGER) AS region_id,
   CAST(NULL AS VARCHAR) AS region_name, CAST(NULL AS VARCHAR) AS dno_region FROM s

@@ -39,7 +39,7 @@ add(
 )
 add(
     "P2_typed_casts",
-    lambda i: cleaning.conform(i.annual_raw, silver.ANNUAL_COUNTS),
+    lambda i: cleaning.conform(i.annual_raw, {**silver.ANNUAL_COUNTS, "latitude": cleaning.real}),
     "SELECT * EXCLUDE (l_partkey, l_linenumber) FROM annual_typed",
 )
 add(
@@ -64,7 +64,7 @@ add(
 add(
     "P5_not_null",
     lambda i: counted(
-        cleaning.conform(i.annual_raw, silver.ANNUAL_COUNTS).filter(
+        cleaning.conform(i.annual_raw, {**silver.ANNUAL_COUNTS, "latitude": cleaning.real}).filter(
             cleaning.all_present("latitude", "longitude", "year", "count_point_id")
         ),
         "year",

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from checks import oracle as o
 from checks.registry import add, all_of, counted, count_sql
 from checks.standins import BASE_YEAR, LAST_BASE_YEAR
+from viagrid.functions import cleaning
 from viagrid.operators import compare, lookup, quality, ranking
-from viagrid.plans import annual, dates, hourly, measures, safety, serving
+from viagrid.plans import annual, dates, hourly, measures, safety, serving, silver
 
 col = F.col
 
@@ -405,10 +406,10 @@ def rows_rule(key, get, table, source, rules, tests):
 
 
 def typed_annual(i):
-    from viagrid.functions.cleaning import conform
-    from viagrid.plans.silver import ANNUAL_COUNTS
-
-    return conform(i.annual_raw, ANNUAL_COUNTS)
+    """Typed but unfiltered counts, with missing coordinates as NULL."""
+    return cleaning.conform(
+        i.annual_raw, {**silver.ANNUAL_COUNTS, "latitude": cleaning.real, "longitude": cleaning.real}
+    )
 
 
 add(

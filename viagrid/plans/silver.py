@@ -11,10 +11,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from viagrid.functions import cleaning, labels, metrics
-from viagrid.functions.cleaning import capitals, conform, day, real, stripped, title_case, whole
+from viagrid.functions.cleaning import capitals, conform, day, place, real, stripped, title_case, whole
 from viagrid.operators.keyed import one_per_key
 
-PLACE = {"latitude": real, "longitude": real}
+PLACE = {"latitude": place, "longitude": place}
 VOLUMES = dict.fromkeys((*metrics.VEHICLE_KINDS, "all_motor_vehicles"), whole)
 
 ANNUAL_COUNTS = {
