@@ -95,12 +95,15 @@ add(
 
 
 def deduplicated(i: Inputs) -> DataFrame:
-    """A log that holds every event twice, streamed through the repeat filter."""
+    """A log that holds every event twice, streamed through the repeat filter.
+
+    The delay is longer than the time the events span, so none can be late.
+    """
     base = work_folder(i.spark, "E10")
     log = f"{base}/log"
     sinks.append_rows(i.envelopes, log)
     sinks.append_rows(i.envelopes, log)
-    distinct = jobs.without_repeats(jobs.folder_log(i.spark, log))
+    distinct = jobs.without_repeats(jobs.folder_log(i.spark, log), "60 days")
     jobs.ingest(distinct, f"{base}/out", f"{base}/progress")
     return i.spark.read.parquet(f"{base}/out")
 

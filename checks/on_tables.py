@@ -9,7 +9,8 @@ from checks.registry import add, all_of, counted, count_sql
 from checks.standins import BASE_YEAR, LAST_BASE_YEAR
 from viagrid.functions import cleaning
 from viagrid.operators import compare, lookup, quality, ranking
-from viagrid.plans import annual, dates, hourly, measures, safety, serving, silver
+from viagrid.plans import annual, dates, domain, hourly, measures, safety, serving, silver
+from viagrid.session import work_folder
 
 col = F.col
 
@@ -195,6 +196,22 @@ add(
 add("A20_rows_per_event_type", lambda i: counted(i.events, "event_type"), count_sql("carbon_events", "event_type"))
 add("A21_V7_capacity_utilisation", lambda i: hourly.capacity_utilisation(i.peaks, i.point_dim), all_of("capacity"))
 
+
+
+def domain_gold(i, table: str):
+    """A gold table of a whole run over hourly counts and collisions, read back."""
+    raw = {
+        "count_points": i.hourly_points_raw, "counts": i.hourly_raw, "regions": i.regions_raw,
+        "local_authorities": i.authorities_raw, "collisions": i.collisions_raw,
+        "vehicles": i.vehicles_raw, "casualties": i.casualties_raw,
+    }
+    paths = domain.run(i.spark, raw, work_folder(i.spark, "domain"), dates.spine_of(i.hourly_counts))
+    return i.spark.read.parquet(paths[table])
+
+
+add("A4_domain_run_co2", lambda i: domain_gold(i, "fact_co2_emissions"), all_of("fact_co2_hourly"))
+add("A9_domain_run_casualties", lambda i: domain_gold(i, "fact_casualty_demographics"), CASUALTY_SQL)
+
 # ============================================================ dimensions
 add("D1_dim_date", lambda i: i.annual_dates, all_of("annual_dates"))
 add(

@@ -118,3 +118,22 @@ def test_hotspot_scores_and_ranks(accidents):
 def test_ksi_counts(accidents):
     for row in safety.accident_summary(accidents[0]).collect():
         assert row.ksi_count == row.fatal_count + row.serious_count <= row.total_collisions
+
+
+def test_domain_run_writes_what_the_tables_say(spark, tmp_path, values):
+    from checks.standins import Inputs
+    from viagrid.plans import dates, domain
+
+    i = Inputs(spark, "/root/testdata/sf0.001")
+    raw = {
+        "count_points": i.hourly_points_raw, "counts": i.hourly_raw, "regions": i.regions_raw,
+        "local_authorities": i.authorities_raw, "collisions": i.collisions_raw,
+        "vehicles": i.vehicles_raw, "casualties": i.casualties_raw,
+    }
+    paths = domain.run(spark, raw, str(tmp_path), dates.spine_of(i.hourly_counts))
+    direct = domain.gold_tables(domain.silver_tables(raw), dates.spine_of(i.hourly_counts))
+    assert set(paths) == set(direct) == set(domain.GOLD_LAYOUT)
+    for name, path in paths.items():
+        columns = sorted(direct[name].columns)
+        assert values(spark.read.parquet(path), *columns) == values(direct[name], *columns), name
+    assert (tmp_path / "gold/fact_co2_emissions").exists() and list((tmp_path / "silver/counts").glob("year=*"))

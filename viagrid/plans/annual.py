@@ -44,30 +44,51 @@ def sums(names: dict[str, str]) -> list[Column]:
     return [F.sum(source).alias(name) for name, source in names.items()]
 
 
-def traffic_summary(counts: DataFrame, regions: DataFrame, strict: bool = False) -> DataFrame:
-    """Volumes, HGV share, freight and green index per region, road type and year."""
-    totals = (
+def regional_totals(counts: DataFrame, regions: DataFrame) -> DataFrame:
+    """Everything summed per region, road type and year.
+
+    Summary, CO2, vehicle mix and base-year comparison all follow from it, so a
+    run that builds them together reads the counts once. A table built on its
+    own computes only the sums it needs, as Catalyst drops the rest.
+    """
+    volumes = (*metrics.VEHICLE_KINDS, "all_motor_vehicles", "total_vehicles")
+    return (
         with_region(counts, regions)
         .groupBy(*GROUP, "year")
         .agg(
-            *sums(SUMMARY_SUMS),
+            *sums({name: name for name in volumes}),
+            *co2_sums({"car_co2": "cars_and_taxis", "hgv_co2": "all_hgvs"}),
             F.count_distinct("count_point_id").alias("count_points_observed"),
             metrics.exact_mean(F.col("hgv_percentage"), 2).alias("avg_hgv_pct"),
         )
-        .withColumns(
-            {
-                "freight_vehicles": metrics.added(["total_lgvs", "total_hgvs"]),
-                "green_transport_index": metrics.green_index(
-                    "total_cycles", "total_buses", "total_all_vehicles"
-                ),
-            }
-        )
+    )
+
+
+def _renamed(names: dict[str, str]) -> list[Column]:
+    return [F.col(source).alias(name) for name, source in names.items()]
+
+
+def summary_from(totals: DataFrame, strict: bool = False) -> DataFrame:
+    summary = totals.select(
+        *GROUP, "year", *_renamed(SUMMARY_SUMS), "count_points_observed", "avg_hgv_pct"
+    ).withColumns(
+        {
+            "freight_vehicles": metrics.added(["total_lgvs", "total_hgvs"]),
+            "green_transport_index": metrics.green_index(
+                "total_cycles", "total_buses", "total_all_vehicles"
+            ),
+        }
     )
     return with_growth(
-        totals, "total_all_vehicles", GROUP, "prev_year_vehicles", "yoy_change_pct", strict
+        summary, "total_all_vehicles", GROUP, "prev_year_vehicles", "yoy_change_pct", strict
     )
 
 
+def traffic_summary(counts: DataFrame, regions: DataFrame, strict: bool = False) -> DataFrame:
+    """Volumes, HGV share, freight and green index per region, road type and year."""
+    return summary_from(regional_totals(counts, regions), strict)
+
+
 def with_co2(counts: DataFrame) -> DataFrame:
     """Per-row CO2 estimates in kg by kind of vehicle, and their sum."""
     names = {f"co2_{kind}_kg": metrics.co2_kg(kind) for kind in metrics.VEHICLE_KINDS}
@@ -84,23 +105,19 @@ def co2_sums(kinds: dict[str, str]) -> list[Column]:
     ]
 
 
+def co2_from(totals: DataFrame) -> DataFrame:
+    weights = ("total_co2", "car_co2", "hgv_co2")
+    return totals.select(
+        *GROUP,
+        "year",
+        *(metrics.tonnes(F.col(name)).alias(f"{name}_tonnes") for name in weights),
+        F.col("all_motor_vehicles").alias("total_vehicle_count"),
+    ).withColumn("co2_per_vehicle_kg", co2_per_vehicle())
+
+
 def co2_emissions(counts: DataFrame, regions: DataFrame) -> DataFrame:
     """CO2 per region, road type and year; the count is of motor vehicles."""
-    return (
-        with_region(counts, regions)
-        .groupBy(*GROUP, "year")
-        .agg(
-            *co2_sums({"car_co2": "cars_and_taxis", "hgv_co2": "all_hgvs"}),
-            F.sum("all_motor_vehicles").alias("total_vehicle_count"),
-        )
-        .select(
-            *GROUP,
-            "year",
-            *(metrics.tonnes(F.col(name)).alias(f"{name}_tonnes") for name in ("total_co2", "car_co2", "hgv_co2")),
-            "total_vehicle_count",
-        )
-        .withColumn("co2_per_vehicle_kg", co2_per_vehicle())
-    )
+    return co2_from(regional_totals(counts, regions))
 
 
 def co2_per_vehicle() -> Column:
@@ -123,11 +140,16 @@ def mix_shares(totals: DataFrame, by: list[str], strict: bool = False) -> DataFr
     )
 
 
-def vehicle_mix(counts: DataFrame, regions: DataFrame, strict: bool = False) -> DataFrame:
-    totals = with_region(counts, regions).groupBy("region_name", "year").agg(*sums(MIX_SUMS))
+def mix_from(counted: DataFrame, strict: bool = False) -> DataFrame:
+    """The mix from counts or totals that carry a region name."""
+    totals = counted.groupBy("region_name", "year").agg(*sums(MIX_SUMS))
     return mix_shares(totals, ["region_name"], strict)
 
 
+def vehicle_mix(counts: DataFrame, regions: DataFrame, strict: bool = False) -> DataFrame:
+    return mix_from(with_region(counts, regions), strict)
+
+
 def road_analysis(counts: DataFrame, regions: DataFrame) -> DataFrame:
     """Volumes and vehicles per km of each road."""
     return (
@@ -148,24 +170,30 @@ def road_analysis(counts: DataFrame, regions: DataFrame) -> DataFrame:
     )
 
 
+def impact_from(
+    totals: DataFrame, base_year: int = 2019, last_year: int = 2025, base_name: str | None = None
+) -> DataFrame:
+    base_name = base_name or f"baseline_{base_year}"
+    volume = F.col("total_vehicles")
+    return (
+        totals.filter(F.col("year").between(base_year, last_year))
+        .select(*GROUP, "year", *_renamed(MOTOR_SUMS))
+        .withColumns(
+            {
+                base_name: base_value("total_vehicles", GROUP, base_year),
+                "yoy_change": metrics.change(volume, previous("total_vehicles", GROUP), 0),
+            }
+        )
+        .withColumn("recovery_pct", metrics.percent(volume, F.col(base_name)))
+    )
+
+
 def covid_impact(
     counts: DataFrame, regions: DataFrame, base_year: int = 2019, last_year: int = 2025,
     base_name: str | None = None,
 ) -> DataFrame:
     """Motor volumes from a base year on, as a percentage of the base year."""
-    base_name = base_name or f"baseline_{base_year}"
-    totals = (
-        with_region(counts.filter(F.col("year").between(base_year, last_year)), regions)
-        .groupBy(*GROUP, "year")
-        .agg(*sums(MOTOR_SUMS))
-    )
-    volume = F.col("total_vehicles")
-    return totals.withColumns(
-        {
-            base_name: base_value("total_vehicles", GROUP, base_year),
-            "yoy_change": metrics.change(volume, previous("total_vehicles", GROUP), 0),
-        }
-    ).withColumn("recovery_pct", metrics.percent(volume, F.col(base_name)))
+    return impact_from(regional_totals(counts, regions), base_year, last_year, base_name)
 
 
 def latest_year(counts: DataFrame) -> Column:

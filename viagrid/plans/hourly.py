@@ -81,15 +81,15 @@ def _resummed(names) -> list[Column]:
     return [F.sum(name).alias(name) for name in names]
 
 
-def yoy_regional(counts: DataFrame, points: DataFrame, strict: bool = False) -> DataFrame:
-    """Volumes per region, road type and year, with growth.
+def yoy_from(yearly: DataFrame, points: DataFrame, strict: bool = False) -> DataFrame:
+    """Growth per region and road type, from ``point_years``.
 
-    After ``point_years`` each row is another count point, so counting rows
-    counts distinct points.
+    There each row is another count point, so counting rows counts distinct
+    points.
     """
     group = ["region_name", "road_type"]
     totals = (
-        with_point(point_years(counts), points, group)
+        with_point(yearly, points, group)
         .groupBy(*group, "year")
         .agg(
             F.sum("total").alias("total_vehicles"),
@@ -102,15 +102,20 @@ def yoy_regional(counts: DataFrame, points: DataFrame, strict: bool = False) ->
     return with_growth(totals, "total_vehicles", group, "prev_year_vehicles", "yoy_change_pct", strict)
 
 
-def co2_emissions(counts: DataFrame, points: DataFrame, heavy_in_tonnes: bool = False) -> DataFrame:
-    """CO2 per region, authority, road type and year.
+def yoy_regional(counts: DataFrame, points: DataFrame, strict: bool = False) -> DataFrame:
+    """Volumes per region, road type and year, with growth."""
+    return yoy_from(point_years(counts), points, strict)
+
+
+def co2_from(yearly: DataFrame, points: DataFrame, heavy_in_tonnes: bool = False) -> DataFrame:
+    """CO2 per region, authority, road type and year, from ``point_years``.
 
     ``bus_co2_tonnes`` and ``lgv_co2_tonnes`` carry kilograms, as the consumers
     of this table expect; ``heavy_in_tonnes`` makes them what they are called.
     """
     group = ["region_name", "local_authority_name", "road_type"]
     totals = (
-        with_point(point_years(counts), points, group)
+        with_point(yearly, points, group)
         .groupBy(*group, "year")
         .agg(
             *_resummed(["total_co2", *CO2_KINDS]),
@@ -131,20 +136,28 @@ def co2_emissions(counts: DataFrame, points: DataFrame, heavy_in_tonnes: bool =
     ).withColumn("co2_per_vehicle_kg", co2_per_vehicle())
 
 
-def vehicle_mix(counts: DataFrame, points: DataFrame, strict: bool = False) -> DataFrame:
+def co2_emissions(counts: DataFrame, points: DataFrame, heavy_in_tonnes: bool = False) -> DataFrame:
+    return co2_from(point_years(counts), points, heavy_in_tonnes)
+
+
+def mix_from(yearly: DataFrame, points: DataFrame, strict: bool = False) -> DataFrame:
     totals = (
-        with_point(point_years(counts), points, ["region_name"])
+        with_point(yearly, points, ["region_name"])
         .groupBy("region_name", "year")
         .agg(*_resummed(MIX_SUMS))
     )
     return mix_shares(totals, ["region_name"], strict)
 
 
-def active_travel(counts: DataFrame, points: DataFrame, strict: bool = False) -> DataFrame:
-    """Cycling share per authority and year, and its change."""
+def vehicle_mix(counts: DataFrame, points: DataFrame, strict: bool = False) -> DataFrame:
+    return mix_from(point_years(counts), points, strict)
+
+
+def travel_from(yearly: DataFrame, points: DataFrame, strict: bool = False) -> DataFrame:
+    """Cycling share per authority and year, and its change, from ``point_years``."""
     group = ["region_name", "local_authority_name"]
     totals = (
-        with_point(point_years(counts), points, group)
+        with_point(yearly, points, group)
         .groupBy(*group, "year")
         .agg(
             F.sum("cycles").alias("total_cycles"),
@@ -165,6 +178,10 @@ def active_travel(counts: DataFrame, points: DataFrame, strict: bool = False) ->
     )
 
 
+def active_travel(counts: DataFrame, points: DataFrame, strict: bool = False) -> DataFrame:
+    return travel_from(point_years(counts), points, strict)
+
+
 def count_point_dim(points: DataFrame) -> DataFrame:
     return points.select(
         "count_point_id", "road_name", "road_type", "region_name",

@@ -9,6 +9,7 @@ from pyspark.sql.utils import AnalysisException
 from viagrid.functions.cleaning import whole
 from viagrid.operators.lookup import missing_from
 from viagrid.plans import annual, dates, silver
+from viagrid.session import work_folder
 from viagrid.sources import sinks
 
 NOTHING_YET = 1999
@@ -77,14 +78,20 @@ def rebuild_silver(spark: SparkSession, bronze: str, silver_base: str) -> None:
 def gold_tables(
     counts: DataFrame, regions: DataFrame, authorities: DataFrame, base_year: int = 2019,
     last_year: int = 2030, busiest_year: int | None = None, first_day_year: int | None = 2000,
+    totals: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
-    """The eight gold tables on annual flows, by name."""
+    """The eight gold tables on annual flows, by name.
+
+    ``totals`` are the regional totals where they are stored already.
+    """
+    if totals is None:
+        totals = annual.regional_totals(counts, regions)
     return {
-        "fact_traffic_summary": annual.traffic_summary(counts, regions),
-        "fact_co2_emissions": annual.co2_emissions(counts, regions),
-        "fact_vehicle_mix": annual.vehicle_mix(counts, regions),
+        "fact_traffic_summary": annual.summary_from(totals),
+        "fact_co2_emissions": annual.co2_from(totals),
+        "fact_vehicle_mix": annual.mix_from(totals),
         "fact_road_analysis": annual.road_analysis(counts, regions),
-        "fact_covid_impact": annual.covid_impact(counts, regions, base_year, last_year),
+        "fact_covid_impact": annual.impact_from(totals, base_year, last_year),
         "fact_busiest_roads": annual.busiest_roads(counts, regions, busiest_year),
         "dim_location": annual.location(counts, regions, authorities),
         "dim_date": dates.date_dim(dates.spine_of(counts, first_day_year)),
@@ -92,13 +99,17 @@ def gold_tables(
 
 
 def rebuild_gold(spark: SparkSession, silver_base: str, gold_base: str, **options) -> dict[str, str]:
-    """All gold tables from silver, unpartitioned so that the files keep ``year``."""
-    tables = gold_tables(
-        spark.read.parquet(f"{silver_base}/counts"),
-        spark.read.parquet(f"{silver_base}/regions"),
-        spark.read.parquet(f"{silver_base}/local_authorities"),
-        **options,
+    """All gold tables from silver, unpartitioned so that the files keep ``year``.
+
+    The regional totals are written first and read by the four tables that
+    follow from them, so these do not read the counts again.
+    """
+    counts, regions, authorities = (
+        spark.read.parquet(f"{silver_base}/{name}") for name in ("counts", "regions", "local_authorities")
     )
+    kept = work_folder(spark, "regional-totals")
+    sinks.write_table(annual.regional_totals(counts, regions), kept)
+    tables = gold_tables(counts, regions, authorities, **options, totals=spark.read.parquet(kept))
     paths = {name: f"{gold_base}/{name}" for name in tables}
     for name, df in tables.items():
         sinks.write_table(df, paths[name])

@@ -31,12 +31,15 @@ def write_table(
 ) -> None:
     """Write a table, with its schema replaced on overwrite.
 
-    The rebalance lets AQE even out the files: rows of one partition value go
-    together, yet a value that holds most rows is split over several tasks.
-    ``replace_only_present`` overwrites just the partitions that ``df`` has rows
-    for, so repeating a load leaves the same table.
+    Without partitions the rows are written where they are. With partitions they
+    are rebalanced first: rows of one value go together, so that not every task
+    writes to every folder, yet AQE splits a value that holds most rows over
+    several tasks. ``replace_only_present`` overwrites just the partitions that
+    ``df`` has rows for, so repeating a load leaves the same table.
     """
-    writer = df.hint("rebalance", *partition_by).write.mode(mode).format(fmt)
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
+    writer = df.write.mode(mode).format(fmt)
     if fmt == "delta":
         writer = writer.option("overwriteSchema", "true")
     if partition_by:

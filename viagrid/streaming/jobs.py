@@ -51,14 +51,16 @@ def ingest(log: DataFrame, bronze_path: str, checkpoint: str, trigger: dict = DR
     query.awaitTermination()
 
 
-def without_repeats(log: DataFrame, delay: str = "1 day") -> DataFrame:
-    """Drop events that a producer or an earlier run sent again within ``delay``.
+def without_repeats(log: DataFrame, delay: str | None = "1 day") -> DataFrame:
+    """Drop events that a producer or an earlier run sent again.
 
-    Streaming state keeps a key until the watermark passes it; on stored events
-    it is a plain deduplication.
+    On a stream, a key is remembered until the watermark has passed it by
+    ``delay``. Spark leaves out rows that come later than that, so the delay
+    must cover how late an event can be; with None every key is remembered for
+    good and nothing is ever late. On stored events it is a plain deduplication.
     """
     keys = ["partition_id", "sequence_number"]
-    if not log.isStreaming:
+    if not log.isStreaming or delay is None:
         return log.dropDuplicates(keys)
     timed = log.withColumn("_at", F.col("enqueued_time").try_cast("timestamp"))
     return timed.withWatermark("_at", delay).dropDuplicatesWithinWatermark(keys).drop("_at")
