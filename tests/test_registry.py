@@ -47,6 +47,8 @@ def test_query_equals_its_sql(spark, key):
     for name in TABLES:
         duck.execute(f"CREATE VIEW {name} AS SELECT * FROM '{FOLDER}/{name}.parquet'")
     frame = contract.queries()[key](spark, FOLDER)
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan and "Python" not in plan
     found = duck.execute(contract.oracle_sql()[key])
     names = [column[0] for column in found.description]
     assert sorted(names) == sorted(frame.columns)

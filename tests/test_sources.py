@@ -149,3 +149,27 @@ def test_shares_of_a_mix_and_sums_are_kept(spark):
     summary = annual.traffic_summary(counts, regions)
     assert summary.agg(F.sum("total_all_vehicles")).first()[0] == counts.agg(F.sum("total_vehicles")).first()[0]
     assert silver.annual_counts(raw_counts(spark, [2019])).filter("all_hgvs is null").first().total_vehicles is None
+
+
+def test_year_filter_and_columns_reach_the_scan(spark, tmp_path):
+    path = str(tmp_path / "silver")
+    sinks.write_table(silver.annual_counts(raw_counts(spark, [2019, 2020])), path, sort_by=["year"])
+    regions = silver.named_areas(spark.createDataFrame([("1", "a"), ("2", "b")], "id string, name string"))
+    counts = spark.read.parquet(path)
+    busiest = annual.busiest_roads(counts, regions, 2020)
+    plan = busiest._jdf.queryExecution().explainString(
+        spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    assert "EqualTo(year,2020)" in plan and "CartesianProduct" not in plan
+    assert all("lgvs" not in line for line in plan.splitlines() if line.startswith("ReadSchema"))
+    impact = annual.covid_impact(counts, regions, 2019, 2020)._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(year,2019)" in impact and impact.count("FileScan parquet") == 1
+    assert "count_point_id" not in impact
+
+
+def test_gold_on_stored_totals_reads_the_counts_once(spark, tmp_path):
+    counts = silver.annual_counts(raw_counts(spark, [2019, 2020]))
+    regions = silver.named_areas(spark.createDataFrame([("1", "a"), ("2", "b")], "id string, name string"))
+    sinks.write_table(annual.regional_totals(counts, regions), str(tmp_path / "totals"))
+    totals = spark.read.parquet(str(tmp_path / "totals"))
+    assert sorted(annual.mix_from(totals).collect()) == sorted(annual.vehicle_mix(counts, regions).collect())
+    assert sorted(annual.co2_from(totals).collect()) == sorted(annual.co2_emissions(counts, regions).collect())

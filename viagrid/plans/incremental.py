@@ -64,7 +64,10 @@ def refresh_reference(tables: dict[str, DataFrame], base: str) -> None:
 
 
 def rebuild_silver(spark: SparkSession, bronze: str, silver_base: str) -> None:
-    """All silver tables from the raw ones, count points included."""
+    """All silver tables from the raw ones, count points included.
+
+    Files are sorted by year where there is one, as gold filters on it.
+    """
     tables = {
         "counts": silver.annual_counts(read_loaded(spark, f"{bronze}/counts")),
         "regions": silver.named_areas(spark.read.parquet(f"{bronze}/regions")),
@@ -72,7 +75,8 @@ def rebuild_silver(spark: SparkSession, bronze: str, silver_base: str) -> None:
         "count_points": silver.annual_count_points(spark.read.parquet(f"{bronze}/count_points")),
     }
     for name, df in tables.items():
-        sinks.write_table(sinks.with_processed_time(df), f"{silver_base}/{name}")
+        order = ["year"] if "year" in df.columns else []
+        sinks.write_table(sinks.with_processed_time(df), f"{silver_base}/{name}", sort_by=order)
 
 
 def gold_tables(

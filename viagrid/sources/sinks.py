@@ -27,7 +27,7 @@ def with_processed_time(df: DataFrame) -> DataFrame:
 
 def write_table(
     df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "overwrite",
-    replace_only_present: bool = False, fmt: str = "parquet",
+    replace_only_present: bool = False, fmt: str = "parquet", sort_by: Sequence[str] = (),
 ) -> None:
     """Write a table, with its schema replaced on overwrite.
 
@@ -35,10 +35,14 @@ def write_table(
     are rebalanced first: rows of one value go together, so that not every task
     writes to every folder, yet AQE splits a value that holds most rows over
     several tasks. ``replace_only_present`` overwrites just the partitions that
-    ``df`` has rows for, so repeating a load leaves the same table.
+    ``df`` has rows for, so repeating a load leaves the same table. ``sort_by``
+    orders each file, without a shuffle, so that filters on those columns skip
+    row groups.
     """
     if partition_by:
         df = df.hint("rebalance", *partition_by)
+    if sort_by:
+        df = df.sortWithinPartitions(*partition_by, *sort_by)
     writer = df.write.mode(mode).format(fmt)
     if fmt == "delta":
         writer = writer.option("overwriteSchema", "true")
