@@ -27,9 +27,9 @@ SAMPLE = (
 
 
 def test_every_operator_has_a_query_and_sql():
-    covered = {part for key in contract.queries() for part in re.findall(r"(?:^|_)([A-Z]{1,2}\d+b?)(?=_)", key)}
+    covered = {part for key in contract.QUERIES for part in re.findall(r"(?:^|_)([A-Z]{1,2}\d+b?)(?=_)", key)}
     assert not [i for i in IDS if i not in covered]
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(contract.QUERIES) == set(contract.ORACLES)
 
 
 needs_data = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test data")
