@@ -142,10 +142,9 @@ def contained_items(docs: DataFrame, benchmark: DataFrame, percent: int = 80, pa
 
 
 def without_test_items(docs: DataFrame, benchmark: DataFrame, percent: int = 80) -> DataFrame:
-    """``docs`` without the documents that hold a test item; a null id goes only if no text is behind it.
+    """The rows of ``docs`` that hold no test item.
 
-    Documents are left out by id; rows with a null id are searched and left out
-    by text.
+    Documents go by id, those with a null id by their text's hash.
     """
     named, unnamed = docs.where(F.col("doc_id").isNotNull()), docs.where(F.col("doc_id").isNull())
     hit = contained_items(named, benchmark, percent).select(F.col("doc_id").alias("__hit")).distinct()

@@ -13,7 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from viagrid.llm.components import components, stored
@@ -229,12 +229,6 @@ def without_near_duplicates(docs: DataFrame, percent: int = 80, id_col: str = "d
     keep = found.where(F.col("kept") & F.col(id_col).isNotNull()).select(F.col(id_col).alias("__kept")).distinct()
     named = docs.where(F.col(id_col).isNotNull()).join(keep, F.col(id_col).cast("long") == F.col("__kept")).drop("__kept")
     order = F.struct(*(F.col(c) for c in docs.columns if c != id_col)) if len(docs.columns) > 1 else F.lit(0)
-    rank = F.row_number().over(_window(id_col, order))
+    rank = F.row_number().over(Window.partitionBy(id_col).orderBy(order))
     one = named.withColumn("__rank", rank).where("__rank = 1").drop("__rank")
     return one.unionByName(docs.where(F.col(id_col).isNull()))
-
-
-def _window(id_col: str, order: Column):
-    from pyspark.sql import Window
-
-    return Window.partitionBy(id_col).orderBy(order)

@@ -4,9 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from viagrid.llm import decontam, neardup
+import corpus_pipeline
+from viagrid.llm import decontam, mixing, neardup, pseudonyms, quality, rules, secrets, tokens, warc, wavelet
+
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+#: Key of the pseudonyms over test tables; real runs pass their own.
+TEST_KEY = b"key for test tables only"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -55,6 +61,48 @@ SELECT doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(root, doc_id) AS compone
 FROM documents LEFT JOIN n ON n.id = doc_id LEFT JOIN roots ON u = doc_id
 """
 
+#: Base 32 of a SHA-1, five bits at a time.
+OP5_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+d AS (SELECT page_id, octet_length(encode(h)) AS b, unhex(sha1(h))::BIT::VARCHAR AS bits, max(page_id) OVER (PARTITION BY h) AS f FROM p)
+SELECT page_id, b AS payload_bytes, list_aggregate(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1
+        + 16 * substr(bits, 5 * i + 1, 1)::INT + 8 * substr(bits, 5 * i + 2, 1)::INT + 4 * substr(bits, 5 * i + 3, 1)::INT
+        + 2 * substr(bits, 5 * i + 4, 1)::INT + substr(bits, 5 * i + 5, 1)::INT, 1)), 'string_agg', '') AS payload_digest,
+    CASE WHEN f = page_id THEN 'response' ELSE 'revisit' END AS record_type, nullif(f, page_id) AS refers_to
+FROM d
+"""
+
+
+@registered()
+def op1_secret_spans(spark: SparkSession, folder: str) -> DataFrame:
+    """Secrets by pattern, and by guess cost in credential contexts."""
+    return secrets.secrets(table(spark, folder, "documents"))
+
+
+@registered()
+def op2_quality_discriminant(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality scores by quadratic discriminant analysis."""
+    return quality.scored(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@registered()
+def op3_wavelet_shards(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents' token ids, written to wavelet shards and read back."""
+    return wavelet.read_documents(wavelet.write_shards(table(spark, folder, "documents"), TOKENIZER))
+
+
+@registered()
+def op4_cube_mixture(spark: SparkSession, folder: str) -> DataFrame:
+    """Words that the mix takes of every document."""
+    drawn = mixing.copies(table(spark, folder, "documents"))
+    return drawn.select("doc_id", "size", "source_size", "target", "taken")
+
+
+@registered(OP5_SQL)
+def op5_seekable_archives(spark: SparkSession, folder: str) -> DataFrame:
+    """Records of the pages' archives, read back by their index."""
+    return warc.read_archives(warc.write_archives(table(spark, folder, "pages")))
+
 
 @registered(OP6_SQL)
 def op6_contained_items(spark: SparkSession, folder: str) -> DataFrame:
@@ -62,7 +110,31 @@ def op6_contained_items(spark: SparkSession, folder: str) -> DataFrame:
     return decontam.contained_items(table(spark, folder, "documents"), table(spark, folder, "benchmark"), 80)
 
 
+@registered()
+def op7_rule_verdicts(spark: SparkSession, folder: str) -> DataFrame:
+    """Counts, base rules and the isolation forest's verdict."""
+    return rules.judged(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@registered()
+def op8_feistel_pseudonyms(spark: SparkSession, folder: str) -> DataFrame:
+    """Texts with personal numbers, dates and addresses replaced in their format."""
+    return pseudonyms.pseudonymised(table(spark, folder, "documents"), TEST_KEY)
+
+
+@registered()
+def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Tokens of every document."""
+    return tokens.token_counts(table(spark, folder, "documents"), TOKENIZER)
+
+
 @registered(OP10_SQL)
 def op10_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     """Components of documents linked at a similarity of 0.85 or more."""
     return neardup.near_duplicates(table(spark, folder, "documents"), 85)
+
+
+@registered(corpus_pipeline.ORACLE_SQL)
+def pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    """The corpus pipeline over documents."""
+    return corpus_pipeline.run(spark, folder)
