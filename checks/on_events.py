@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,12 +20,30 @@ from viagrid.streaming import carbon, jobs, payload
 col = F.col
 
 
+ENVELOPE = ["raw_json", "partition_id", "enqueued_time", "sequence_number"]
+
+
 def event_stream(i: Inputs) -> DataFrame:
     """The events table as a stream of envelopes."""
     schema = i.table("events").schema
     return envelopes(jobs.folder_log(i.spark, f"{i.folder}/events*.parquet", schema))
 
 
+def in_batches(i: Inputs, label: str, parts: dict[str, str]) -> DataFrame:
+    """The envelopes as a stream of several batches, a file each, in the order given; ``parts`` are conditions."""
+    base = work_folder(i.spark, label)
+    for number, condition in enumerate(parts.values()):
+        rows = i.envelopes.filter(condition).coalesce(1)
+        sinks.write_table(rows, f"{base}/{number}")
+        time.sleep(1.1)  # files are taken by their time of writing
+    return jobs.folder_log(i.spark, f"{base}/*", files_per_batch=1)
+
+
+#: Three batches: the third hours of days, then all but every fifth event of the rest, then those, which come late.
+HOUR = "cast(substr(enqueued_time, 12, 2) as int)"
+THREE = {"some": f"{HOUR} % 3 = 0", "most": f"{HOUR} % 3 > 0 and sequence_number % 5 > 0", "late": f"{HOUR} % 3 > 0 and sequence_number % 5 = 0"}
+
+
 def bronze(i: Inputs, base: str) -> str:
     path = f"{base}/bronze"
     jobs.ingest(event_stream(i), path, f"{base}/ingest-progress")
@@ -34,7 +54,7 @@ def ingested(i: Inputs) -> DataFrame:
     """Bronze after two runs of the ingestion: the second finds nothing new."""
     base = work_folder(i.spark, "E1")
     bronze(i, base)
-    return i.spark.read.parquet(bronze(i, base))
+    return i.spark.read.parquet(bronze(i, base)).select(ENVELOPE)
 
 
 ENVELOPE_SQL = """SELECT kind AS event_type, CAST(user_id % 2 AS VARCHAR) AS partition_id,
@@ -48,7 +68,7 @@ def with_kind(df: DataFrame) -> DataFrame:
 add("E1_ingest_stream", lambda i: with_kind(ingested(i)), ENVELOPE_SQL)
 add(
     "E2_latest_arrival",
-    lambda i: with_kind(carbon.latest_arrival(i.envelopes)),
+    lambda i: with_kind(carbon.latest_arrival(i.spark.read.parquet(bronze(i, work_folder(i.spark, "E2")))).select(ENVELOPE)),
     f"""SELECT * FROM ({ENVELOPE_SQL}) WHERE enqueued_time = (SELECT strftime(MAX(cycle), '%Y-%m-%d %H:%M:%S') FROM event_base)""",
 )
 add("E3_latest_cycle", lambda i: i.latest_events, all_of("latest_events"))
@@ -61,13 +81,7 @@ def routed(i: Inputs, latest_only: bool) -> tuple[str, str]:
     return f"{base}/silver", f"{base}/gold"
 
 
-GOLD_SQL = {
-    "gold_national_intensity": o.national,
-    "gold_generation_mix": o.fuel_mix,
-    "gold_regional_intensity": o.regional,
-    "gold_regional_generation": o.regional_fuels,
-    "gold_renewable_summary": o.renewables,
-}
+GOLD_SQL = o.EVENT_SQL
 add(
     "E4_stream_routes_silver",
     lambda i: counted(i.spark.read.parquet(routed(i, False)[0]), "event_type", "data_timestamp"),
@@ -75,7 +89,7 @@ add(
 )
 add(
     "E4_stream_gold_generation_mix",
-    lambda i: i.spark.read.parquet(f"{routed(i, False)[1]}/gold_generation_mix"),
+    lambda i: i.spark.read.parquet(f"{routed(i, False)[1]}/gold_generation_mix").drop("on_date"),
     o.fuel_mix("carbon_events"),
 )
 add(
@@ -94,6 +108,45 @@ add(
 )
 
 
+def three_batches(i: Inputs, table: str) -> DataFrame:
+    base = work_folder(i.spark, "E4h")
+    jobs.refresh_tables(in_batches(i, "E4l", THREE), f"{base}/silver", f"{base}/gold", f"{base}/progress", latest_only=False)
+    return i.spark.read.parquet(f"{base}/{table}").drop("on_date")
+
+
+def late_batch(i: Inputs, table: str) -> DataFrame:
+    """The newest cycle in two batches, then all that is older."""
+    newest = i.envelopes.agg(F.max("enqueued_time")).first()[0]
+    parts = {
+        "first half": f"enqueued_time = '{newest}' and sequence_number % 2 = 0",
+        "second half": f"enqueued_time = '{newest}' and sequence_number % 2 = 1", "older": f"enqueued_time < '{newest}'",
+    }
+    base = work_folder(i.spark, "E4n")
+    jobs.refresh_tables(in_batches(i, "E4o", parts), f"{base}/silver", f"{base}/gold", f"{base}/progress")
+    return i.spark.read.parquet(f"{base}/{table}")
+
+
+add(
+    "E4_stream_three_batches_silver",
+    lambda i: counted(three_batches(i, "silver"), "event_type", "data_timestamp"),
+    count_sql("carbon_events", "event_type", "data_timestamp"),
+)
+for name, rule in GOLD_SQL.items():
+    add(f"E4_stream_three_batches_history_{name}", lambda i, n=name: three_batches(i, f"gold/{n}"), rule("carbon_events"))
+    add(f"E4_stream_late_batch_latest_{name}", lambda i, n=name: late_batch(i, f"gold/{n}"), rule("latest_events"))
+
+
+def each_once(i: Inputs) -> str:
+    """Bronze of a log in three batches that holds every event twice, some of it very late."""
+    base = work_folder(i.spark, "E10o")
+    parts = {**THREE, **{f"{name} again": condition for name, condition in THREE.items()}}
+    jobs.ingest_once(in_batches(i, "E10l", parts), f"{base}/bronze", f"{base}/progress")
+    return f"{base}/bronze"
+
+
+add("E10_stream_late_event_kept", lambda i: with_kind(i.spark.read.parquet(each_once(i)).select(ENVELOPE)), ENVELOPE_SQL)
+
+
 def deduplicated(i: Inputs) -> DataFrame:
     """A log that holds every event twice, streamed through the repeat filter.
 
@@ -105,7 +158,7 @@ def deduplicated(i: Inputs) -> DataFrame:
     sinks.append_rows(i.envelopes, log)
     distinct = jobs.without_repeats(jobs.folder_log(i.spark, log), "60 days")
     jobs.ingest(distinct, f"{base}/out", f"{base}/progress")
-    return i.spark.read.parquet(f"{base}/out")
+    return i.spark.read.parquet(f"{base}/out").select(ENVELOPE)
 
 
 add("E10_stream_without_repeats", lambda i: with_kind(deduplicated(i)), ENVELOPE_SQL)
@@ -150,10 +203,20 @@ add("E12_timeline", lambda i: carbon.timeline(i.events), TIMELINE_SQL)
 def streamed_timeline(i: Inputs) -> DataFrame:
     base = work_folder(i.spark, "E12")
     jobs.keep_timeline(event_stream(i), f"{base}/timeline", f"{base}/progress")
-    return i.spark.read.parquet(f"{base}/timeline")
+    return i.spark.read.parquet(f"{base}/timeline").drop("on_date")
+
+
+def timeline_in_batches(i: Inputs) -> DataFrame:
+    """The timeline over the raw table that three late and repeated batches have filled."""
+    base = work_folder(i.spark, "E12b")
+    raw = each_once(i)
+    log = jobs.folder_log(i.spark, raw, i.spark.read.parquet(raw).schema, files_per_batch=200)
+    jobs.keep_timeline(log, f"{base}/timeline", f"{base}/progress")
+    return i.spark.read.parquet(f"{base}/timeline").drop("on_date")
 
 
 add("E12_stream_timeline", streamed_timeline, TIMELINE_SQL)
+add("E12_stream_timeline_in_batches", timeline_in_batches, TIMELINE_SQL)
 add(
     "E12_category_trend",
     lambda i: carbon.category_trend(i.events),

@@ -74,7 +74,7 @@ add(
 add(
     "P6_year_window",
     lambda i: counted(
-        i.hourly_raw.filter(col("year").between(*cleaning.COUNT_YEARS)), "year"
+        i.hourly_raw.filter(cleaning.within_years(2000, 2025)), "year"
     ),
     count_sql("hourly_typed WHERE year BETWEEN 2000 AND 2025", "year"),
 )

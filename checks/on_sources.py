@@ -8,13 +8,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from checks.registry import add, all_of, count_sql, counted, stored, tally, tally_sql
+from checks.oracle import EVENT_SQL
 from checks.standins import BASE_YEAR, LAST_BASE_YEAR, Inputs, envelopes
 from viagrid import schemas
+from viagrid.functions import cleaning
 from viagrid.operators import lookup
-from viagrid.plans import annual, incremental, serving, silver
-from viagrid.session import work_folder
+from viagrid.plans import annual, incremental, layout, raw, serving, silver
+from viagrid.session import folder_exists, work_folder
 from viagrid.sources import catalog, landed, sinks
-from viagrid.streaming import payload
+from viagrid.streaming import carbon, payload
 
 col = F.col
 RECORD = "count_point_id int, year int, cars_and_taxis int"
@@ -41,8 +43,8 @@ def as_json(*columns):
     return F.to_json(F.struct(*columns)).alias("value")
 
 
-def pages(i: Inputs) -> DataFrame:
-    """Customers as page envelopes per region, one page per line, at most 250 keys each."""
+def landed_pages(i: Inputs, lost: int | None = None) -> str:
+    """Customers as page envelopes per region, one page per line, at most 250 keys each; ``lost`` is not landed."""
     rows = i.table("customer").select(
         (col("c_nationkey") % 5).cast("int").alias("region"),
         F.expr(f"cast(1 + c_custkey div {PAGE_ROWS} as int)").alias("current_page"),
@@ -56,36 +58,65 @@ def pages(i: Inputs) -> DataFrame:
     ends = rows.groupBy("region").agg(
         F.max("current_page").alias("last_page"), F.count(F.lit(1)).alias("total")
     )
+    if lost is not None:
+        grouped = grouped.filter(col("current_page") != lost)
     lines = grouped.join(ends, "region").select(
         as_json("region", "current_page", "last_page", "total", F.lit(PAGE_ROWS).alias("per_page"), "data")
     )
-    path = landed_lines(i, "pages", lines)
-    return landed.read_pages(i.spark, path, RECORD, whole_files=False, extra="region int")
+    return landed_lines(i, "pages", lines)
+
+
+def pages(i: Inputs) -> DataFrame:
+    return landed.read_pages(i.spark, landed_pages(i), RECORD, extra="region int")
+
+
+def documents(i: Inputs) -> DataFrame:
+    """Arrays of up to 250 records."""
+    grouped = records(i).groupBy(F.expr(f"count_point_id div {PAGE_ROWS}").alias("page"))
+    return grouped.agg(F.collect_list(F.struct("count_point_id", "year", "cars_and_taxis")).alias("rows"))
 
 
 def rows_envelope(i: Inputs) -> DataFrame:
-    lines = records(i).select(as_json(F.array(F.struct("*")).alias("rows")))
-    return landed.read_rows(i.spark, landed_lines(i, "rows", lines), RECORD, whole_files=False)
+    lines = documents(i).select(as_json("rows"))
+    return landed.read_rows(i.spark, landed_lines(i, "rows", lines), RECORD)
 
 
 def plain_list(i: Inputs) -> DataFrame:
-    lines = records(i).select(F.to_json(F.array(F.struct("*"))).alias("value"))
-    return landed.read_list(i.spark, landed_lines(i, "list", lines), RECORD, whole_files=False)
+    lines = documents(i).select(F.to_json("rows").alias("value"))
+    return landed.read_list(i.spark, landed_lines(i, "list", lines), RECORD)
+
+
+def whole_file(i: Inputs, label: str, lines: DataFrame) -> str:
+    """A folder with a file for each document, written over many lines."""
+    path = work_folder(i.spark, label)
+    spread = lines.withColumn("value", F.regexp_replace("value", r"([{,\[])", "$1\n"))
+    spread.write.partitionBy("page").text(path)
+    return path
+
+
+def rows_envelope_whole(i: Inputs) -> DataFrame:
+    lines = documents(i).select("page", as_json("rows"))
+    return landed.read_rows(i.spark, whole_file(i, "rows", lines), RECORD, whole_files=True)
+
+
+def plain_list_whole(i: Inputs) -> DataFrame:
+    lines = documents(i).select("page", F.to_json("rows").alias("value"))
+    return landed.read_list(i.spark, whole_file(i, "list", lines), RECORD, whole_files=True).drop("page")
 
 
 def mixed_text(i: Inputs) -> DataFrame:
     lines = i.table("customer").select(
         as_json(col("c_custkey").alias("id"), F.when(col("c_custkey") % 2 == 0, col("c_name")).alias("name"))
     )
-    return landed.read_as_text(i.spark, landed_lines(i, "text", lines), whole_files=False)
+    return landed.read_as_text(i.spark, landed_lines(i, "text", lines))
 
 
-def csv_table(i: Inputs, escape: str) -> DataFrame:
-    """Collisions written with a quote, a comma and a backslash in a column, and read back."""
+def csv_table(i: Inputs, escape: str, multi_line: bool = False) -> DataFrame:
+    """Collisions written with quotes and a comma (and a line break) in a column, and read back."""
     path = work_folder(i.spark, "csv")
-    awkward = F.concat(F.lit('say "'), col("time"), F.lit('", then'))
+    awkward = F.concat(F.lit('say "'), col("time"), F.lit('",\nthen' if multi_line else '", then'))
     i.collisions_raw.withColumn("time", awkward).write.option("header", True).option("escape", escape).csv(path)
-    return landed.read_csv(i.spark, path, schemas.COLLISIONS, escape=escape)
+    return landed.read_csv(i.spark, path, schemas.COLLISIONS, escape=escape, multi_line=multi_line)
 
 
 CSV_SQL = """SELECT collision_id AS accident_index, date, 'say "' || time || '", then' AS time, latitude, longitude,
@@ -93,6 +124,7 @@ CSV_SQL = """SELECT collision_id AS accident_index, date, 'say "' || time || '",
  weather_conditions FROM collisions_typed"""
 
 add("S1_json_rows_envelope", rows_envelope, RECORD_SQL)
+add("S1_json_rows_envelope_whole_files", rows_envelope_whole, RECORD_SQL)
 add("S2_json_pages_union", lambda i: landed.page_records(pages(i)), RECORD_SQL)
 add(
     "S2_json_pages_complete",
@@ -102,6 +134,7 @@ add(
  1 + c_custkey // {PAGE_ROWS} AS p FROM customer) GROUP BY region""",
 )
 add("S3_json_plain_list", plain_list, RECORD_SQL)
+add("S3_json_plain_list_whole_files", plain_list_whole, RECORD_SQL)
 add(
     "S4_json_all_text", mixed_text,
     "SELECT CAST(c_custkey AS VARCHAR) AS id, CASE WHEN c_custkey % 2 = 0 THEN c_name END AS name FROM customer",
@@ -112,8 +145,19 @@ add(
     """SELECT CAST(n_nationkey AS VARCHAR) AS n_nationkey, n_name, CAST(n_regionkey AS VARCHAR) AS n_regionkey
  FROM nation""",
 )
+add(
+    "S4_text_of_doubles_casts_back",
+    lambda i: tally(
+        landed.all_text(i.table("orders").select((col("o_orderkey") * 12345.0).alias("amount"))),
+        amount=cleaning.whole(col("amount")),
+    ),
+    tally_sql("orders", amount="TRY_CAST(o_orderkey * 12345 AS INTEGER)"),
+)
 add("S5_csv_doubled_quotes", lambda i: csv_table(i, '"'), CSV_SQL)
 add("S6_csv_backslash_escape", lambda i: csv_table(i, "\\"), CSV_SQL)
+BROKEN_SQL = CSV_SQL.replace("'\", then'", "'\",' || chr(10) || 'then'")
+add("S5_csv_line_breaks", lambda i: csv_table(i, '"', True), BROKEN_SQL)
+add("S6_csv_line_breaks", lambda i: csv_table(i, "\\", True), BROKEN_SQL)
 add(
     "S7_partitioned_table_scan",
     lambda i: counted(
@@ -267,15 +311,12 @@ GOLD_SQL = {
     "fact_vehicle_mix": "fact_mix_annual",
     "fact_road_analysis": "fact_road",
     "fact_covid_impact": "fact_impact",
+    "fact_busiest_roads": "fact_busiest",
     "dim_location": "location",
     "dim_date": "annual_dates",
 }
 
 
-def without_busiest(i: Inputs) -> dict[str, DataFrame]:
-    return {name: df for name, df in gold(i).items() if name in GOLD_SQL}
-
-
 def union_counts(label: str, names: dict[str, str]) -> str:
     return " UNION ALL ".join(
         f"SELECT '{name}' AS {label}, COUNT(*) AS row_count FROM {source}" for name, source in names.items()
@@ -305,7 +346,7 @@ def _partitioned_table(i: Inputs) -> DataFrame:
 
 add(
     "K12_catalog_audit",
-    lambda i: catalog.audit(i.spark, _registered(i, "k12", without_busiest(i))).select(
+    lambda i: catalog.audit(i.spark, _registered(i, "k12", gold(i))).select(
         "table_name", "row_count", "table_type"
     ),
     f"SELECT view_name AS table_name, row_count, 'EXTERNAL' AS table_type FROM ({union_counts('view_name', GOLD_SQL)})",
@@ -319,7 +360,7 @@ add(
 )
 add(
     "K14_refresh_statistics",
-    lambda i: catalog.refresh_statistics(i.spark, _registered(i, "k14", without_busiest(i))).select(
+    lambda i: catalog.refresh_statistics(i.spark, _registered(i, "k14", gold(i))).select(
         "table_name", "status"
     ),
     " UNION ALL ".join(f"SELECT '{name}' AS table_name, 'updated' AS status" for name in GOLD_SQL),
@@ -338,7 +379,7 @@ add(
 )
 add(
     "U1_view_row_counts",
-    lambda i: sinks.row_counts(without_busiest(i)),
+    lambda i: sinks.row_counts(gold(i)),
     union_counts("view_name", GOLD_SQL),
 )
 
@@ -347,17 +388,14 @@ add(
 
 def _batch_views(i: Inputs) -> DataFrame:
     base = work_folder(i.spark, "V8")
-    for name, df in without_busiest(i).items():
+    for name, df in gold(i).items():
         sinks.write_table(df, f"{base}/{name}")
-    shown = {view: folder for view, folder in serving.BATCH_VIEWS.items() if folder in GOLD_SQL}
-    return sinks.row_counts(serving.folder_views(i.spark, base, shown))
+    return sinks.row_counts(serving.folder_views(i.spark, base, serving.BATCH_VIEWS))
 
 
 add(
     "V8_batch_folder_views", _batch_views,
-    union_counts(
-        "view_name", {v: GOLD_SQL[f] for v, f in serving.BATCH_VIEWS.items() if f in GOLD_SQL}
-    ),
+    union_counts("view_name", {v: GOLD_SQL[f] for v, f in serving.BATCH_VIEWS.items()}),
 )
 
 # ============================================================ incremental loads
@@ -398,7 +436,39 @@ def _incremental_run(i: Inputs, table: str) -> DataFrame:
     options = {"base_year": BASE_YEAR, "last_year": LAST_BASE_YEAR, "first_day_year": None}
     incremental.run(i.spark, _early(i), _reference(i), base, **options)
     incremental.run(i.spark, typed_source(i), _reference(i), base, **options)
-    return i.spark.read.parquet(f"{base}/gold/{table}")
+    return incremental.gold_table(i.spark, base, table)
+
+
+def _resumed(i: Inputs) -> DataFrame:
+    """A first run, one that breaks off within gold, and its repetition; then the rows of all eight tables."""
+    base = work_folder(i.spark, "I2r")
+    options = {"base_year": BASE_YEAR, "last_year": LAST_BASE_YEAR, "first_day_year": None}
+    incremental.run(i.spark, _early(i), _reference(i), base, **options)
+    whole = annual.mix_from
+
+    def broken(*_):
+        raise RuntimeError("lost")
+
+    annual.mix_from = broken
+    try:
+        incremental.run(i.spark, typed_source(i), _reference(i), base, **options)
+        outcome = "not broken"
+    except RuntimeError:
+        annual.mix_from = whole
+        outcome = incremental.run(i.spark, typed_source(i), _reference(i), base, **options)
+    finally:
+        annual.mix_from = whole
+    tables = {name: incremental.gold_table(i.spark, base, name) for name in GOLD_SQL}
+    return sinks.row_counts(tables).withColumn("outcome", F.lit(outcome))
+
+
+def _unusable_years(i: Inputs) -> DataFrame:
+    """A year of which no row passes silver is loaded once, not with every run."""
+    base = work_folder(i.spark, "I2u")
+    source = typed_source(i).withColumn("latitude", F.when(col("year") == "1997", "0").otherwise(col("latitude")))
+    runs = [incremental.run(i.spark, source, _reference(i), base, first_day_year=None) for _ in range(2)]
+    counts = i.spark.read.parquet(f"{base}/silver/counts").groupBy("year").agg(F.count(F.lit(1)).alias("n"))
+    return counts.withColumn("runs", F.lit(", ".join(runs)))
 
 
 def _repeat_run(i: Inputs) -> DataFrame:
@@ -420,6 +490,14 @@ add(
     "I2_no_new_data", _repeat_run,
     "SELECT 'LOADED' AS first_run, 'NO_NEW_DATA' AS second_run, COUNT(*) AS n FROM annual_counts",
 )
+add(
+    "I2_resumed_after_failure", _resumed,
+    f"SELECT *, 'LOADED' AS outcome FROM ({union_counts('view_name', GOLD_SQL)})",
+)
+add(
+    "I2_year_without_valid_rows", _unusable_years,
+    "SELECT year, COUNT(*) AS n, 'LOADED, NO_NEW_DATA' AS runs FROM annual_counts WHERE year <> 1997 GROUP BY year",
+)
 add(
     "I3_append_missing_years",
     lambda i: counted(_loaded_twice(i), "year", "region_id"),
@@ -438,6 +516,9 @@ def _refreshed(i: Inputs) -> DataFrame:
 
 add("I4_reference_refresh", _refreshed, all_of("authorities"))
 add("I5_rebuilt_summary", lambda i: _incremental_run(i, "fact_traffic_summary"), all_of("fact_traffic_summary"))
+add("I5_rebuilt_vehicle_mix", lambda i: _incremental_run(i, "fact_vehicle_mix"), all_of("fact_mix_annual"))
+add("I5_rebuilt_road_analysis", lambda i: _incremental_run(i, "fact_road_analysis"), all_of("fact_road"))
+add("I5_rebuilt_busiest_roads", lambda i: _incremental_run(i, "fact_busiest_roads"), all_of("fact_busiest"))
 add("I5_rebuilt_location", lambda i: _incremental_run(i, "dim_location"), all_of("location"))
 MISSING_SQL = """SELECT DISTINCT year FROM annual_typed WHERE year IS NOT NULL AND year NOT IN (1995, 1997, 1998)"""
 add(
@@ -450,3 +531,77 @@ add(
     lambda i: lookup.missing_from(i.annual_counts, _early_gold(i), "year"),
     """SELECT DISTINCT year FROM annual_counts WHERE year NOT IN (1995, 1997, 1998)""",
 )
+
+
+# ============================================================ raw layer and whole catalogue
+
+
+def _feeds(i: Inputs, lost: int | None = None) -> dict[str, raw.Feed]:
+    """Pages by region (without page ``lost``), a list of text, and a CSV feed."""
+    nation = i.table("nation").select(as_json(col("n_nationkey").alias("id"), col("n_name").alias("name")))
+    csv = work_folder(i.spark, "feed-csv")
+    i.collisions_raw.write.option("header", True).csv(csv)
+    return {
+        "counts": raw.Feed(landed_pages(i, lost), RECORD, "pages", by="region int"),
+        "authorities": raw.Feed(landed_lines(i, "feed-list", nation), "id int, name string", text=True),
+        "collisions": raw.Feed(csv, schemas.COLLISIONS, "csv"),
+    }
+
+
+def _raw_run(i: Inputs) -> DataFrame:
+    base = work_folder(i.spark, "raw")
+    report = raw.run(i.spark, _feeds(i), base)
+    sources = [i.spark.read.parquet(f"{base}/{name}").select("_source").distinct() for name in ("counts", "authorities", "collisions")]
+    named = sources[0].union(sources[1]).union(sources[2])
+    return report.join(named, report["table_name"] == named["_source"], "left")
+
+
+def _refused(i: Inputs) -> DataFrame:
+    """A feed without its second pages: how it is refused, and what is written."""
+    base = work_folder(i.spark, "raw-refused")
+    try:
+        raw.run(i.spark, _feeds(i, lost=2), base)
+        outcome = "written"
+    except raw.IncompleteFeed:
+        outcome = "refused" if not folder_exists(i.spark, base) else "refused too late"
+    return i.table("customer").agg(F.count(F.lit(1)).alias("n")).withColumn("outcome", F.lit(outcome))
+
+
+add(
+    "B_run_raw_layer", _raw_run,
+    """SELECT 'counts' AS table_name, COUNT(*) AS row_count, 6 AS column_count, TRUE AS has_year, 'counts' AS _source FROM customer
+ UNION ALL SELECT 'authorities', COUNT(*), 5, FALSE, 'authorities' FROM nation
+ UNION ALL SELECT 'collisions', COUNT(*), 15, FALSE, 'collisions' FROM orders""",
+)
+add("B_run_refuses_missing_pages", _refused, f"SELECT COUNT(*) AS n, CASE WHEN COUNT(*) > {PAGE_ROWS} THEN 'refused' ELSE 'written' END AS outcome FROM customer")
+
+
+def _whole_catalogue(i: Inputs) -> DataFrame:
+    """All layers of a run and the event tables, registered by name and audited."""
+    base = work_folder(i.spark, "catalogue")
+    options = {"base_year": BASE_YEAR, "last_year": LAST_BASE_YEAR, "first_day_year": None}
+    incremental.run(i.spark, typed_source(i), _reference(i), base, **options)
+    for name, build in carbon.GOLD.items():
+        sinks.write_table(build(i.events), f"{base}/events/{name}")
+    prefix = f"viagrid_{base.rsplit('-', 1)[1][:10]}_"
+    names = layout.register_all(i.spark, layout.table_paths(i.spark, base, f"{base}/events"), prefix, base)
+    return layout.audit_all(i.spark, names).select(
+        F.regexp_replace("schema_name", prefix, "").alias("schema_name"), "table_name", "row_count", "table_type"
+    )
+
+
+LAYER_SQL = {
+    "bronze": {
+        "counts": "annual_typed WHERE year IS NOT NULL", "regions": "region", "local_authorities": "nation", "count_points": "lineitem",
+    },
+    "silver": {"counts": "annual_counts", "regions": "regions", "local_authorities": "authorities", "count_points": "annual_points"},
+    "gold": GOLD_SQL,
+    "events": {name: f"({rule('carbon_events')})" for name, rule in EVENT_SQL.items()},
+}
+add(
+    "K11_K12_whole_catalogue", _whole_catalogue,
+    " UNION ALL ".join(
+        f"SELECT '{layer}' AS schema_name, '{name}' AS table_name, COUNT(*) AS row_count, 'EXTERNAL' AS table_type FROM {source}"
+        for layer, tables in LAYER_SQL.items() for name, source in tables.items()
+    ),
+)

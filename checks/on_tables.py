@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from checks import oracle as o
-from checks.registry import add, all_of, counted, count_sql
+from checks.registry import add, all_of, count_sql, counted, stored
 from checks.standins import BASE_YEAR, LAST_BASE_YEAR
 from viagrid.functions import cleaning
 from viagrid.operators import compare, lookup, quality, ranking
@@ -158,6 +158,11 @@ add("A15_fact_road_analysis", lambda i: annual.road_analysis(i.annual_counts, i.
 add("A16_fact_covid_impact", lambda i: i.impact, all_of("fact_impact"))
 
 
+def stored_table(i, label: str, df):
+    """A table written and read back, so that what reads it twice does not compute it twice."""
+    return i.spark.read.parquet(stored(i, label, df))
+
+
 def busiest_sql(year: str) -> str:
     return f"""SELECT * FROM (SELECT *, CAST(DENSE_RANK() OVER (ORDER BY total_vehicles DESC) AS INTEGER) AS rank FROM (
  SELECT region_name, road_name, road_type, latitude, longitude, {o.total('all_motor_vehicles')} AS total_vehicles,
@@ -168,11 +173,13 @@ def busiest_sql(year: str) -> str:
 LATEST_SQL = "(SELECT MAX(year) FROM annual_counts)"
 add(
     "A17_fact_busiest_roads_latest",
-    lambda i: annual.busiest_roads(i.annual_counts, i.regions), busiest_sql(LATEST_SQL),
+    lambda i: annual.busiest_from(stored_table(i, "A17", annual.road_totals(i.annual_counts, i.regions))),
+    busiest_sql(LATEST_SQL),
 )
 add(
     "A17_fact_busiest_roads_of_year",
-    lambda i: annual.busiest_roads(i.annual_counts, i.regions, 1999), busiest_sql("1999"),
+    lambda i: annual.busiest_from(stored_table(i, "A17", annual.road_totals(i.annual_counts, i.regions, 1999))),
+    busiest_sql("1999"),
 )
 add(
     "A18_year_range",
@@ -429,11 +436,18 @@ def typed_annual(i):
     )
 
 
+FIRST_FIVE = ("collision_id", "date", "time", "latitude", "longitude")
 add(
-    "Q1_null_counts", lambda i: quality.null_counts(i.collisions, "collisions"),
-    rules_sql("collisions", "collisions", {
-        f"null:{c}": f"{c} IS NULL" for c in ("collision_id", "date", "time", "latitude", "longitude")
-    }),
+    "Q1_null_counts_of_five", lambda i: quality.null_counts(i.collisions, "collisions", FIRST_FIVE),
+    rules_sql("collisions", "collisions", {f"null:{c}": f"{c} IS NULL" for c in FIRST_FIVE}),
+)
+VEHICLE_COLUMNS = (
+    "collision_id", "vehicle_reference", "vehicle_type", "age_of_driver", "age_of_vehicle", "engine_capacity_cc",
+    "vehicle_type_label", "driver_age_band",
+)
+add(
+    "Q1_null_counts", lambda i: quality.null_counts(i.vehicles, "vehicles"),
+    rules_sql("vehicles", "vehicles", {f"null:{c}": f"{c} IS NULL" for c in VEHICLE_COLUMNS}),
 )
 rows_rule(
     "Q2_keys_and_coordinates_present", typed_annual, "counts", "annual_typed",
@@ -592,3 +606,23 @@ rows_rule(
     lambda: {"null": quality.absent("baseline_1996"), "not_positive": quality.not_positive("baseline_1996")},
     {"null": "baseline_1996 IS NULL", "not_positive": "baseline_1996 <= 0"},
 )
+
+
+# ============================================================ rules by table
+add(
+    "Q_suite_collisions", lambda i: quality.suite(i.collisions, "collisions"),
+    rules_sql("collisions", "collisions", {
+        "null:collision_id": "collision_id IS NULL", "null:latitude": "latitude IS NULL", "null:longitude": "longitude IS NULL",
+        "inside_area": f"NOT ({o.IN_AREA})", "member:severity_label": "severity_label NOT IN ('Fatal', 'Serious', 'Slight')",
+        "member:speed_limit": "speed_limit NOT IN (20, 30, 40, 50, 60, 70)",
+        "positive:number_of_casualties": "number_of_casualties <= 0", "no_future:collision_date": "collision_date > current_date",
+    }) + " UNION ALL " + unique_sql("collisions", "collisions", "collision_id"),
+)
+add(
+    "Q_suite_counts", lambda i: quality.suite(i.hourly_counts, "counts", 2000, 2020),
+    rules_sql("counts", "hourly_counts", {
+        "null:count_point_id": "count_point_id IS NULL", "year_range": "year NOT BETWEEN 2000 AND 2020",
+        **{f"not_negative:{c}": f"{c} < 0" for c in ("cars_and_taxis", "all_hgvs", "pedal_cycles", "total_vehicles")},
+        "total_covers_parts": "total_vehicles < cars_and_taxis + all_hgvs + pedal_cycles",
+    }) + " UNION ALL " + unique_sql("counts", "hourly_counts", "count_point_id,year,count_date,hour,direction_of_travel"),
+)

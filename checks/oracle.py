@@ -37,8 +37,8 @@ def growth(now: str, before: str) -> str:
     return pct(f"({now} - {before})", before)
 
 
-def deduped(source: str, keys: str, order: str) -> str:
-    ordering = ", ".join(f"{c.strip()} ASC NULLS FIRST" for c in order.split(","))
+def deduped(source: str, keys: str, order: str, highest: bool = False) -> str:
+    ordering = ", ".join(f"{c.strip()} {'DESC' if highest else 'ASC'} NULLS LAST" for c in order.split(","))
     return (
         f"SELECT * EXCLUDE (rn) FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY {keys} "
         f"ORDER BY {ordering}) AS rn FROM {source}) WHERE rn = 1"
@@ -70,7 +70,7 @@ def co2_tonnes(expression: str) -> str:
     return f"CAST(ROUND(CAST(SUM({expression}) AS DECIMAL(28,2)) * 0.001, 2) AS DOUBLE)"
 
 
-SUM_ALL = "pedal_cycles + two_wheeled_motor_vehicles + cars_and_taxis + buses_and_coaches + lgvs + all_hgvs"
+SUM_ALL = "CAST(pedal_cycles AS BIGINT) + two_wheeled_motor_vehicles + cars_and_taxis + buses_and_coaches + lgvs + all_hgvs"
 IN_AREA = "latitude BETWEEN 49 AND 61 AND longitude BETWEEN -8 AND 2"
 
 PERIOD = """CASE WHEN hour BETWEEN 7 AND 9 THEN 'morning_peak' WHEN hour BETWEEN 10 AND 15 THEN 'inter_peak'
@@ -215,6 +215,10 @@ CTES = {
  i.total_vehicles - LAG(i.total_vehicles) OVER (PARTITION BY i.region_name, i.road_type ORDER BY i.year) AS yoy_change
  FROM impact_sums i LEFT JOIN impact_sums b
  ON b.year = 1996 AND i.region_name = b.region_name AND i.road_type = b.road_type""",
+    "fact_busiest": f"""SELECT * FROM (SELECT *, CAST(DENSE_RANK() OVER (ORDER BY total_vehicles DESC) AS INTEGER) AS rank FROM (
+ SELECT region_name, road_name, road_type, latitude, longitude, {total('all_motor_vehicles')} AS total_vehicles,
+ {total('all_hgvs')} AS total_hgvs, {total('pedal_cycles')} AS total_cycles FROM annual_named
+ WHERE year = (SELECT MAX(year) FROM annual_counts) GROUP BY ALL)) WHERE rank <= 500""",
     "location": f"""SELECT *, {ROAD_CLASS} AS road_class FROM ("""
     + deduped(
         """(SELECT c.count_point_id, c.road_name, c.road_type, c.road_category, c.region_name,
@@ -247,7 +251,7 @@ CTES = {
  CASE WHEN event_type <> 'error' THEN CAST(event_id % 60 AS INTEGER) END AS all_hgvs,
  CAST(floor(value) + 100 AS INTEGER) AS all_motor_vehicles FROM hourly_days""",
     "hourly_kept": deduped(
-        "hourly_typed WHERE year BETWEEN 2000 AND 2025 AND count_point_id IS NOT NULL",
+        "hourly_typed WHERE year >= 2000 AND count_point_id IS NOT NULL",
         "count_point_id, year, count_date, hour, direction_of_travel",
         "pedal_cycles, two_wheeled_motor_vehicles, cars_and_taxis, buses_and_coaches, lgvs, all_hgvs, all_motor_vehicles",
     ),
@@ -383,7 +387,7 @@ def national(source: str) -> str:
     kept = deduped(
         f"""(SELECT data_timestamp, period_from, period_to, forecast, actual, intensity_index FROM {source}
  WHERE event_type = 'national_intensity')""",
-        "period_from", "data_timestamp, period_to, forecast, actual, intensity_index",
+        "period_from", "data_timestamp, period_to, forecast, actual, intensity_index", highest=True,
     )
     return (
         f"SELECT *, {rnd('actual - forecast', 2)} AS forecast_vs_actual, "
@@ -395,7 +399,7 @@ def fuel_mix(source: str) -> str:
     kept = deduped(
         f"""(SELECT data_timestamp, period_from, period_to, fuel_type, fuel_percentage FROM {source}
  WHERE event_type = 'generation_mix')""",
-        "period_from, fuel_type", "data_timestamp, period_to, fuel_percentage",
+        "period_from, fuel_type", "data_timestamp, period_to, fuel_percentage", highest=True,
     )
     return f"SELECT *, {ENERGY} AS energy_category FROM ({kept})"
 
@@ -404,7 +408,7 @@ def regional(source: str) -> str:
     kept = deduped(
         f"""(SELECT data_timestamp, period_from, period_to, region_id, region_name, dno_region, forecast,
  intensity_index FROM {source} WHERE event_type = 'regional_intensity')""",
-        "period_from, region_id", "data_timestamp, period_to, region_name, dno_region, forecast, intensity_index",
+        "period_from, region_id", "data_timestamp, period_to, region_name, dno_region, forecast, intensity_index", highest=True,
     )
     return f"SELECT *, {INTENSITY.format(c='forecast')} AS intensity_category FROM ({kept})"
 
@@ -413,7 +417,7 @@ def regional_fuels(source: str) -> str:
     kept = deduped(
         f"""(SELECT data_timestamp, period_from, region_id, region_name, fuel_type, fuel_percentage FROM {source}
  WHERE event_type = 'regional_generation')""",
-        "period_from, region_id, fuel_type", "data_timestamp, region_name, fuel_percentage",
+        "coalesce(period_from, CAST(data_timestamp AS VARCHAR)), region_id, fuel_type", "data_timestamp, period_from, region_name, fuel_percentage", highest=True,
     )
     return f"SELECT *, {ENERGY} AS energy_category FROM ({kept})"
 
@@ -425,6 +429,14 @@ def renewables(source: str) -> str:
     )
 
 
+# Gold table on events -> its SQL over a table of parsed events.
+EVENT_SQL = {
+    "gold_national_intensity": national,
+    "gold_generation_mix": fuel_mix,
+    "gold_regional_intensity": regional,
+    "gold_regional_generation": regional_fuels,
+    "gold_renewable_summary": renewables,
+}
 NAMES = re.compile(r"\b(" + "|".join(sorted(CTES, key=len, reverse=True)) + r")\b")
 
 

@@ -141,3 +141,19 @@ def test_hour_of_time_text(spark, text, hour):
 def test_fiscal_periods(spark, date, year, quarter):
     df = spark.createDataFrame([(dt.date.fromisoformat(date),)], "d date")
     assert tuple(df.select(calendar.fiscal_year(F.col("d")), calendar.fiscal_quarter(F.col("d"))).first()) == (year, quarter)
+
+
+def test_text_is_a_whole_number_or_nothing(spark):
+    texts = ["837.0", "12.abc", "7.8.9", "1.5e3", "1.2345678E7", ".5", "-3", " 4 ", "nan", "None", "Infinity", "2147483648", "", None]
+    df = spark.createDataFrame([(t,) for t in texts], "x string")
+    found = [r[0] for r in df.select(cleaning.whole(F.col("x"))).collect()]
+    assert found == [837, None, None, 1500, 12345678, 0, -3, 4, None, None, None, None, None, None]
+
+
+def test_dirty_values_stop_no_job(spark):
+    df = spark.createDataFrame([(2**31 - 1, "Infinity"), (1, "1e300"), (2, "-Infinity"), (3, "nan"), (4, "2.5")], "n int, x string")
+    total = df.select(metrics.added(["n", "n"]).alias("s")).agg(F.max("s")).first()[0]
+    assert total == 2 * (2**31 - 1)
+    reals = df.select(cleaning.real(F.col("x")).alias("x"))
+    assert sorted(r.x for r in reals.dropna().collect()) == [2.5, 1e300]
+    assert reals.agg(metrics.exact_mean(F.col("x"), 6)).first()[0] == 2.5

@@ -12,7 +12,7 @@ def test_one_row_per_key_is_repeatable_and_null_safe(spark, values):
     df = spark.createDataFrame(rows, "k int, t string, n int")
     kept = one_per_key(df, ["k"])
     assert kept.columns == df.columns
-    assert values(kept) == sorted([(1, "a", 9), (None, "y", 1), (2, None, 3)], key=repr)
+    assert values(kept) == sorted([(1, "a", 9), (None, "y", 1), (2, "c", 1)], key=repr)
     assert values(one_per_key(kept, ["k"])) == values(kept)
     assert values(one_per_key(df.repartition(5), ["k"])) == values(kept)
 
@@ -28,6 +28,12 @@ def test_one_row_per_key_with_a_hot_key(spark):
     assert "partial_min" in plan and "Window" not in plan
 
 
+def test_one_row_per_key_prefers_values_and_the_latest(spark, values):
+    df = spark.createDataFrame([(1, None, None), (1, "A", "x"), (1, "B", None), (2, None, "y")], "k int, a string, b string")
+    assert values(one_per_key(df, ["k"])) == [(1, "A", "x"), (2, None, "y")]
+    assert values(one_per_key(df, ["k"], ["a"])) == [(1, "B", None), (2, None, "y")]
+
+
 def test_growth_uses_the_last_period_present(spark, values):
     df = spark.createDataFrame([("a", 2019, 100), ("a", 2021, 110), ("b", 2019, 0), ("b", 2020, 5)], "g string, year int, n int")
     assert values(compare.with_growth(df, "n", ["g"], "p", "c")) == [
@@ -144,3 +150,15 @@ def test_shares_and_columns(spark):
     assert quality.check_shares(mix, "t", ["period_from"], "s").first()[2:] == (1, 2)
     report = quality.check_columns(mix, "t", required=["s", "year"], forbidden=["last_page"])
     assert [r.violations for r in report.collect()] == [1, 0]
+
+
+def test_suites_and_gate(spark, traffic):
+    report = quality.suite(traffic, "counts")
+    quality.gate(report)
+    broken = traffic.withColumn("latitude", F.lit(10.0)) if "latitude" in traffic.columns else traffic.withColumn("pedal_cycles", F.lit(-1))
+    with pytest.raises(quality.RuleViolated):
+        quality.gate(quality.suite(broken, "counts"))
+    events = spark.createDataFrame([("generation_mix", "steam", 120.0, 0)], "event_type string, fuel_type string, fuel_percentage double, region_id int")
+    events = events.selectExpr("*", "1.0D as forecast", "1.0D as actual", "'x' as intensity_index", "'r' as region_name")
+    found = {r.rule: r.violations for r in quality.suite(events, "events").collect()}
+    assert (found["member:fuel_type"], found["percentage_0_100"], found["region_id_from_1"], found["fields:generation_mix"]) == (1, 1, 1, 0)

@@ -1,5 +1,6 @@
 import datetime as dt
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -17,7 +18,7 @@ def test_paged_envelopes_in_whole_files(spark, tmp_path, values):
         body = {"current_page": page, "last_page": 4, "total": 2, "per_page": 1,
                 "data": [dict(zip(("count_point_id", "year", "cars_and_taxis"), row)) for row in data]}
         (tmp_path / f"{page}.json").write_text(json.dumps(body, indent=2))
-    pages = landed.read_pages(spark, str(tmp_path), RECORD)
+    pages = landed.read_pages(spark, str(tmp_path), RECORD, whole_files=True)
     assert values(landed.page_records(pages)) == [(51, 2000, 837), (51, 2001, 857)]
     assert landed.page_records(pages).columns == ["count_point_id", "year", "cars_and_taxis"]
     gaps = landed.page_gaps(pages, ["per_page"]).first()
@@ -26,10 +27,12 @@ def test_paged_envelopes_in_whole_files(spark, tmp_path, values):
 
 def test_rows_envelope_and_plain_list(spark, tmp_path, values):
     (tmp_path / "a.json").write_text('{"rows": [{"id": 1, "name": "x"},\n {"id": 2}]}')
-    assert values(landed.read_rows(spark, str(tmp_path), "id int, name string")) == [(1, "x"), (2, None)]
+    assert values(landed.read_rows(spark, str(tmp_path), "id int, name string", whole_files=True)) == [(1, "x"), (2, None)]
     (tmp_path / "b").mkdir()
     (tmp_path / "b/list.json").write_text('[{"id": 1, "name": "x"},\n {"id": 2, "name": "y"}]')
-    assert values(landed.read_list(spark, str(tmp_path / "b"), "id int, name string")) == [(1, "x"), (2, "y")]
+    assert values(landed.read_list(spark, str(tmp_path / "b"), "id int, name string", True)) == [(1, "x"), (2, "y")]
+    with pytest.raises(Exception, match="MALFORMED"):
+        landed.read_list(spark, str(tmp_path / "b"), "id int, name string").collect()
 
 
 def test_mixed_json_as_text_keeps_nulls(spark, tmp_path, values):
@@ -46,7 +49,7 @@ def test_csv_dialects(spark, tmp_path, escape, quoted):
     names = [part.split()[0] for part in schemas.COLLISIONS.split(", ")]
     path = tmp_path / "c.csv"
     path.write_text(",".join(names) + f'\n0017,15/01/2023,"{quoted}\nd",51.5,-0.1,1,2,30,1,1,1,1\n')
-    row = landed.read_csv(spark, str(path), schemas.COLLISIONS, escape=escape).first()
+    row = landed.read_csv(spark, str(path), schemas.COLLISIONS, escape=escape, multi_line=True).first()
     assert (row.accident_index, row.time, row.speed_limit) == ("0017", 'a "b", c\nd', 30)
 
 
@@ -134,12 +137,12 @@ def test_incremental_equals_full_and_repeats_change_nothing(spark, tmp_path, val
     assert incremental.run(spark, raw_counts(spark, years), reference, step) == "NO_NEW_DATA"
     assert incremental.run(spark, raw_counts(spark, years), reference, whole) == "LOADED"
     for name in serving.BATCH_VIEWS.values():
-        ours, full = (spark.read.parquet(f"{base}/gold/{name}") for base in (step, whole))
+        ours, full = (incremental.gold_table(spark, base, name) for base in (step, whole))
         assert values(ours, *sorted(ours.columns)) == values(full, *sorted(ours.columns)), name
         assert full.count() > 0
     assert spark.read.parquet(f"{step}/bronze/counts").count() == 48
-    assert "year" in spark.read.parquet(f"{step}/gold/fact_traffic_summary").columns
-    views = serving.folder_views(spark, f"{whole}/gold", serving.BATCH_VIEWS)
+    assert "year" in incremental.gold_table(spark, step, "fact_traffic_summary").columns
+    views = serving.folder_views(spark, incremental.gold_path(spark, whole, ""), serving.BATCH_VIEWS)
     assert {r.view_name for r in sinks.row_counts(views).collect()} == set(serving.BATCH_VIEWS)
 
 
@@ -173,3 +176,66 @@ def test_gold_on_stored_totals_reads_the_counts_once(spark, tmp_path):
     totals = spark.read.parquet(str(tmp_path / "totals"))
     assert sorted(annual.mix_from(totals).collect()) == sorted(annual.vehicle_mix(counts, regions).collect())
     assert sorted(annual.co2_from(totals).collect()) == sorted(annual.co2_emissions(counts, regions).collect())
+
+
+def test_only_the_loaded_years_are_read(spark, tmp_path, monkeypatch):
+    """The second run reads silver counts of its own years for all tables but the date span and the last year's roads."""
+    reference = {
+        "regions": spark.createDataFrame([("1", "a"), ("2", "b")], "id string, name string"),
+        "local_authorities": spark.createDataFrame([(str(i), f"la {i}") for i in range(3)], "id string, name string"),
+        "count_points": raw_counts(spark, [2019]).select("count_point_id", "road_name", "latitude", "longitude"),
+    }
+    base, plans, files = str(tmp_path), {}, {}
+    written = sinks.write_table
+
+    def watched(df, path, *args, **options):
+        files[path] = df.inputFiles()
+        plans[path] = df._jdf.queryExecution().executedPlan().toString()
+        written(df, path, *args, **options)
+
+    incremental.run(spark, raw_counts(spark, [2019, 2020]), reference, base)
+    monkeypatch.setattr(sinks, "write_table", watched)
+    incremental.run(spark, raw_counts(spark, [2019, 2020, 2021]), reference, base)
+    for name in ("totals", "road_analysis", "locations"):
+        plan = plans[f"{base}/yearly/{name}"]
+        assert "PartitionFilters: [isnotnull(year" in plan and "= 2021)" in plan
+    bronze = plans[f"{base}/silver/counts"]
+    assert "= 2021)" in bronze and "PartitionFilters: [isnotnull(load_year" in bronze
+    for name in ("fact_traffic_summary", "fact_road_analysis", "dim_location"):
+        read = next(names for path, names in files.items() if path.endswith(f"/{name}"))
+        assert read and all("/yearly/" in file for file in read), name
+
+
+def test_a_run_that_breaks_off_is_done_again(spark, tmp_path, monkeypatch):
+    reference = {
+        "regions": spark.createDataFrame([("1", "a"), ("2", "b")], "id string, name string"),
+        "local_authorities": spark.createDataFrame([("0", "la")], "id string, name string"),
+        "count_points": raw_counts(spark, [2019]).select("count_point_id", "road_name", "latitude", "longitude"),
+    }
+    base = str(tmp_path)
+    assert incremental.run(spark, raw_counts(spark, [2019]), reference, base) == "LOADED"
+    with monkeypatch.context() as patch:
+        patch.setattr(annual, "mix_from", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            incremental.run(spark, raw_counts(spark, [2019, 2020]), reference, base)
+    assert incremental.gold_table(spark, base, "fact_traffic_summary").agg(F.max("year")).first()[0] == 2019
+    assert incremental.run(spark, raw_counts(spark, [2019, 2020]), reference, base) == "LOADED"
+    for name in ("fact_traffic_summary", "fact_vehicle_mix", "fact_road_analysis"):
+        assert incremental.gold_table(spark, base, name).agg(F.max("year")).first()[0] == 2020
+    shared = spark.conf.get("spark.checkpoint.dir").removeprefix("file:")
+    assert not [name for name in os.listdir(shared) if name.startswith("road-totals")]
+
+
+def test_a_renamed_region_is_renamed_in_all_years(spark, tmp_path):
+    def reference(name):
+        return {
+            "regions": spark.createDataFrame([("1", name), ("2", "b")], "id string, name string"),
+            "local_authorities": spark.createDataFrame([("0", "la")], "id string, name string"),
+            "count_points": raw_counts(spark, [2019]).select("count_point_id", "road_name", "latitude", "longitude"),
+        }
+
+    base = str(tmp_path)
+    incremental.run(spark, raw_counts(spark, [2019]), reference("old"), base)
+    incremental.run(spark, raw_counts(spark, [2019, 2020]), reference("new"), base)
+    names = incremental.gold_table(spark, base, "fact_traffic_summary").select("region_name", "year").distinct().collect()
+    assert {tuple(r) for r in names} == {("New", 2019), ("New", 2020), ("B", 2019), ("B", 2020)}

@@ -92,8 +92,8 @@ def test_stream_drops_events_sent_again(spark, polled, tmp_path):
     log = str(tmp_path / "log")
     sinks.append_rows(polled, log)
     sinks.append_rows(polled, log)
-    assert jobs.without_repeats(spark.read.parquet(log)).count() == 360
-    stream = jobs.without_repeats(jobs.folder_log(spark, log))
+    assert jobs.without_repeats(spark.read.parquet(log), None).count() == 360
+    stream = jobs.without_repeats(jobs.folder_log(spark, log), None)
     jobs.ingest(stream, str(tmp_path / "out"), str(tmp_path / "progress"))
     assert spark.read.parquet(str(tmp_path / "out")).count() == 360
 
@@ -103,7 +103,7 @@ def test_streamed_tables_equal_batch_tables(spark, polled, tmp_path, values):
     sinks.append_rows(polled, log)
     jobs.refresh_tables(jobs.folder_log(spark, log), silver, gold, str(tmp_path / "progress"))
     events = carbon.latest_cycle(payload.parsed(polled))
-    assert spark.read.parquet(silver).count() == 180
+    assert spark.read.parquet(silver).count() == 360
     for name, build in carbon.GOLD.items():
         batch = build(events)
         assert values(spark.read.parquet(f"{gold}/{name}"), *batch.columns) == values(batch), name
@@ -119,6 +119,62 @@ def test_streamed_timeline_equals_batch_over_two_runs(spark, polled, tmp_path, v
     assert values(spark.read.parquet(table), *batch.columns) == values(batch) and batch.count() == 2
 
 
+def batches(spark, folder, *parts):
+    import time
+
+    for number, part in enumerate(parts):
+        part.coalesce(1).write.parquet(f"{folder}/{number}")
+        time.sleep(1.1)
+    return jobs.folder_log(spark, f"{folder}/*", files_per_batch=1)
+
+
+def test_a_late_batch_changes_history_but_not_the_newest_cycle(spark, polled, tmp_path, values):
+    early, late = polled.filter("enqueued_time like '%T16%'"), polled.filter("enqueued_time like '%T17%'")
+    odd = late.filter("sequence_number % 2 = 1")
+    log = batches(spark, str(tmp_path / "log"), odd, late.filter("sequence_number % 2 = 0"), early)
+    for latest, events in ((True, carbon.latest_cycle(payload.parsed(polled))), (False, payload.parsed(polled))):
+        silver, gold = str(tmp_path / f"silver{latest}"), str(tmp_path / f"gold{latest}")
+        jobs.refresh_tables(log, silver, gold, str(tmp_path / f"progress{latest}"), latest)
+        assert spark.read.parquet(silver).count() == 360
+        for name, build in carbon.GOLD.items():
+            batch = build(events)
+            assert values(spark.read.parquet(f"{gold}/{name}"), *batch.columns) == values(batch), name
+
+
+def test_late_and_repeated_events_are_kept_once(spark, polled, tmp_path):
+    early = polled.filter("enqueued_time like '%T16%'")
+    log = batches(spark, str(tmp_path / "log"), polled.filter("enqueued_time like '%T17%'"), polled, early)
+    bronze = str(tmp_path / "bronze")
+    jobs.ingest_once(log, bronze, str(tmp_path / "progress"))
+    stored = spark.read.parquet(bronze)
+    assert stored.count() == 360 and stored.select("partition_id", "sequence_number").distinct().count() == 360
+
+
+def test_the_last_arrival_reads_one_day(spark, polled, tmp_path):
+    bronze = str(tmp_path / "bronze")
+    sinks.append_rows(polled, str(tmp_path / "log"))
+    jobs.ingest(jobs.folder_log(spark, str(tmp_path / "log")), bronze, str(tmp_path / "progress"))
+    plan = carbon.latest_arrival(spark.read.parquet(bronze))._jdf.queryExecution().explainString(
+        spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    assert any("arrival_date" in line and "ubquery" in line for line in plan.splitlines() if "PartitionFilters" in line)
+    assert carbon.latest_arrival(spark.read.parquet(bronze)).count() == 180
+
+
+def test_a_revision_replaces_what_it_revises(spark):
+    kind = "event_type string, data_timestamp timestamp_ntz, period_from string, period_to string, forecast double, actual double, intensity_index string"
+    import datetime as dt
+
+    rows = [("national_intensity", dt.datetime(2026, 1, 1, h), "p", "q", float(h), None if h == 3 else 1.0, "low") for h in (1, 3, 2)]
+    assert [r.forecast for r in carbon.national_intensity(spark.createDataFrame(rows, kind)).collect()] == [3.0]
+
+
+def test_no_reading_stops_the_timeline(spark):
+    rows = [("national_intensity", "2026-01-01 00:00:00", 1e300, 5.0), ("national_intensity", "2026-01-01 00:10:00", 2.0, float("inf"))]
+    events = spark.createDataFrame(rows, "event_type string, data_timestamp string, forecast double, actual double")
+    found = carbon.timeline(events.withColumn("data_timestamp", F.col("data_timestamp").cast("timestamp"))).collect()
+    assert [(r.readings, r.avg_forecast, r.avg_actual) for r in found] == [(2, 2.0, 5.0)]
+
+
 def test_kafka_records_become_envelopes(spark):
     records = spark.createDataFrame(
         [(bytearray(b'{"a":1}'), 3, 42)], "value binary, partition int, offset long").withColumn(

@@ -18,16 +18,17 @@ Rule = Callable[[Column], Column]
 # The area and the years the counts may lie in, ends included.
 LATITUDES = (49.0, 61.0)
 LONGITUDES = (-8.0, 2.0)
-COUNT_YEARS = (2000, 2025)
+FIRST_COUNT_YEAR = 2000
 
 
 def whole(c: Column) -> Column:
-    """INT from text; the fraction of text such as ``837.0`` is cut off.
+    """INT from text that is a number as a whole; its fraction is cut off.
 
-    One short expression on purpose: a stage casts a dozen columns, and the JVM
-    does not compile a generated method of more than 8000 bytes.
+    ``837.0`` and ``1.5e3`` are numbers, ``12.abc`` and ``7.8.9`` are not. One
+    short expression on purpose: a stage casts a dozen columns, and the JVM does
+    not compile a generated method of more than 8000 bytes.
     """
-    return F.substring_index(c.cast("string"), ".", 1).try_cast("int")
+    return c.try_cast("decimal(38,18)").try_cast("int")
 
 
 def whole_number(c: Column) -> Column:
@@ -36,8 +37,8 @@ def whole_number(c: Column) -> Column:
 
 
 def real(c: Column) -> Column:
-    """DOUBLE, with NaN (the text ``nan``) as NULL so that it spoils no average."""
-    return F.nullif(place(c), F.lit(float("nan")))
+    """DOUBLE, with NaN (the text ``nan``) and both infinities as NULL so that they spoil no sum."""
+    return F.when(F.abs(place(c)) < F.lit(float("inf")), place(c))
 
 
 def place(c: Column) -> Column:
@@ -77,6 +78,17 @@ def conform(df: DataFrame, contract: Mapping[str, Rule]) -> DataFrame:
     return df.withColumns(columns)
 
 
+def within_years(first: int | None = FIRST_COUNT_YEAR, last: int | None = None, name: str = "year") -> Column:
+    """Whether a year lies in a window, ends included; None leaves that side open."""
+    year = F.col(name)
+    test = year.isNotNull()
+    if first is not None:
+        test &= year >= first
+    if last is not None:
+        test &= year <= last
+    return test
+
+
 def within_area(latitude: str = "latitude", longitude: str = "longitude") -> Column:
     return F.col(latitude).between(*LATITUDES) & F.col(longitude).between(*LONGITUDES)
 

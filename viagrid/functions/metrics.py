@@ -29,8 +29,8 @@ SEVERITY_WEIGHTS = {"fatal": 10, "serious": 5, "other": 1}
 
 
 def added(columns) -> Column:
-    """Sum across columns; NULL if any is NULL."""
-    return reduce(add, (F.col(c) if isinstance(c, str) else c for c in columns))
+    """Sum across columns as BIGINT, which no sum of INTs overflows; NULL if any is NULL."""
+    return reduce(add, ((F.col(c) if isinstance(c, str) else c).cast("bigint") for c in columns))
 
 
 def total_vehicles() -> Column:
@@ -60,17 +60,23 @@ def green_index(cycles: str, buses: str, total: str) -> Column:
 
 
 def as_units(c: Column, digits: int) -> Column:
-    """A value with up to ``digits`` decimals as a whole number of its last place."""
-    return F.rint(c * 10**digits).cast("bigint")
+    """A value with up to ``digits`` decimals as a whole number of its last place; NULL beyond 18 digits."""
+    return F.rint(c * 10**digits).try_cast("decimal(18,0)")
 
 
 def exact_sum(c: Column, digits: int) -> Column:
-    return F.sum(as_units(c, digits)) / F.lit(float(10**digits))
+    """Sum of values with up to ``digits`` decimals, without overflow up to 10^10 of the largest."""
+    return F.sum(as_units(c, digits)).cast("double") / F.lit(float(10**digits))
 
 
 def exact_mean(c: Column, digits: int) -> Column:
     """Mean of values with up to ``digits`` decimals; NULL over no values."""
-    return F.try_divide(F.sum(as_units(c, digits)), F.count(c) * F.lit(10**digits))
+    units = as_units(c, digits)
+    return mean_of_units(F.sum(units), F.count(units), digits)
+
+
+def mean_of_units(total: Column, count: Column, digits: int) -> Column:
+    return F.try_divide(total.cast("double"), count * F.lit(10**digits))
 
 
 def co2_hundredths(kind: str) -> Column:

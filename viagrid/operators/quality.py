@@ -83,8 +83,8 @@ def check_rows(df: DataFrame, table: str, violations: Mapping[str, Column]) -> D
 
 
 def null_counts(df: DataFrame, table: str, columns: Iterable[str] | None = None) -> DataFrame:
-    """NULLs per column; by default of the first five columns."""
-    names = list(columns) if columns is not None else df.columns[:5]
+    """NULLs per column, of all columns unless some are named."""
+    names = list(columns) if columns is not None else df.columns
     return check_rows(df, table, {f"null:{name}": absent(name) for name in names})
 
 
@@ -169,3 +169,74 @@ def check_event_fields(events: DataFrame, table: str) -> DataFrame:
     rules["percentage_0_100"] = out_of_range("fuel_percentage", 0, 100)
     rules["region_id_from_1"] = F.col("region_id") < 1
     return check_rows(events, table, rules)
+
+
+# The fuels of the feed.
+FUELS = ("biomass", "coal", "imports", "gas", "nuclear", "other", "hydro", "solar", "wind")
+
+
+def rules_of(table: str, columns: Sequence[str], first_year: int = 2000, last_year: int | None = None) -> dict[str, Column]:
+    """The row rules of a table, those whose columns are there.
+
+    ``last_year`` None takes the running year.
+    """
+    last = F.year(F.current_date()) if last_year is None else F.lit(last_year)
+    area = {
+        "latitude,longitude": {
+            "null:latitude": absent("latitude"), "null:longitude": absent("longitude"), "inside_area": out_of_area(),
+        }
+    }
+    volumes = ("cars_and_taxis", "all_hgvs", "pedal_cycles")
+    counts = {
+        "count_point_id": {"null:count_point_id": absent("count_point_id")},
+        **area,
+        "year": {"year_range": (F.col("year") < first_year) | (F.col("year") > last)},
+        **{name: {f"not_negative:{name}": negative(name)} for name in (*volumes, "total_vehicles")},
+        ",".join(("total_vehicles", *volumes)): {"total_covers_parts": below_sum("total_vehicles", volumes)},
+        "region_name": {"not_blank:region_name": blank("region_name")},
+    }
+    collisions = {
+        "collision_id": {"null:collision_id": absent("collision_id")},
+        **area,
+        "severity_label": {"member:severity_label": not_member("severity_label", SEVERITIES)},
+        "speed_limit": {"member:speed_limit": not_member("speed_limit", SPEED_LIMITS)},
+        "number_of_casualties": {"positive:number_of_casualties": not_positive("number_of_casualties")},
+        "collision_date": {"no_future:collision_date": in_future("collision_date")},
+    }
+    events = {
+        "fuel_type": {"member:fuel_type": not_member("fuel_type", FUELS)},
+        "fuel_percentage": {"percentage_0_100": out_of_range("fuel_percentage", 0, 100)},
+        "region_id": {"region_id_from_1": F.col("region_id") < 1},
+    }
+    emissions = {"co2_per_vehicle_kg": {"co2_1_5": out_of_range("co2_per_vehicle_kg", 1, 5)}}
+    known = {"counts": counts, "collisions": collisions, "events": events, "fact_co2_emissions": emissions}[table]
+    return {rule: test for needs, rules in known.items() if set(needs.split(",")) <= set(columns) for rule, test in rules.items()}
+
+
+# Keys that are unique in a table, those whose columns are there.
+UNIQUE_KEYS = {
+    "counts": ("count_point_id", "year", "count_date", "hour", "direction_of_travel"),
+    "collisions": ("collision_id",),
+}
+
+
+def suite(df: DataFrame, table: str, first_year: int = 2000, last_year: int | None = None) -> DataFrame:
+    """Every rule of a table as one report: the row rules in one pass, then its unique key and event fields."""
+    report = check_rows(df, table, rules_of(table, df.columns, first_year, last_year))
+    keys = UNIQUE_KEYS.get(table, ())
+    if keys and set(keys) <= set(df.columns):
+        report = report.unionByName(check_unique(df, table, keys))
+    if table == "events":
+        report = report.unionByName(check_event_fields(df, table).filter(F.col("rule").startswith("fields:")))
+    return report
+
+
+class RuleViolated(Exception):
+    """A table breaks rules that a run insists on."""
+
+
+def gate(report: DataFrame, tolerated: Sequence[str] = ()) -> None:
+    """Stop unless every rule of the report, but for those tolerated, holds."""
+    broken = report.filter((F.col("violations") > 0) & ~F.col("rule").isin(*tolerated, "")).collect()
+    if broken:
+        raise RuleViolated("; ".join(f"{r.table_name} {r.rule}: {r.violations} of {r.total}" for r in broken))

@@ -7,10 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# Above this many ranks the list of ranked values is joined, not broadcast.
-BROADCAST_RANKS = 100_000
-
-
 def dense_rank_within(df: DataFrame, by: Sequence[str], value: str, name: str) -> DataFrame:
     """Rank by falling value within each group; equal values share a rank."""
     return df.withColumn(name, F.dense_rank().over(Window.partitionBy(*by).orderBy(F.desc(value))))
@@ -22,15 +18,14 @@ def dense_top(df: DataFrame, value: str, ranks: int, name: str = "rank") -> Data
     Only the distinct values are ranked: Spark takes the top ones per task and
     merges them, so one task sees at most ``ranks`` values per input task, and
     the numbering runs over ``ranks`` rows. Tied rows never meet in one task;
-    they stay where they are and look their rank up.
+    they stay where they are and look their rank up. ``df`` is read twice: give
+    a stored table, or one that is cheap to compute.
     """
     highest = df.select(value).distinct().orderBy(F.desc(value)).limit(ranks)
     ranked = highest.select(
         F.col(value).alias("_value"),
         F.row_number().over(Window.orderBy(F.desc(value))).alias(name),
     )
-    if ranks <= BROADCAST_RANKS:
-        ranked = F.broadcast(ranked)
     return df.join(ranked, F.col(value).eqNullSafe(F.col("_value"))).drop("_value")
 
 

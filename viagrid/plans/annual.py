@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from viagrid.functions import labels, metrics
+from viagrid.functions.cleaning import within_years
 from viagrid.operators.compare import base_value, previous, with_change, with_growth
 from viagrid.operators.lookup import with_authority, with_region
 from viagrid.operators.keyed import one_per_key
@@ -171,12 +172,12 @@ def road_analysis(counts: DataFrame, regions: DataFrame) -> DataFrame:
 
 
 def impact_from(
-    totals: DataFrame, base_year: int = 2019, last_year: int = 2025, base_name: str | None = None
+    totals: DataFrame, base_year: int = 2019, last_year: int | None = None, base_name: str | None = None
 ) -> DataFrame:
     base_name = base_name or f"baseline_{base_year}"
     volume = F.col("total_vehicles")
     return (
-        totals.filter(F.col("year").between(base_year, last_year))
+        totals.filter(within_years(base_year, last_year))
         .select(*GROUP, "year", *_renamed(MOTOR_SUMS))
         .withColumns(
             {
@@ -189,10 +190,10 @@ def impact_from(
 
 
 def covid_impact(
-    counts: DataFrame, regions: DataFrame, base_year: int = 2019, last_year: int = 2025,
+    counts: DataFrame, regions: DataFrame, base_year: int = 2019, last_year: int | None = None,
     base_name: str | None = None,
 ) -> DataFrame:
-    """Motor volumes from a base year on, as a percentage of the base year."""
+    """Motor volumes from a base year on (to the last counted by default), as a percentage of the base year."""
     return impact_from(regional_totals(counts, regions), base_year, last_year, base_name)
 
 
@@ -201,25 +202,44 @@ def latest_year(counts: DataFrame) -> Column:
     return counts.agg(F.max("year")).scalar()
 
 
-def busiest_roads(
-    counts: DataFrame, regions: DataFrame, year: int | None = None, ranks: int = 500
-) -> DataFrame:
-    """Roads of one year (the last one by default) with the highest motor volumes."""
+def road_totals(counts: DataFrame, regions: DataFrame, year: int | None = None) -> DataFrame:
+    """Motor volumes of the roads of one year, the last one by default."""
     wanted = F.lit(year) if year is not None else latest_year(counts)
-    totals = (
+    return (
         with_region(counts.filter(F.col("year") == wanted), regions)
         .groupBy("region_name", "road_name", "road_type", "latitude", "longitude")
         .agg(*sums(MOTOR_SUMS))
     )
+
+
+def busiest_from(totals: DataFrame, ranks: int = 500) -> DataFrame:
+    """The roads with the highest volumes, from ``road_totals``, best stored as they are read twice."""
     return dense_top(totals, "total_vehicles", ranks)
 
 
-def location(counts: DataFrame, regions: DataFrame, authorities: DataFrame) -> DataFrame:
-    """One row per count point with its road, region and authority."""
+def busiest_roads(
+    counts: DataFrame, regions: DataFrame, year: int | None = None, ranks: int = 500
+) -> DataFrame:
+    """Roads of one year (the last one by default) with the highest motor volumes."""
+    return busiest_from(road_totals(counts, regions, year), ranks)
+
+
+def yearly_locations(counts: DataFrame, regions: DataFrame, authorities: DataFrame) -> DataFrame:
+    """One row per count point and year with its road, region and authority."""
     placed = with_authority(with_region(counts, regions), authorities).select(
-        "count_point_id", "road_name", "road_type", "road_category",
+        "count_point_id", "year", "road_name", "road_type", "road_category",
         "region_name", "local_authority_name", "latitude", "longitude",
     )
-    return one_per_key(placed, ["count_point_id"]).withColumn(
+    return one_per_key(placed, ["count_point_id", "year"])
+
+
+def location_from(yearly: DataFrame) -> DataFrame:
+    """One row per count point, of all its years."""
+    return one_per_key(yearly.drop("year"), ["count_point_id"]).withColumn(
         "road_class", labels.road_class(F.col("road_category"))
     )
+
+
+def location(counts: DataFrame, regions: DataFrame, authorities: DataFrame) -> DataFrame:
+    """One row per count point with its road, region and authority."""
+    return location_from(yearly_locations(counts, regions, authorities))

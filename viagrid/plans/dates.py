@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 
 from viagrid.functions import calendar
 
-# The span of the full load's date dimension.
-FIRST_YEAR, LAST_YEAR = 2000, 2025
+# Fixed value: the year with which the full load's date dimension begins.
+FIRST_YEAR = 2000
 
 
-def spine(spark: SparkSession, first_year: int = FIRST_YEAR, last_year: int = LAST_YEAR) -> DataFrame:
+def spine(spark: SparkSession, first_year: int, last_year: int) -> DataFrame:
+    """All days of the years given."""
     years = spark.range(1).select(F.lit(first_year).alias("a"), F.lit(last_year).alias("b"))
     return calendar.date_spine(years, calendar.year_start(F.col("a")), calendar.year_end(F.col("b")))
 

@@ -11,7 +11,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 
 from viagrid.plans import dates, hourly, safety, silver
-from viagrid.session import work_folder
+from viagrid.session import remove_folder, work_folder
 from viagrid.sources import sinks
 
 # Table -> the column its folders are partitioned by.
@@ -81,14 +81,24 @@ def run(spark: SparkSession, raw: Mapping[str, DataFrame], base: str, days: Data
     """Write silver and gold below ``base``; returns the gold paths.
 
     Counts are summed per point and year once, into the work folder; four gold
-    tables read that instead of the counts.
+    tables read that instead of the counts. The date dimension ends with the last
+    year counted, unless ``days`` are given.
     """
     for name, df in silver_tables(raw).items():
         sinks.write_table(sinks.with_processed_time(df), f"{base}/silver/{name}", SILVER_LAYOUT[name])
     stored = {name: spark.read.parquet(f"{base}/silver/{name}") for name in SILVER_LAYOUT}
     kept = work_folder(spark, "point-years")
+    try:
+        return _write_gold(spark, stored, kept, base, days)
+    finally:
+        remove_folder(spark, kept)
+
+
+def _write_gold(
+    spark: SparkSession, stored: Mapping[str, DataFrame], kept: str, base: str, days: DataFrame | None
+) -> dict[str, str]:
     sinks.write_table(hourly.point_years(stored["counts"]), kept)
-    days = dates.spine(spark) if days is None else days
+    days = dates.spine_of(stored["counts"], dates.FIRST_YEAR) if days is None else days
     paths = {}
     for name, df in gold_tables(stored, days, spark.read.parquet(kept)).items():
         paths[name] = f"{base}/gold/{name}"

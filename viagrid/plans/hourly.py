@@ -202,7 +202,7 @@ def capacity_utilisation(peaks: DataFrame, point_dim: DataFrame) -> DataFrame:
         .groupBy("count_point_id", "year")
         .agg(
             F.count(F.lit(1)).alias("rows"),
-            F.count(index).alias("rated"),
+            F.count(metrics.as_units(index, 3)).alias("rated"),
             F.sum(metrics.as_units(index, 3)).alias("index_sum"),
             F.count_if(index >= 0.9).alias("severe"),
             F.count_if(index >= 0.75).alias("congested"),
@@ -215,7 +215,7 @@ def capacity_utilisation(peaks: DataFrame, point_dim: DataFrame) -> DataFrame:
         .groupBy(*group, "year")
         .agg(
             F.count(F.lit(1)).alias("total_count_points"),
-            F.try_divide(F.sum("index_sum"), F.sum("rated") * 1000).alias("avg_congestion_index"),
+            metrics.mean_of_units(F.sum("index_sum"), F.sum("rated"), 3).alias("avg_congestion_index"),
             F.sum("severe").alias("severely_congested_count"),
             F.sum("congested").alias("congested_count"),
             F.sum("free").alias("free_flow_count"),

@@ -1,15 +1,21 @@
-"""Loading only the years that are missing, then rebuilding what depends on them."""
+"""Loading only the years that are missing, then rebuilding what depends on them.
+
+A run ends by noting its years and its gold folder in the progress table. Until
+then nothing counts as loaded: a run that breaks off is done again in full by
+the next one, and readers keep the gold of the last run that ended.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from viagrid.functions.cleaning import whole
 from viagrid.operators.lookup import missing_from
 from viagrid.plans import annual, dates, silver
-from viagrid.session import work_folder
+from viagrid.session import folder_exists, remove_folder, work_folder
 from viagrid.sources import sinks
 
 NOTHING_YET = 1999
@@ -17,10 +23,7 @@ NOTHING_YET = 1999
 
 def stored_or_none(spark: SparkSession, path: str) -> DataFrame | None:
     """A stored table, or None where nothing has been written yet."""
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException:
-        return None
+    return spark.read.parquet(path) if folder_exists(spark, path) else None
 
 
 def high_water_mark(gold: DataFrame | None, spark: SparkSession) -> DataFrame:
@@ -30,31 +33,52 @@ def high_water_mark(gold: DataFrame | None, spark: SparkSession) -> DataFrame:
     return gold.agg(F.coalesce(F.max("year"), F.lit(NOTHING_YET)).alias("latest_year"))
 
 
-def missing_years(source: DataFrame, gold: DataFrame | None) -> DataFrame:
-    """Years the source has and gold lacks, gaps in the middle included."""
+def progress(spark: SparkSession, base: str) -> DataFrame | None:
+    """version and year of every year that a finished run has loaded."""
+    return stored_or_none(spark, f"{base}/progress")
+
+
+def _version(done: DataFrame | None) -> int:
+    return 0 if done is None else done.agg(F.max("version")).first()[0]
+
+
+def gold_path(spark: SparkSession, base: str, table: str) -> str:
+    """Where the last finished run has put a gold table."""
+    return f"{base}/gold/v{_version(progress(spark, base)):06d}/{table}"
+
+
+def gold_table(spark: SparkSession, base: str, table: str) -> DataFrame:
+    return spark.read.parquet(gold_path(spark, base, table))
+
+
+def missing_years(source: DataFrame, loaded: DataFrame | None) -> DataFrame:
+    """Years the source has and ``loaded`` lacks, gaps in the middle included."""
     offered = source.select(whole(F.col("year")).alias("year")).filter(F.col("year").isNotNull())
-    return offered.distinct() if gold is None else missing_from(offered, gold, "year")
+    return offered.distinct() if loaded is None else missing_from(offered, loaded, "year")
 
 
-def load_missing(source: DataFrame, gold: DataFrame | None, bronze_path: str) -> bool:
-    """Write the missing years to the raw table; False if there were none.
+def load_missing(source: DataFrame, loaded: DataFrame | None, bronze_path: str) -> list[int]:
+    """Write the missing years to the raw table; returns them.
 
     Each year is one partition and is replaced as a whole, so a load that is
     repeated, for instance after a failure, leaves no year twice. The files keep
     the year as a column; the partition is a copy of it. Rows without a year
     stay out, as the silver rules would drop them.
     """
-    wanted = missing_years(source, gold)
-    if wanted.isEmpty():
-        return False
-    dated = source.withColumn("load_year", whole(F.col("year")))
-    fresh = dated.join(wanted, dated["load_year"] == wanted["year"], "left_semi")
-    sinks.write_table(fresh, bronze_path, ["load_year"], replace_only_present=True)
-    return True
+    years = sorted(row["year"] for row in missing_years(source, loaded).collect())
+    if years:
+        dated = source.withColumn("load_year", whole(F.col("year")))
+        fresh = dated.filter(F.col("load_year").isin(years))
+        sinks.write_table(fresh, bronze_path, ["load_year"], replace_only_present=True)
+    return years
 
 
-def read_loaded(spark: SparkSession, bronze_path: str) -> DataFrame:
-    return spark.read.parquet(bronze_path).drop("load_year")
+def read_loaded(spark: SparkSession, bronze_path: str, years: Sequence[int] | None = None) -> DataFrame:
+    """The raw table, or its partitions of some years."""
+    df = spark.read.parquet(bronze_path)
+    if years is not None:
+        df = df.filter(F.col("load_year").isin(*years))
+    return df.drop("load_year")
 
 
 def refresh_reference(tables: dict[str, DataFrame], base: str) -> None:
@@ -63,71 +87,111 @@ def refresh_reference(tables: dict[str, DataFrame], base: str) -> None:
         sinks.write_table(df, f"{base}/{name}")
 
 
-def rebuild_silver(spark: SparkSession, bronze: str, silver_base: str) -> None:
-    """All silver tables from the raw ones, count points included.
+def _differs(one: DataFrame, other: DataFrame) -> bool:
+    return not (one.exceptAll(other).isEmpty() and other.exceptAll(one).isEmpty())
+
 
-    Files are sorted by year where there is one, as gold filters on it.
+def rebuild_silver(
+    spark: SparkSession, bronze: str, silver_base: str, years: Sequence[int] | None = None
+) -> Sequence[int] | None:
+    """Silver counts of some years (None: all), and the other silver tables whole.
+
+    Returns the years whose totals are out of date: those given, or None, which
+    means all, if a region or an authority has changed its name.
     """
-    tables = {
-        "counts": silver.annual_counts(read_loaded(spark, f"{bronze}/counts")),
-        "regions": silver.named_areas(spark.read.parquet(f"{bronze}/regions")),
-        "local_authorities": silver.named_areas(spark.read.parquet(f"{bronze}/local_authorities")),
-        "count_points": silver.annual_count_points(spark.read.parquet(f"{bronze}/count_points")),
-    }
-    for name, df in tables.items():
-        order = ["year"] if "year" in df.columns else []
-        sinks.write_table(sinks.with_processed_time(df), f"{silver_base}/{name}", sort_by=order)
+    counts = silver.annual_counts(read_loaded(spark, f"{bronze}/counts", years))
+    sinks.write_table(
+        sinks.with_processed_time(counts), f"{silver_base}/counts", ["year"], replace_only_present=years is not None
+    )
+    points = silver.annual_count_points(spark.read.parquet(f"{bronze}/count_points"))
+    sinks.write_table(sinks.with_processed_time(points), f"{silver_base}/count_points")
+    for name in ("regions", "local_authorities"):
+        areas = silver.named_areas(spark.read.parquet(f"{bronze}/{name}"))
+        before = stored_or_none(spark, f"{silver_base}/{name}")
+        if before is None or _differs(areas, before.select(*areas.columns)):
+            years = None
+        sinks.write_table(sinks.with_processed_time(areas), f"{silver_base}/{name}")
+    return years
 
 
 def gold_tables(
     counts: DataFrame, regions: DataFrame, authorities: DataFrame, base_year: int = 2019,
-    last_year: int = 2030, busiest_year: int | None = None, first_day_year: int | None = 2000,
-    totals: DataFrame | None = None,
+    last_year: int | None = None, busiest_year: int | None = None, first_day_year: int | None = 2000,
+    stored: dict[str, DataFrame] | None = None,
 ) -> dict[str, DataFrame]:
     """The eight gold tables on annual flows, by name.
 
-    ``totals`` are the regional totals where they are stored already.
+    ``stored`` are tables of ``yearly_tables`` and ``roads`` where they are
+    written already; what is lacking is computed from the counts.
     """
-    if totals is None:
-        totals = annual.regional_totals(counts, regions)
+    made = {**yearly_tables(counts, regions, authorities), **(stored or {})}
+    roads = made["roads"] if "roads" in made else annual.road_totals(counts, regions, busiest_year)
     return {
-        "fact_traffic_summary": annual.summary_from(totals),
-        "fact_co2_emissions": annual.co2_from(totals),
-        "fact_vehicle_mix": annual.mix_from(totals),
-        "fact_road_analysis": annual.road_analysis(counts, regions),
-        "fact_covid_impact": annual.impact_from(totals, base_year, last_year),
-        "fact_busiest_roads": annual.busiest_roads(counts, regions, busiest_year),
-        "dim_location": annual.location(counts, regions, authorities),
+        "fact_traffic_summary": annual.summary_from(made["totals"]),
+        "fact_co2_emissions": annual.co2_from(made["totals"]),
+        "fact_vehicle_mix": annual.mix_from(made["totals"]),
+        "fact_road_analysis": made["road_analysis"],
+        "fact_covid_impact": annual.impact_from(made["totals"], base_year, last_year),
+        "fact_busiest_roads": annual.busiest_from(roads),
+        "dim_location": annual.location_from(made["locations"]),
         "dim_date": dates.date_dim(dates.spine_of(counts, first_day_year)),
     }
 
 
-def rebuild_gold(spark: SparkSession, silver_base: str, gold_base: str, **options) -> dict[str, str]:
-    """All gold tables from silver, unpartitioned so that the files keep ``year``.
+def yearly_tables(counts: DataFrame, regions: DataFrame, authorities: DataFrame) -> dict[str, DataFrame]:
+    """What gold needs of each year, independent of every other year."""
+    return {
+        "totals": annual.regional_totals(counts, regions),
+        "road_analysis": annual.road_analysis(counts, regions),
+        "locations": annual.yearly_locations(counts, regions, authorities),
+    }
+
+
+def rebuild_gold(
+    spark: SparkSession, base: str, gold_base: str, years: Sequence[int] | None = None, **options
+) -> dict[str, str]:
+    """All gold tables, unpartitioned so that the files keep ``year``.
 
-    The regional totals are written first and read by the four tables that
-    follow from them, so these do not read the counts again.
+    Counts are read for ``years`` alone (None: all): their yearly tables replace
+    those years below ``base/yearly``, and gold follows from these.
     """
     counts, regions, authorities = (
-        spark.read.parquet(f"{silver_base}/{name}") for name in ("counts", "regions", "local_authorities")
+        spark.read.parquet(f"{base}/silver/{name}") for name in ("counts", "regions", "local_authorities")
     )
-    kept = work_folder(spark, "regional-totals")
-    sinks.write_table(annual.regional_totals(counts, regions), kept)
-    tables = gold_tables(counts, regions, authorities, **options, totals=spark.read.parquet(kept))
-    paths = {name: f"{gold_base}/{name}" for name in tables}
-    for name, df in tables.items():
-        sinks.write_table(df, paths[name])
+    fresh = counts if years is None else counts.filter(F.col("year").isin(*years))
+    for name, df in yearly_tables(fresh, regions, authorities).items():
+        sinks.write_table(df, f"{base}/yearly/{name}", ["year"], replace_only_present=years is not None)
+    stored = {name: spark.read.parquet(f"{base}/yearly/{name}") for name in ("totals", "road_analysis", "locations")}
+    kept = work_folder(spark, "road-totals")
+    try:
+        sinks.write_table(annual.road_totals(counts, regions, options.get("busiest_year")), kept)
+        stored["roads"] = spark.read.parquet(kept)
+        tables = gold_tables(counts, regions, authorities, **options, stored=stored)
+        paths = {name: f"{gold_base}/{name}" for name in tables}
+        for name, df in tables.items():
+            sinks.write_table(df, paths[name])
+    finally:
+        remove_folder(spark, kept)
     return paths
 
 
 def run(
     spark: SparkSession, source: DataFrame, reference: dict[str, DataFrame], base: str, **options
 ) -> str:
-    """One incremental run below ``base``: load, then rebuild silver and gold."""
-    gold = stored_or_none(spark, f"{base}/gold/fact_traffic_summary")
-    if not load_missing(source, gold, f"{base}/bronze/counts"):
+    """One incremental run below ``base``: load, rebuild what it changes, then note it as done.
+
+    The gold of the run before stays for readers that are still at it; older ones
+    are removed.
+    """
+    done = progress(spark, base)
+    years = load_missing(source, done, f"{base}/bronze/counts")
+    if not years:
         return "NO_NEW_DATA"
+    version = _version(done) + 1
     refresh_reference(reference, f"{base}/bronze")
-    rebuild_silver(spark, f"{base}/bronze", f"{base}/silver")
-    rebuild_gold(spark, f"{base}/silver", f"{base}/gold", **options)
+    changed = rebuild_silver(spark, f"{base}/bronze", f"{base}/silver", years)
+    rebuild_gold(spark, base, f"{base}/gold/v{version:06d}", changed, **options)
+    note = spark.createDataFrame([(version, year) for year in years], "version int, year int")
+    sinks.append_rows(note.coalesce(1), f"{base}/progress")
+    remove_folder(spark, f"{base}/gold/v{version - 2:06d}")
     return "LOADED"

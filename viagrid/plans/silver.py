@@ -83,10 +83,15 @@ def hourly_count_points(raw: DataFrame) -> DataFrame:
     return one_per_key(placed, ["count_point_id"])
 
 
-def hourly_counts(raw: DataFrame) -> DataFrame:
-    """Hourly counts. HGV share is of all vehicles; one row per point, hour and direction."""
+def hourly_counts(
+    raw: DataFrame, first_year: int | None = cleaning.FIRST_COUNT_YEAR, last_year: int | None = None
+) -> DataFrame:
+    """Hourly counts. HGV share is of all vehicles; one row per point, hour and direction.
+
+    Years outside the window are left out; ``rejected_years`` counts them.
+    """
     typed = conform(raw, HOURLY_COUNTS).filter(
-        cleaning.all_present("count_point_id") & F.col("year").between(*cleaning.COUNT_YEARS)
+        cleaning.all_present("count_point_id") & cleaning.within_years(first_year, last_year)
     )
     kept = one_per_key(typed, ["count_point_id", "year", "count_date", "hour", "direction_of_travel"])
     return _with_totals(kept, "total_vehicles").withColumn(
@@ -94,6 +99,14 @@ def hourly_counts(raw: DataFrame) -> DataFrame:
     )
 
 
+def rejected_years(
+    raw: DataFrame, first_year: int | None = cleaning.FIRST_COUNT_YEAR, last_year: int | None = None
+) -> DataFrame:
+    """Rows per year that the window of ``hourly_counts`` rejects; unreadable years are under NULL."""
+    years = conform(raw.select("year"), {"year": whole})
+    return years.filter(~cleaning.within_years(first_year, last_year)).groupBy("year").agg(F.count(F.lit(1)).alias("n"))
+
+
 def collisions(raw: DataFrame) -> DataFrame:
     named = raw.withColumnRenamed("accident_index", "collision_id")
     kept = one_per_key(conform(named, COLLISIONS).filter(cleaning.within_area()), ["collision_id"])

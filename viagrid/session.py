@@ -45,3 +45,21 @@ def work_folder(spark: SparkSession, label: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="viagrid-")
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def _located(spark: SparkSession, path: str):
+    """A path with its file system, whichever Hadoop knows."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    place, system = _located(spark, path)
+    return system.exists(place)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Remove what a run has written for itself; nothing happens where there is nothing."""
+    place, system = _located(spark, path)
+    if system.exists(place):
+        system.delete(place, True)

@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 from viagrid.sources.sinks import row_counts
 
 
+AUDIT = "schema_name string, table_name string, row_count long, table_type string"
+
+
 def create_schema(spark: SparkSession, schema: str, location: str | None = None) -> None:
     place = f" LOCATION '{location}'" if location else ""
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}{place}")
@@ -43,7 +46,7 @@ def audit(spark: SparkSession, schema: str) -> DataFrame:
         for entry in spark.catalog.listTables(schema)
         if not entry.isTemporary
     ]
-    return reduce(DataFrame.unionByName, rows)
+    return reduce(DataFrame.unionByName, rows, spark.createDataFrame([], AUDIT))
 
 
 def lineage_counts(bronze: DataFrame, silver: DataFrame, gold: DataFrame) -> DataFrame:

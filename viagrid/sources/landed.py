@@ -1,4 +1,11 @@
-"""Landed JSON, CSV and Parquet files as DataFrames."""
+"""Landed JSON, CSV and Parquet files as DataFrames.
+
+JSON is read one document per line and CSV one record per line, so that Spark
+splits large files. Documents over several lines need ``whole_files``, quoted
+line breaks ``multi_line``; then each file is one task. A line that is no document
+of its contract stops the read, so a document over several lines is not taken for
+an empty feed.
+"""
 
 from __future__ import annotations
 
@@ -9,11 +16,12 @@ from viagrid import schemas
 
 
 def _json(spark: SparkSession, path: str, schema: str, whole_files: bool) -> DataFrame:
-    return spark.read.schema(schema).option("multiLine", whole_files).json(path)
+    reader = spark.read.schema(schema).option("multiLine", whole_files)
+    return (reader if whole_files else reader.option("mode", "FAILFAST")).json(path)
 
 
 def read_rows(
-    spark: SparkSession, path: str, record: str, field: str = "rows", whole_files: bool = True
+    spark: SparkSession, path: str, record: str, field: str = "rows", whole_files: bool = False
 ) -> DataFrame:
     """Records of an envelope ``{field: [...]}``, one envelope per file or line."""
     envelopes = _json(spark, path, f"{field} array<{_struct(record)}>", whole_files)
@@ -21,7 +29,7 @@ def read_rows(
 
 
 def read_pages(
-    spark: SparkSession, path: str, record: str, whole_files: bool = True, extra: str = ""
+    spark: SparkSession, path: str, record: str, whole_files: bool = False, extra: str = ""
 ) -> DataFrame:
     """Page envelopes as they were landed, with ``data`` still nested.
 
@@ -45,12 +53,12 @@ def page_gaps(pages: DataFrame, by: list[str]) -> DataFrame:
     ).withColumn("complete", F.col("pages_read") == F.col("pages_announced"))
 
 
-def read_list(spark: SparkSession, path: str, record: str, whole_files: bool = True) -> DataFrame:
+def read_list(spark: SparkSession, path: str, record: str, whole_files: bool = False) -> DataFrame:
     """Records of a plain top-level JSON list."""
     return _json(spark, path, record, whole_files)
 
 
-def read_as_text(spark: SparkSession, path: str, whole_files: bool = True) -> DataFrame:
+def read_as_text(spark: SparkSession, path: str, whole_files: bool = False) -> DataFrame:
     """JSON of mixed types with every primitive read as text; NULL stays NULL.
 
     Columns are whatever keys occur, so this reads the files once more to list
@@ -67,13 +75,12 @@ def all_text(df: DataFrame) -> DataFrame:
 
 
 def read_csv(
-    spark: SparkSession, path: str, schema: str, escape: str = '"', multi_line: bool = True
+    spark: SparkSession, path: str, schema: str, escape: str = '"', multi_line: bool = False
 ) -> DataFrame:
     """CSV with a header, commas and ``"`` quotes under a fixed schema.
 
     Columns are matched by position; ``escape`` is ``"`` or a backslash
-    depending on the dialect. Quoted line breaks need ``multi_line``, which makes
-    each file one task; without it Spark splits large files.
+    depending on the dialect.
     """
     return (
         spark.read.schema(schema)

@@ -91,7 +91,9 @@ def written_report(spark: SparkSession, paths: Mapping[str, str]) -> DataFrame:
 
 
 def row_counts(tables: Mapping[str, DataFrame], label: str = "view_name") -> DataFrame:
-    """Rows per table, as one result."""
+    """Rows per table, as one result; no table gives no row."""
+    if not tables:
+        return SparkSession.active().createDataFrame([], f"{label} string, row_count long")
     counts = [
         df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias(label), "row_count")
         for name, df in tables.items()

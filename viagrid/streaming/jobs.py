@@ -3,47 +3,67 @@
 Each job drains what is there and stops (``availableNow``); schedule it, or give
 another trigger to keep it running. Progress lives in the checkpoint folder, so a
 job that is run again, or restarted after a loss, takes up where it stopped.
+
+Tables are kept in partitions that name the batch they came from. A batch that is
+repeated replaces its own rows; what any other batch has brought stays, however
+late or early it came. No job keeps state, so none forgets or drops an event.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from viagrid import schemas
+from viagrid.operators.keyed import one_per_key
+from viagrid.session import folder_exists
 from viagrid.sources import sinks
 from viagrid.streaming import carbon, payload
 
 DRAIN = {"availableNow": True}
+EVENT_KEYS = ("partition_id", "sequence_number")
 
 
-def kafka_log(spark: SparkSession, servers: str, topic: str) -> DataFrame:
-    """Envelopes streamed from a Kafka topic, from its beginning."""
-    records = (
+def kafka_log(spark: SparkSession, servers: str, topic: str, offsets_per_batch: int | None = None) -> DataFrame:
+    """Envelopes streamed from a Kafka topic, from its beginning, in batches of a bounded size if one is given."""
+    reader = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)
         .option("subscribe", topic)
         .option("startingOffsets", "earliest")
-        .load()
     )
-    return payload.from_kafka(records)
+    if offsets_per_batch:
+        reader = reader.option("maxOffsetsPerTrigger", offsets_per_batch)
+    return payload.from_kafka(reader.load())
 
 
 def folder_log(
-    spark: SparkSession, path: str, schema: str = schemas.EVENT_ENVELOPE, fmt: str = "parquet"
+    spark: SparkSession, path: str, schema: str | T.StructType = schemas.EVENT_ENVELOPE, fmt: str = "parquet",
+    files_per_batch: int | None = None,
 ) -> DataFrame:
-    """Rows streamed from the files of a folder as they arrive."""
-    return spark.readStream.schema(schema).format(fmt).load(path)
+    """Rows streamed from the files of a folder as they arrive, a bounded number at a time if one is given."""
+    reader = spark.readStream.schema(schema).format(fmt)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return reader.load(path)
+
+
+def with_arrival(envelopes: DataFrame) -> DataFrame:
+    """Envelopes with the arrival as TIMESTAMP and as the date by which raw tables are partitioned."""
+    at = F.col("enqueued_time").try_cast("timestamp")
+    return envelopes.withColumns({"arrived_at": at, "arrival_date": at.cast("date")})
 
 
 def ingest(log: DataFrame, bronze_path: str, checkpoint: str, trigger: dict = DRAIN) -> None:
-    """Append new envelopes to the raw table, each exactly once."""
+    """Append new envelopes to the raw table by arrival date, each exactly once."""
     query = (
-        log.writeStream.format("parquet")
+        with_arrival(log).writeStream.format("parquet")
         .option("path", bronze_path)
         .option("checkpointLocation", checkpoint)
+        .partitionBy("arrival_date")
         .outputMode("append")
         .trigger(**trigger)
         .start()
@@ -51,19 +71,20 @@ def ingest(log: DataFrame, bronze_path: str, checkpoint: str, trigger: dict = DR
     query.awaitTermination()
 
 
-def without_repeats(log: DataFrame, delay: str | None = "1 day") -> DataFrame:
+def without_repeats(log: DataFrame, delay: str | None) -> DataFrame:
     """Drop events that a producer or an earlier run sent again.
 
     On a stream, a key is remembered until the watermark has passed it by
-    ``delay``. Spark leaves out rows that come later than that, so the delay
-    must cover how late an event can be; with None every key is remembered for
-    good and nothing is ever late. On stored events it is a plain deduplication.
+    ``delay``, and Spark leaves out rows that come later than that; with None
+    every key is remembered for good. ``ingest_once`` needs neither. On stored
+    events it is a plain deduplication.
     """
-    keys = ["partition_id", "sequence_number"]
-    if not log.isStreaming or delay is None:
-        return log.dropDuplicates(keys)
+    if not log.isStreaming:
+        return one_per_key(log, EVENT_KEYS)
+    if delay is None:
+        return log.dropDuplicates(list(EVENT_KEYS))
     timed = log.withColumn("_at", F.col("enqueued_time").try_cast("timestamp"))
-    return timed.withWatermark("_at", delay).dropDuplicatesWithinWatermark(keys).drop("_at")
+    return timed.withWatermark("_at", delay).dropDuplicatesWithinWatermark(list(EVENT_KEYS)).drop("_at")
 
 
 def for_each_batch(
@@ -80,34 +101,127 @@ def for_each_batch(
     query.awaitTermination()
 
 
+def _on_days(column: str, days: list) -> Column:
+    """Partitions of some days; None stands for rows without one."""
+    known = [day for day in days if day is not None]
+    test = F.col(column).isin(*known) if known else F.lit(False)
+    return test | F.col(column).isNull() if None in days else test
+
+
+def _days(df: DataFrame, column: str) -> list:
+    """The days that a batch touches."""
+    return [row[0] for row in df.select(column).distinct().collect()]
+
+
+def ingest_once(log: DataFrame, bronze_path: str, checkpoint: str, trigger: dict = DRAIN) -> None:
+    """Append envelopes to the raw table unless it has them already.
+
+    Each batch is held against the stored keys of its own arrival dates: a
+    repeated event has the arrival it had before. However late an event comes, it
+    is kept once.
+    """
+
+    def act(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        fresh = with_arrival(one_per_key(batch, EVENT_KEYS))
+        if folder_exists(spark, bronze_path):
+            others = spark.read.parquet(bronze_path).filter(
+                _on_days("arrival_date", _days(fresh, "arrival_date")) & (F.col("_batch") != number)
+            )
+            seen = others.select(*(F.col(key).alias(f"_{key}") for key in EVENT_KEYS))
+            same = [F.col(key).eqNullSafe(F.col(f"_{key}")) for key in EVENT_KEYS]
+            fresh = fresh.join(seen, same[0] & same[1], "left_anti")
+        _write_batch(fresh, number, bronze_path, ["arrival_date"])
+
+    for_each_batch(log, act, checkpoint, trigger=trigger)
+
+
+def _write_batch(df: DataFrame, number: int, path: str, by: list[str]) -> None:
+    """Put a batch into partitions of its own, replacing what an earlier try of it has left."""
+    sinks.write_table(df.withColumn("_batch", F.lit(number)), path, [*by, "_batch"], replace_only_present=True)
+
+
+def _period_day(df: DataFrame) -> Column:
+    """The day of an event's period, which all events of a gold key share; the poll's where there is no period."""
+    day = F.substring("period_from", 1, 10).try_cast("date")
+    if "data_timestamp" not in df.columns:
+        return day
+    polled = F.col("data_timestamp").cast("date")
+    regional = F.col("event_type") == "regional_generation" if "event_type" in df.columns else F.lit(True)
+    return F.when(regional, F.coalesce(day, polled)).otherwise(day)
+
+
 def refresh_tables(
     log: DataFrame, silver_path: str, gold_base: str, checkpoint: str, latest_only: bool = True
 ) -> None:
-    """Silver by kind of event, and the five gold tables, from each batch.
+    """Silver by day and kind of event from all batches, and the five gold tables.
 
-    Gold reads the silver that the batch has just written, so the batch is
-    parsed once. Both are overwritten, which makes a repeated batch harmless.
+    Silver keeps every event. With ``latest_only`` gold shows the newest cycle of
+    all batches: a batch of an older one leaves it as it is, and a cycle that
+    comes in several batches is put together. Otherwise gold holds all history by
+    day of the period, and a batch rebuilds the days it has events for.
     """
 
-    def act(batch: DataFrame, _: int) -> None:
+    def act(batch: DataFrame, number: int) -> None:
         if batch.isEmpty():
             return
         spark = batch.sparkSession
-        chosen = carbon.latest_arrival(batch) if latest_only else batch
-        events = sinks.with_processed_time(payload.parsed(chosen))
-        sinks.write_table(events, silver_path, ["event_type"])
-        stored = spark.read.parquet(silver_path)
-        current = carbon.latest_cycle(stored) if latest_only else stored
-        for name, build in carbon.GOLD.items():
-            sinks.write_table(build(current), f"{gold_base}/{name}")
+        events = sinks.with_processed_time(payload.parsed(batch))
+        events = events.withColumn("on_date", _period_day(events))
+        _write_batch(events, number, silver_path, ["on_date", "event_type"])
+        if latest_only:
+            _newest_cycle(spark, events, number, silver_path, gold_base)
+        else:
+            days = _days(events, "on_date")
+            touched = spark.read.parquet(silver_path).filter(_on_days("on_date", days)).drop("_batch", "on_date")
+            for name, build in carbon.GOLD.items():
+                table = build(touched)
+                by_day = table.withColumn("on_date", _gold_day(name, table))
+                sinks.write_table(by_day, f"{gold_base}/{name}", ["on_date"], replace_only_present=True)
 
     for_each_batch(log, act, checkpoint)
 
 
+def _gold_day(name: str, table: DataFrame) -> Column:
+    if name == "gold_regional_generation":
+        return _period_day(table)
+    return F.substring("period_from", 1, 10).try_cast("date")
+
+
+def _newest_cycle(spark: SparkSession, events: DataFrame, number: int, silver_path: str, gold_base: str) -> None:
+    """Gold of the cycle that arrived last, from the batches that have part of it."""
+    arrivals = f"{gold_base}/arrivals"
+    _write_batch(events.agg(F.max("event_time").alias("last")), number, arrivals, [])
+    known = spark.read.parquet(arrivals)
+    holders = [row["_batch"] for row in carbon.latest_by(known, F.col("last")).collect()]
+    if number not in holders:
+        return
+    rows = spark.read.parquet(silver_path).filter(F.col("_batch").isin(*holders)).drop("_batch", "on_date")
+    current = carbon.latest_cycle(carbon.latest_by(rows, F.col("event_time")))
+    for name, build in carbon.GOLD.items():
+        sinks.write_table(build(current), f"{gold_base}/{name}")
+
+
 def keep_timeline(log: DataFrame, path: str, checkpoint: str, width: str = "30 minutes") -> None:
-    """The intensity timeline as a table, updated with every batch.
+    """The intensity timeline by day, brought up to date by every batch.
 
-    State and table hold one row per time window, whatever the number of events.
+    Each batch adds its sums per window beside the table; the days it touches are
+    summed up anew from these. Feed it what ``ingest_once`` has stored: repeated
+    events would count again.
     """
-    windows = carbon.timeline(payload.parsed(log), width=width)
-    for_each_batch(windows, lambda batch, _: sinks.write_table(batch, path), checkpoint, mode="complete")
+    parts = f"{path.rstrip('/')}-parts"
+
+    def act(batch: DataFrame, number: int) -> None:
+        if batch.isEmpty():
+            return
+        sums = carbon.timeline_sums(payload.parsed(batch), width=width)
+        sums = sums.withColumn("on_date", F.col("window_start").cast("date"))
+        days = _days(sums, "on_date")
+        if not days:
+            return
+        _write_batch(sums, number, parts, ["on_date"])
+        touched = batch.sparkSession.read.parquet(parts).filter(_on_days("on_date", days))
+        table = carbon.timeline_of(touched).withColumn("on_date", F.col("window_start").cast("date"))
+        sinks.write_table(table, path, ["on_date"], replace_only_present=True)
+
+    for_each_batch(log, act, checkpoint)
