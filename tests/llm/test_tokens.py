@@ -12,7 +12,7 @@ from viagrid.llm import tokens, wavelet
 from viagrid.llm.files import create, opened
 
 WORD = public_tokenizers.path("word_bpe_49k.json")
-ODD = ["", None, "Hello, world's end", "a<|endoftext|>b <|startoftext|> <|ENDOFTEXT|>", "ΑΣ ΑΣ'S x́ ́a Ångström İx", "\x1cab a\x85b a\xa0b c", "que&&& " * 300, "x" * 20_000 + " y", "\U0001f600‍😀 😀"]
+ODD = ["", None, "Hello, world's end", "a<|endoftext|>b <|startoftext|> <|ENDOFTEXT|>", "ΑΣ ΑΣ'S x́ ́a Ångström İx", "\x1cab a\x85b a\xa0b c", "que&&& " * 300, "x" * 20_000 + " y", "\U0001f600‍😀 😀", "J\u030c I\u0307. …, a…. ’s. it's. <|Endoftext|>, B. ?! .a 5.5,"]
 
 
 @pytest.fixture(scope="module")
@@ -33,8 +33,8 @@ def test_ids_are_the_librarys(library):
     assert not len(encoder.counts(pa.array([], pa.string())))
 
 
-@settings(max_examples=80, deadline=None)
-@given(st.lists(st.text(max_size=30), max_size=6))
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.one_of(st.text(max_size=30), st.text(alphabet="aJK.,!?' é<|>\u030c\u0307\n1", max_size=30)), max_size=6))
 def test_any_texts(texts):
     tokenizer = Tokenizer.from_file(WORD)
     encoder = tokens.encoder(WORD)

@@ -1,13 +1,15 @@
 """Token ids and token counts of whole texts, encoded in Arrow batches.
 
 Where a tokenizer drops white space, the ids of a text are those of its words
-one after another, so texts are split at white space: each distinct word is
-encoded once per worker and kept in a bounded table. Other tokenizers encode
-whole texts in batches balanced by bytes.
+one after another, so texts are split at white space (and before final marks,
+where the tokenizer parts them too): each distinct piece is encoded once per
+worker and kept in a bounded table. Other tokenizers encode whole texts in
+batches balanced by bytes.
 """
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,6 +21,42 @@ from viagrid.llm.text import Words, buffer_of, by_bytes, words_of
 
 #: Text encoded at a time, words kept by a worker, words joined into one call, bytes of a call.
 BATCH_BYTES, KEPT_WORDS, JOINED_WORDS, CALL_BYTES = 4 << 20, 1_200_000, 500, 1 << 18
+#: Final marks that are parted off a word; a longer run stays with it.
+MOST_MARKS = 8
+_FINAL = np.zeros(256, dtype=bool)
+_FINAL[list(b".,;:!?")] = True
+_PLAIN_END = np.zeros(256, dtype=bool)
+_PLAIN_END[[*range(48, 58), *range(65, 91), *range(97, 123)]] = True
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+_NO_FOLD = np.zeros(256, dtype=bool)
+_NO_FOLD[[ord("<"), *range(128, 256)]] = True
+
+
+def units_of(words: Words) -> Words:
+    """Words with final marks parted off and, where that changes no id, A-Z folded.
+
+    Behind an ASCII letter or digit a run of marks is a piece of its own for a
+    tokenizer that parts letters, digits and marks. Only words of ASCII without
+    ``<``, which may begin a special token, are folded.
+    """
+    if not len(words.start):
+        return words
+    cut, ending = words.end.copy(), np.arange(len(words.end))
+    for _ in range(MOST_MARKS):
+        ending = ending[_FINAL[words.data[cut[ending] - 1]]]
+        cut[ending] -= 1
+        ending = ending[cut[ending] > words.start[ending]]
+    split = (cut > words.start) & (cut < words.end)
+    split &= _PLAIN_END[words.data[cut - 1]]
+    pieces = np.concatenate((np.zeros(1, np.int64), np.cumsum(1 + split)))
+    start, end = np.repeat(words.start, 1 + split), np.repeat(words.end, 1 + split)
+    tails = pieces[1:][split] - 1
+    start[tails], end[tails - 1] = cut[split], cut[split]
+    odd = np.logical_or.reduceat(_NO_FOLD[words.data], words.start)
+    kept = np.repeat(np.append(True, odd), np.diff(np.concatenate(([0], words.start, [len(words.data)]))))
+    data = np.where(kept, words.data, _LOWER[words.data])
+    return Words(data, start, end, pieces[words.first])
 
 
 class WordTable:
@@ -42,14 +80,13 @@ class WordTable:
         at[at == len(self.keys)] = 0
         return at, self.keys[at] != keys
 
-    def add(self, keys: np.ndarray, lengths: np.ndarray, ids: np.ndarray) -> None:
-        """New sorted keys with their ids, one word after another."""
+    def add(self, keys: np.ndarray, lengths: np.ndarray, at: np.ndarray, ids: np.ndarray) -> None:
+        """New sorted keys: how many ids each has, and where they begin in ``ids``."""
         where = np.searchsorted(self.keys, keys)
-        starts = np.cumsum(lengths, dtype=np.int64) - lengths + len(self.pool)
         self.keys = np.insert(self.keys, where, keys)
         self.lengths = np.insert(self.lengths, where, lengths)
-        self.at = np.insert(self.at, where, starts)
-        self.pool = np.concatenate((self.pool, ids.astype(np.uint32)))
+        self.at = np.insert(self.at, where, at + len(self.pool))
+        self.pool = np.concatenate((self.pool, ids))
 
 
 class Encoder:
@@ -64,6 +101,7 @@ class Encoder:
 
             self.pieces = sentencepiece.SentencePieceProcessor(model_file=path)
             return
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -72,7 +110,11 @@ class Encoder:
         probe = "a,b'S ½é x9́ ́y"
         self.by_word = all(self._whole([f"{probe}{s}{probe}"])[0] == self._whole([probe])[0] * 2 for s in "\x20\t\n\x0b\x0c\r")
         self.by_word &= self._whole([probe])[0] == [i for ids in self._whole(probe.split(" ")) for i in ids]
-        plain = [(i, t.content) for i, t in self.tokenizer.get_added_tokens_decoder().items() if t.special and not (t.normalized or t.lstrip or t.rstrip or t.single_word)]
+        marked, parts = "Ab1.,;:!? x9?!", ["ab1", ".,;:!?", "x9", "?!"]
+        self.parted = self.by_word and self._whole([marked])[0] == [i for ids in self._whole(parts) for i in ids]
+        added = self.tokenizer.get_added_tokens_decoder().items()
+        self.parted &= all("<" in t.content for _, t in added)
+        plain = [(i, t.content) for i, t in added if t.special and not (t.normalized or t.lstrip or t.rstrip or t.single_word)]
         self.mark = min(plain, default=None)
 
     def _whole(self, texts: list[str]) -> list[list[int]]:
@@ -80,31 +122,31 @@ class Encoder:
             return self.pieces.encode(texts, num_threads=1)
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Lengths and ids of words; many plain ones share a call, parted by a special token."""
+    def _words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Lengths, places and ids of words; many plain ones share a call, parted by a special token."""
         texts = [w.decode("utf-8") for w in words]
-        if self.mark is None:
-            ids = self._whole(texts)
-            return np.array([len(i) for i in ids], np.int32), np.array([i for x in ids for i in x], np.uint32)
-        mark, string = self.mark
-        own = [k for k, t in enumerate(texts) if string[0] in t or len(t) > CALL_BYTES // JOINED_WORDS]
-        odd = set(own)
-        plain = [k for k in range(len(texts)) if k not in odd]
-        calls = [plain[i : i + JOINED_WORDS] for i in range(0, len(plain), JOINED_WORDS)]
-        parts: list[np.ndarray] = [np.empty(0, np.uint32)] * len(texts)
+        mark, string = self.mark or (0, "")
+        alone = np.array([not string or string[0] in t or len(t) > CALL_BYTES // JOINED_WORDS for t in texts])
+        plain = [t for t, single in zip(texts, alone) if not single]
+        calls = [string.join(plain[i : i + JOINED_WORDS]) for i in range(0, len(plain), JOINED_WORDS)]
+        flat = []
         for i in range(0, len(calls), 64):
-            group = calls[i : i + 64]
-            for call, ids in zip(group, self._whole([string.join(texts[k] for k in call) for call in group])):
-                flat = np.array(ids, np.uint32)
-                cuts = np.flatnonzero(flat == mark)
-                for k, a, b in zip(call, np.append(-1, cuts) + 1, np.append(cuts, len(flat))):
-                    parts[k] = flat[a:b]
-        for k in own:
-            parts[k] = np.array(self._whole([texts[k]])[0], np.uint32)
-        return np.array([len(p) for p in parts], np.int32), np.concatenate([*parts, np.empty(0, np.uint32)])
+            for ids in self._whole(calls[i : i + 64]):
+                flat += [np.array(ids, np.uint32), np.array([mark], np.uint32)]
+        joined = np.concatenate([*flat, np.empty(0, np.uint32)])
+        is_mark = joined == mark
+        lengths = np.empty(len(texts), np.int64)
+        lengths[~alone] = np.diff(np.append(-1, np.flatnonzero(is_mark))) - 1 if plain else 0
+        single = [np.array(self._whole([texts[k]])[0], np.uint32) for k in np.flatnonzero(alone)]
+        lengths[alone] = [len(x) for x in single]
+        ids = np.concatenate([joined[~is_mark] if plain else joined, *single])
+        order = np.concatenate((np.flatnonzero(~alone), np.flatnonzero(alone)))
+        at = np.empty(len(texts), np.int64)
+        at[order] = np.cumsum(lengths[order]) - lengths[order]
+        return lengths, at, ids
 
     def _placed(self, words: Words) -> np.ndarray:
-        """The place in the table of every word of a batch."""
+        """The place in the table of every unit of a batch."""
         keys, first, inverse = np.unique(words.hashes(), return_index=True, return_inverse=True)
         at, absent = self.table.places(keys)
         if absent.any():
@@ -113,8 +155,8 @@ class Encoder:
                 absent[:] = True
             new = np.flatnonzero(absent)
             data = words.data.tobytes()
-            lengths, ids = self._words([data[words.start[k] : words.end[k]] for k in first[new]])
-            self.table.add(keys[new], lengths, ids)
+            begins, ends = words.start[first[new]].tolist(), words.end[first[new]].tolist()
+            self.table.add(keys[new], *self._words([data[a:b] for a, b in zip(begins, ends)]))
             at, _ = self.table.places(keys)
         return at[inverse]
 
@@ -126,7 +168,7 @@ class Encoder:
             if not self.by_word:
                 out.append(np.array([len(x) for x in self._whole([t or "" for t in part.to_pylist()])], np.int64))
                 continue
-            words = words_of(part)
+            words = units_of(words_of(part)) if self.parted else words_of(part)
             sums = np.concatenate((np.zeros(1, np.int64), np.cumsum(self.table_lengths(words))))
             out.append(sums[words.first[1:]] - sums[words.first[:-1]])
         return np.concatenate(out)
@@ -143,7 +185,7 @@ class Encoder:
                 ids = [np.array(x, np.uint32) for x in self._whole([t or "" for t in part.to_pylist()])]
                 yield i, np.concatenate([*ids, np.empty(0, np.uint32)]), np.cumsum([0, *map(len, ids)])
                 continue
-            words = words_of(part)
+            words = units_of(words_of(part)) if self.parted else words_of(part)
             at = self._placed(words)
             lengths = self.table.lengths[at].astype(np.int64)
             ends = np.cumsum(lengths)
