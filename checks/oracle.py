@@ -170,11 +170,13 @@ CTES = {
  CASE l_suppkey % 3 WHEN 0 THEN 'Major' WHEN 1 THEN 'Minor' ELSE 'Other' END AS road_type,
  CASE WHEN l_orderkey % 89 <> 0 THEN (485 + l_partkey % 130) / 10.0::DOUBLE END AS latitude,
  (l_partkey % 110 - 85) / 10.0::DOUBLE AS longitude,
- (1 + l_partkey % 50) / 10.0::DOUBLE AS link_length_km,
+ CASE WHEN l_orderkey % 113 <> 0 THEN (1 + l_partkey % 50) / 10.0::DOUBLE END AS link_length_km,
  CAST(l_quantity AS INTEGER) AS pedal_cycles, CAST(l_suppkey % 20 AS INTEGER) AS two_wheeled_motor_vehicles,
  CAST(floor(l_extendedprice / 10) AS INTEGER) AS cars_and_taxis, CAST(l_suppkey % 30 AS INTEGER) AS buses_and_coaches,
  CAST(floor(l_extendedprice / 50) AS INTEGER) AS lgvs,
- CASE WHEN l_orderkey % 97 <> 0 THEN CAST(floor(l_extendedprice / 100) AS INTEGER) END AS all_hgvs,
+ CASE WHEN l_orderkey % 97 = 0 OR l_orderkey % 103 = 0 OR l_orderkey % 107 = 0 THEN NULL
+  WHEN l_orderkey % 109 = 0 THEN 1500 WHEN l_orderkey % 1999 = 0 THEN 2147483647
+  ELSE CAST(floor(l_extendedprice / 100) AS INTEGER) END AS all_hgvs,
  CAST(l_suppkey % 20 + floor(l_extendedprice / 10) + l_suppkey % 30 + floor(l_extendedprice / 50)
   + floor(l_extendedprice / 100) AS INTEGER) AS all_motor_vehicles, l_partkey, l_linenumber FROM lineitem""",
     "annual_counts": f"""SELECT * EXCLUDE (l_partkey, l_linenumber), {SUM_ALL} AS total_vehicles,

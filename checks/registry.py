@@ -15,6 +15,7 @@ from viagrid.sources import sinks
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+BUILDS: dict[str, Callable[[Inputs], DataFrame]] = {}
 
 
 def add(key: str, build: Callable[[Inputs], DataFrame], body: str | None = None) -> None:
@@ -28,6 +29,7 @@ def add(key: str, build: Callable[[Inputs], DataFrame], body: str | None = None)
     if key in QUERIES:
         raise ValueError(f"{key} is registered twice")
     QUERIES[key] = run
+    BUILDS[key] = build
     if body is not None:
         ORACLES[key] = oracle.sql(body)
 

@@ -32,14 +32,17 @@ def annual_raw(lineitem: DataFrame) -> DataFrame:
         "case when l_orderkey % 89 = 0 then 'nan'"
         " else cast((485 + l_partkey % 130) / 10.0D as string) end as latitude",
         "cast((l_partkey % 110 - 85) / 10.0D as string) as longitude",
-        "cast((1 + l_partkey % 50) / 10.0D as string) as link_length_km",
+        "case when l_orderkey % 113 = 0 then 'Infinity'"
+        " else cast((1 + l_partkey % 50) / 10.0D as string) end as link_length_km",
         "cast(cast(l_quantity as int) as string) as pedal_cycles",
         "cast(l_suppkey % 20 as string) as two_wheeled_motor_vehicles",
         "case when l_orderkey % 7 = 0 then cast(floor(l_extendedprice / 10) || '.0' as string)"
         " else cast(floor(l_extendedprice / 10) as string) end as cars_and_taxis",
         "cast(l_suppkey % 30 as string) as buses_and_coaches",
         "cast(floor(l_extendedprice / 50) as string) as lgvs",
-        "case when l_orderkey % 97 = 0 then 'None'"
+        "case when l_orderkey % 97 = 0 then 'None' when l_orderkey % 103 = 0 then '12.abc'"
+        " when l_orderkey % 107 = 0 then '7.8.9' when l_orderkey % 109 = 0 then '1.5e3'"
+        " when l_orderkey % 1999 = 0 then '2147483647'"
         " else cast(floor(l_extendedprice / 100) as string) end as all_hgvs",
         "cast(l_suppkey % 20 + floor(l_extendedprice / 10) + l_suppkey % 30"
         " + floor(l_extendedprice / 50) + floor(l_extendedprice / 100) as string) as all_motor_vehicles",
