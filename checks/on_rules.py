@@ -298,6 +298,12 @@ add(
 )
 
 # ============================================================ set operations
+add(
+    "U2_latest_per_key",
+    lambda i: keyed.one_per_key(i.table("lineitem"), ["l_orderkey"], ["l_shipdate", "l_linenumber"]),
+    """SELECT * EXCLUDE (rn) FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY l_orderkey
+ ORDER BY l_shipdate DESC NULLS LAST, l_linenumber DESC NULLS LAST) AS rn FROM lineitem) WHERE rn = 1""",
+)
 add(
     "U2_one_per_key",
     lambda i: keyed.one_per_key(i.table("lineitem"), ["l_orderkey", "l_linenumber"]),

@@ -81,7 +81,13 @@ FUELS = ("biomass", "coal", "imports", "gas", "nuclear", "other", "hydro", "sola
 PERIOD_ORDER = {"morning_peak": 1, "evening_peak": 2, "inter_peak": 3, "evening": 4}
 
 # Whole-number bands, both ends included.
-AGE_BANDS = [(16, 25), (26, 35), (36, 45), (46, 55), (56, 65)]
+DRIVER_AGES = [
+    (17, 25, "17-25"), (26, 35, "26-35"), (36, 45, "36-45"), (46, 55, "46-55"), (56, 65, "56-65"),
+]
+CASUALTY_AGES = [
+    (0, 15, "0-15"), (16, 25, "16-25"), (26, 35, "26-35"), (36, 45, "36-45"), (46, 55, "46-55"), (56, 65, "56-65"),
+]
+OLDEST_AGES = (65, "65+")
 PERIOD_HOURS = [(7, 9), (10, 15), (16, 18), (19, 22)]
 COUNT_PERIODS = ("morning_peak", "inter_peak", "evening_peak", "evening", "night")
 COLLISION_PERIODS = ("Morning Rush", "Midday", "Evening Rush", "Evening", "Night")
@@ -140,19 +146,19 @@ def at_least(
     return _marked(c, first_match([(c >= bound, name) for bound, name in floors], fallback), null_label)
 
 
-def _age_band(c: Column, youngest: list[tuple[int, int]]) -> Column:
-    bands = youngest + AGE_BANDS[1:]
-    rules = [(c.between(low, high), f"{low}-{high}") for low, high in bands]
-    return first_match([*rules, (c > AGE_BANDS[-1][1], "65+")], "Unknown")
+def _age_band(c: Column, bands: list[tuple[int, int, str]]) -> Column:
+    rules = [(c.between(low, high), label) for low, high, label in bands]
+    above, label = OLDEST_AGES
+    return first_match([*rules, (c > above, label)], "Unknown")
 
 
 def driver_age_band(c: Column) -> Column:
     """Drivers under 17 are Unknown."""
-    return _age_band(c, [(17, 25)])
+    return _age_band(c, DRIVER_AGES)
 
 
 def casualty_age_band(c: Column) -> Column:
-    return _age_band(c, [(0, 15), AGE_BANDS[0]])
+    return _age_band(c, CASUALTY_AGES)
 
 
 def count_period(hour: Column, null_label: str | None = None) -> Column:

@@ -14,7 +14,7 @@ from viagrid.operators.ranking import dense_top
 
 GROUP = ["region_name", "road_type"]
 
-# Sums of the traffic summary and of the vehicle mix: output name, counted column.
+# Fixed values. Sums of the traffic summary and of the vehicle mix: output name, counted column.
 SUMMARY_SUMS = {
     "total_cars": "cars_and_taxis",
     "total_buses": "buses_and_coaches",
@@ -25,6 +25,7 @@ SUMMARY_SUMS = {
     "total_motor_vehicles": "all_motor_vehicles",
     "total_all_vehicles": "total_vehicles",
 }
+# Names of the sums or views, and what they are of.
 MIX_SUMS = {
     "cycles": "pedal_cycles",
     "motorcycles": "two_wheeled_motor_vehicles",
@@ -34,6 +35,7 @@ MIX_SUMS = {
     "hgvs": "all_hgvs",
     "total": "total_vehicles",
 }
+# Names of the sums or views, and what they are of.
 MOTOR_SUMS = {
     "total_vehicles": "all_motor_vehicles",
     "total_hgvs": "all_hgvs",

@@ -15,6 +15,7 @@ from viagrid.operators.compare import with_change, with_growth
 from viagrid.operators.lookup import with_point
 from viagrid.plans.annual import MIX_SUMS, co2_per_vehicle, co2_sums, mix_shares, sums
 
+# Names of the sums or views, and what they are of.
 DAILY_SUMS = {
     "total_pedal_cycles": "pedal_cycles",
     "total_motorcycles": "two_wheeled_motor_vehicles",

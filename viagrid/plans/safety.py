@@ -15,29 +15,35 @@ from viagrid.functions import calendar, labels, metrics
 from viagrid.operators.ranking import dense_rank_within
 
 
-def _severity_counts(names: dict[str, str]) -> list[Column]:
-    return [F.count_if(F.col("severity_label") == label).alias(name) for name, label in names.items()]
+# Keys and output columns of the collision summary and of the hotspot cells.
+SUMMARY_KEYS = (
+    "collision_year", "collision_month", "severity_label", "weather_label", "light_condition_label", "is_urban", "speed_limit",
+)
+SUMMARY_SEVERITIES = {"fatal_count": "Fatal", "serious_count": "Serious", "slight_count": "Slight"}
+CELL_SEVERITIES = {"fatal_incidents": "Fatal", "serious_incidents": "Serious"}
+CELL_DIGITS = 2
+
+
+def _severity_counts(names: dict[str, str]) -> dict[str, Column]:
+    return {name: F.count_if(F.col("severity_label") == label) for name, label in names.items()}
+
+
+def _named(columns: dict[str, Column]) -> list[Column]:
+    return [column.alias(name) for name, column in columns.items()]
 
 
 def accident_summary(collisions: DataFrame) -> DataFrame:
     """Collisions, casualties and the share of killed or seriously injured."""
-    return (
-        collisions.groupBy(
-            "collision_year", "collision_month", "severity_label", "weather_label",
-            "light_condition_label", "is_urban", "speed_limit",
-        )
-        .agg(
-            F.count("collision_id").alias("total_collisions"),
-            F.sum("number_of_casualties").alias("total_casualties"),
-            F.sum("number_of_vehicles").alias("total_vehicles_involved"),
-            F.avg("number_of_casualties").alias("avg_casualties_per_collision"),
-            *_severity_counts(
-                {"fatal_count": "Fatal", "serious_count": "Serious", "slight_count": "Slight"}
-            ),
-        )
-        .withColumn("ksi_count", metrics.added(["fatal_count", "serious_count"]))
-        .withColumn("ksi_rate", metrics.percent(F.col("ksi_count"), F.col("total_collisions")))
-    )
+    counts = {
+        **_severity_counts(SUMMARY_SEVERITIES),
+        "total_collisions": F.count("collision_id"),
+        "total_casualties": F.sum("number_of_casualties"),
+        "total_vehicles_involved": F.sum("number_of_vehicles"),
+        "avg_casualties_per_collision": F.avg("number_of_casualties"),
+    }
+    ksi = metrics.added(["fatal_count", "serious_count"])
+    summed = collisions.groupBy(*SUMMARY_KEYS).agg(*_named(counts))
+    return summed.withColumns({"ksi_count": ksi, "ksi_rate": metrics.percent(ksi, F.col("total_collisions"))})
 
 
 def accident_hotspots(collisions: DataFrame) -> DataFrame:
@@ -47,26 +53,16 @@ def accident_hotspots(collisions: DataFrame) -> DataFrame:
     is what the ranking of a year sorts in one task. A cell with urban and rural
     collisions is rural.
     """
-    cells = (
-        collisions.groupBy(
-            F.round("latitude", 2).alias("lat_grid"),
-            F.round("longitude", 2).alias("lon_grid"),
-            "collision_year",
-        )
-        .agg(
-            F.count("collision_id").alias("total_incidents"),
-            *_severity_counts({"fatal_incidents": "Fatal", "serious_incidents": "Serious"}),
-            F.sum("number_of_casualties").alias("total_casualties"),
-            F.avg("speed_limit").alias("avg_speed_limit"),
-            F.min("is_urban").alias("is_urban"),
-        )
-        .withColumn(
-            "severity_score",
-            metrics.severity_score(
-                F.col("total_incidents"), F.col("fatal_incidents"), F.col("serious_incidents")
-            ),
-        )
-    )
+    grid = {"lat_grid": F.round("latitude", CELL_DIGITS), "lon_grid": F.round("longitude", CELL_DIGITS)}
+    counts = {
+        "is_urban": F.min("is_urban"),
+        "avg_speed_limit": F.avg("speed_limit"),
+        "total_casualties": F.sum("number_of_casualties"),
+        **_severity_counts(CELL_SEVERITIES),
+        "total_incidents": F.count("collision_id"),
+    }
+    score = metrics.severity_score(F.col("total_incidents"), *(F.col(name) for name in CELL_SEVERITIES))
+    cells = collisions.groupBy("collision_year", *_named(grid)).agg(*_named(counts)).withColumn("severity_score", score)
     return dense_rank_within(cells, ["collision_year"], "severity_score", "hotspot_rank")
 
 

@@ -22,6 +22,7 @@ BATCH_VIEWS = {
     "vw_dim_location": "dim_location",
     "vw_dim_date": "dim_date",
 }
+# Names of the sums or views, and what they are of.
 EVENT_VIEWS = {
     "vw_stream_national_intensity": "gold_national_intensity",
     "vw_stream_generation_mix": "gold_generation_mix",
