@@ -92,9 +92,16 @@ def fit(sample: np.ndarray, trees: int, tree_rows: int, seed: int = 7) -> Forest
 
 
 def fitted_forest(stats: DataFrame, trees: int = TREES, tree_rows: int = TREE_ROWS) -> Forest:
-    """A forest on ``trees * tree_rows`` documents with words, the first by a hash of id and shape."""
-    mark = F.xxhash64("doc_id", "shape")
-    drawn = stats.where("n_words > 0").select(mark.alias("mark"), "doc_id", "shape").orderBy("mark", "doc_id").limit(trees * tree_rows)
+    """A forest on ``trees * tree_rows`` documents with words, the first by a hash of id and shape.
+
+    Only hashes low enough for about twice that number are looked at, so what the
+    tasks send does not grow with the table.
+    """
+    marked = stats.where("n_words > 0").select(F.xxhash64("doc_id", "shape").alias("mark"), "doc_id", "shape")
+    share = 2 * trees * tree_rows / max(1, marked.count())
+    if share < 1:
+        marked = marked.where(F.col("mark") < int((share - 0.5) * 2**64))
+    drawn = marked.orderBy("mark", "doc_id").limit(trees * tree_rows)
     rows = [r["shape"] for r in drawn.collect()]
     return fit(np.array(rows).reshape(-1, len(SHAPES)), trees, tree_rows)
 
