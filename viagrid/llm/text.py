@@ -15,7 +15,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes hashed at a time; a longer word is hashed in one go.
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
 #: Words in a shingle.
 SHINGLE_WORDS = 5
 
@@ -120,7 +120,7 @@ def words_of(column: pa.Array) -> Words:
 
 def by_bytes(column: pa.Array, most: int) -> Iterator[tuple[int, int]]:
     """Row ranges of about ``most`` bytes of text each; a longer text is alone."""
-    _, bounds = buffer_of(column)
+    bounds = np.concatenate((np.zeros(1, np.int64), np.cumsum(np.asarray(pc.fill_null(pc.binary_length(column), 0), dtype=np.int64))))
     i = 0
     while i < len(column):
         j = max(i + 1, int(np.searchsorted(bounds, bounds[i] + most, "right")) - 1)
