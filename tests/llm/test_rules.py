@@ -86,3 +86,26 @@ def test_no_rows_and_no_labels(spark, docs_of):
     none = spark.createDataFrame([], "doc_id long, quality int")
     assert rules.judged(docs_of([]), none).count() == 0
     assert rules.judged(docs_of([(1, prose(1))]), none).collect()[0].kept
+
+
+def test_labelled_junk_is_rejected(spark, docs_of):
+    junk = [(k, " ".join(f"{w}{mark}" for w, mark in zip(prose(k).split(), ["###", "%%%", "&&&", "$$$"] * 99))) for k in range(200, 240)]
+    rows = [(k, prose(k)) for k in range(200)] + junk
+    wrongly = range(200, 240, 10)  # a few labels are wrong, as in any labelled table
+    labels = spark.createDataFrame([(k, int(k < 200 or k in wrongly)) for k, _ in rows], "doc_id long, quality int")
+    found = {r.doc_id: r for r in rules.judged(docs_of(rows), labels, 20, 64).collect()}
+    assert not any(found[k].base_failed for k in found)
+    assert not any(found[k].kept for k in range(200, 240) if k not in wrongly)
+    assert sum(found[k].kept for k in range(200)) >= 196
+
+
+def test_thresholds(spark):
+    def step(good, bad):
+        every = [(k, s, q) for k, (s, q) in enumerate([(s, 1) for s in good] + [(s, 0) for s in bad])]
+        scored = spark.createDataFrame([(k, s, False) for k, s, _ in every], "doc_id long, step long, base_failed boolean")
+        return rules.threshold(scored, spark.createDataFrame([(k, q) for k, _, q in every] + [(0, None)], "doc_id long, quality int"))
+
+    assert 800 <= step([800] * 50 + [1900], [1200] * 20 + [700]) < 1200
+    assert step([800] * 50, [1200]) == 1000
+    assert step([800] * 50, []) == 800
+    assert step([], [1200]) == rules.STEPS

@@ -2,7 +2,7 @@
 
 Each tree isolates a small hash-drawn sample by random splits; a document that
 ends in few splits is an anomaly. Which anomaly is too much is calibrated on all
-labelled rows, so that good ones stay.
+labelled rows, good and bad.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from viagrid.llm.stats import COUNTS, SHAPES, with_stats
 
 #: Size of the forest: rows in a tree's sample and trees; together the bound on what the fit reads.
 TREE_ROWS, TREES = 256, 100
-#: Share of good labelled documents that the forest may reject.
+#: Share of good labelled documents that the forest may reject where no bad ones are labelled.
 GOOD_LOSS = 0.002
 #: Steps in which scores are compared with the threshold.
 STEPS = 2000
@@ -111,16 +111,25 @@ def base_failed() -> Column:
 
 
 def threshold(scored: DataFrame, labels: DataFrame, loss: float = GOOD_LOSS) -> int:
-    """The least step at which at most ``loss`` of the good rows are above it; every step passes if no row is good."""
-    good = labels.where("quality = 1 and doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
-    rows = scored.where("not base_failed").join(good, "doc_id").groupBy("step").count().collect()
-    at = {r["step"]: r["count"] for r in rows}
-    allowed, above = int(loss * sum(at.values())), 0
-    for step in range(STEPS, -1, -1):
-        above += at.get(step, 0)
-        if above > allowed:
-            return step
-    return STEPS
+    """The step with the fewest labelled rows on its wrong side (good above it, bad not), the middle one of equals.
+
+    Where no bad row passes the base rules, the least step at which at most ``loss``
+    of the good rows are above it; every step passes if no row is good.
+    """
+    known = labels.where("quality in (0, 1) and doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality"))
+    rows = scored.where("not base_failed").join(known.distinct(), "doc_id").groupBy("step", "quality").count().collect()
+    at = np.zeros((2, STEPS + 1), dtype=np.int64)
+    for r in rows:
+        at[r["quality"], r["step"]] += r["count"]
+    bad, good = np.cumsum(at, axis=1)
+    above = good[-1] - good
+    if not good[-1]:
+        return STEPS
+    if not bad[-1]:
+        return int(np.argmax(above <= int(loss * good[-1])))
+    wrong = bad + above
+    least = np.flatnonzero(wrong == wrong.min())
+    return int(least[len(least) // 2])
 
 
 def _scored(forest):
@@ -138,8 +147,8 @@ def _scored(forest):
 def judged(docs: DataFrame, labels: DataFrame, trees: int = TREES, tree_rows: int = TREE_ROWS, loss: float = GOOD_LOSS) -> DataFrame:
     """doc_id, the counts, base_failed, anomaly (0 to 1) and kept of every row of ``docs``.
 
-    ``labels`` has doc_id and quality (1: good); others calibrate nothing. A null
-    or empty text has no words and fails the base rules. Repeated rows and null
+    ``labels`` has doc_id and quality (1: good, 0: bad); others calibrate nothing, and
+    an id labelled both ways counts on both sides. A null or empty text has no words and fails the base rules. Repeated rows and null
     ids are judged like any other; without good labels the forest rejects none.
     """
     spark = docs.sparkSession
