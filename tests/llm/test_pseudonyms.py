@@ -50,3 +50,32 @@ def test_round_trip(docs_of):
     want = [(k, t.replace("5/6/1987", "05/06/1987") if t else t) for k, t in rows]
     assert sorted(((r.doc_id, r.text) for r in back.collect()), key=repr) == sorted(want, key=repr)
     assert p.pseudonymised(docs_of([]), KEY).count() == 0
+
+
+CARDS = ["4111111111111111", "4111 1111 1111 1111", "5500-0000-0000-0004", "3782 822463 10005", "411111 1111 111111"]
+
+
+def test_cards_beside_other_digits():
+    names, back = p.Pseudonyms(KEY), p.Pseudonyms(KEY, back=True)
+    for card in CARDS:
+        other = p._filled(card, names.card(re.sub(r"\D", "", card)))
+        for form in ("{} 12/27", "{} 123", "room 12 {}", "room 12 {} 123", "{} 12-27", "+1 (017) 555-7713 {}", "1987-06-05 {} 10.0.200.3", "{} 05.06.1987"):
+            if card == CARDS[4] and form == "room 12 {} 123":
+                continue  # 21 digits in a form that is not listed
+            text, counts = names.text(form.format(card))
+            assert other in text and counts[0] == 1, form.format(card)
+            assert back.text(text)[0] == form.format(card)
+    text, counts = names.text(" ".join(CARDS))
+    assert counts[0] == 5 and back.text(text)[0] == " ".join(CARDS)
+    text, counts = names.text("+1 017 555 7713 4111 1111 1111 1111")
+    assert counts[:2] == [1, 1] and text.replace(" ", "").endswith(names.card(CARDS[0]))
+    assert names.text("12 4111111111111112 12/27")[0] == "12 4111111111111112 12/27"
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.one_of(st.sampled_from(CARDS), st.from_regex(r"\A[0-9]{1,5}\Z"), st.from_regex(r"\A[0-9]{4} [0-9]{4}\Z"), st.from_regex(r"\A[0-9]{6} [0-9]{13}\Z")), max_size=12), st.sampled_from([" ", "-"]))
+def test_runs_are_undone(parts, mark):
+    run = mark.join(parts)
+    text, counts = p.Pseudonyms(KEY).text(run)
+    again, same = p.Pseudonyms(KEY, back=True).text(text)
+    assert again == run and counts == same

@@ -22,13 +22,25 @@ KINDS = ("card", "phone", "ip", "date", "email")
 #: Dates are permuted among the days of these years.
 FIRST_DAY, LAST_DAY = datetime.date(1900, 1, 1).toordinal(), datetime.date(2099, 12, 31).toordinal()
 
+#: A card in four fours or in 4, 6 and 4 or 5 digits; where a phone number can end before it, it does.
+_FORM = r"[ -]\d{4}[ -](?:\d{4}[ -]\d{4}[ -]\d{4}(?!\d|[ -]\d{4}(?!\d))|\d{6}[ -]\d{4,5}(?!\d))"
 _NUMBERS = re.compile(
     r"(?P<ip>(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?!\d|\.\d))"
     r"|(?P<date>(?<![\d./-])(?:\d{4}-\d{2}-\d{2}|\d{1,2}\.\d{1,2}\.\d{4}|\d{1,2}/\d{1,2}/\d{4})(?![\d/-]|\.\d))"
-    r"|(?P<phone>(?<![\d+])\+\d{1,3}[ .-]?\(?\d{2,4}\)?(?:[ .-]?\d{2,4}){2,3}(?!\d))"
-    r"|(?P<card>(?<!\d)\d(?:[ -]?\d){12,18}(?!\d))",
+    r"|(?P<phone>(?<![\d+])\+\d{1,3}[ .-]?\(?\d{2,4}\)?"
+    r"(?:(?:(?!" + _FORM + r")[ .-]?\d{2,4}){2,3}(?!\d)|(?:[ .-]?\d{2,4}){2,3}(?!\d)))",
     re.ASCII,
 )
+#: Digit groups with single blanks or hyphens between them, 13 digits or more.
+_RUN = re.compile(r"(?<!\d)\d(?:[ -]?\d){12,}(?!\d)", re.ASCII)
+_GROUP = re.compile(r"\d+", re.ASCII)
+#: Sizes of the groups in which cards are written, besides a single one; of two forms at a place the one of fewer groups wins.
+CARD_FORMS = {
+    (4, 4, 4, 4), (4, 6, 5), (4, 6, 4), (4, 3, 3, 3), (4, 5, 6), (4, 4, 4, 2), (4, 4, 4, 3), (4, 4, 5), (8, 8), (6, 10), (6, 13),
+    (4, 4, 4, 4, 1), (4, 4, 4, 4, 2), (4, 4, 4, 4, 3),
+}
+#: Groups of 13 to 19 digits in other forms are searched for parts that are a card if they are no more than these.
+PART_GROUPS = 6
 _EMAIL = re.compile(r"(?<![A-Za-z0-9_.+-])([A-Za-z0-9_.+-]+)@((?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,})(?![A-Za-z0-9])")
 _LAST = re.compile(r"\d")
 
@@ -81,6 +93,76 @@ def luhn_digit(payload: str) -> str:
     return str(-total % 10)
 
 
+def is_card(digits: str) -> bool:
+    return 13 <= len(digits) <= 19 and luhn_digit(digits[:-1]) == digits[-1] and len(set(digits)) > 1
+
+
+class CardRun:
+    """The cards among digit groups that stand together: single groups, then ``CARD_FORMS``, then other groups of 13 to 19 digits.
+
+    A number is replaced only by one with which the search finds the same cards
+    again, so that pseudonyms can be turned back.
+    """
+
+    def __init__(self, groups: list[str]):
+        self.groups, self.sizes = groups, [len(g) for g in groups]
+        self.single = [is_card(g) for g in groups]
+        self.forms = [(i, i + 1, 0, None) for i, one in enumerate(self.single) if one]
+        n, i, gap = len(groups), 0, 0
+        while i < n:
+            j = i + 1 if self.single[i] else next((e for e in self._ends(i) if self._card(i, e)), 0)
+            if j and not self.single[i]:
+                self.forms.append((i, j, gap, [(i, e) for e in self._ends(i) if e < j]))
+            gap, i = j or gap, j or i + 1
+        self.others = []
+        taken = sorted((i, j) for i, j, _, _ in self.forms)
+        for a, b in zip([0] + [j for _, j in taken], [i for i, _ in taken] + [n]):
+            self._search_others(a, b)
+
+    def _card(self, i: int, j: int) -> bool:
+        return is_card("".join(self.groups[i:j]))
+
+    def _ends(self, i: int) -> list[int]:
+        """Ends of the forms that begin at a group, without those that hold a card of one group."""
+        return [i + k for k in (2, 3, 4, 5) if tuple(self.sizes[i : i + k]) in CARD_FORMS and not any(self.single[i : i + k])]
+
+    def _search_others(self, a: int, b: int) -> None:
+        i = a
+        while i < b:
+            j, digits = i, 0
+            while j < b and digits + self.sizes[j] <= 19:
+                digits += self.sizes[j]
+                j += 1
+            if digits < 13:
+                i += 1
+                continue
+            parts = [(x, y) for x in range(i, j) for y in range(j, x, -1)] if j - i <= PART_GROUPS else [(i, j)]
+            for k, (x, y) in enumerate(parts):
+                if self._card(x, y):
+                    self.others.append((x, y, a, parts[:k]))
+                    break
+            i = j
+
+    def _same(self, i: int, j: int, gap: int, before: list[tuple[int, int]], last: int) -> bool:
+        """Whether nothing that comes before the card of groups ``i`` to ``j`` in the search is a card."""
+        if any(is_card(g) for g in self.groups[i:j]) and j - i > 1 or any(self._card(x, y) for x, y in before):
+            return False
+        return not any(self._card(s, e) for s in range(max(gap, i - 4), last) for e in self._ends(s) if e > i)
+
+    def replace(self, other, back: bool) -> int:
+        """Puts ``other`` of each card in its place; the number of cards."""
+        cards = [(*c, c[0]) for c in self.forms] + [(*c, c[1]) for c in self.others]
+        for i, j, gap, before, last in reversed(cards) if back else cards:
+            while True:
+                digits, at = other("".join(self.groups[i:j])), 0
+                for k in range(i, j):
+                    self.groups[k] = digits[at : at + self.sizes[k]]
+                    at += self.sizes[k]
+                if before is None or self._same(i, j, gap, before, last):
+                    break
+        return len(cards)
+
+
 def _filled(value: str, digits: str) -> str:
     """``value`` with its digits replaced in order."""
     it = iter(digits)
@@ -104,14 +186,13 @@ class Pseudonyms:
         n = len(digits)
         return str(self._permuted(f"{tweak}{n}", 10**n, int(digits))).zfill(n)
 
-    def card(self, value: str) -> str | None:
-        digits = re.sub(r"\D", "", value)
-        if luhn_digit(digits[:-1]) != digits[-1] or len(set(digits)) == 1:
+    def card(self, digits: str) -> str | None:
+        if not is_card(digits):
             return None
         payload = self._digits("card", digits[:-1])
         if len(set(payload + luhn_digit(payload))) == 1:  # not a number that would be taken: walk on
             payload = self._digits("card", payload)
-        return _filled(value, payload + luhn_digit(payload))
+        return payload + luhn_digit(payload)
 
     def phone(self, value: str) -> str | None:
         digits = re.sub(r"\D", "", value)
@@ -177,6 +258,22 @@ class Pseudonyms:
             counts[kind] += other is not None
             return value if other is None else other
 
+        def put_cards(run: re.Match) -> str:
+            found = CardRun(_GROUP.findall(run[0]))
+            n = found.replace(lambda digits: self.of("card", digits), self.way == "back")
+            counts["card"] += n
+            return _filled(run[0], "".join(found.groups)) if n else run[0]
+
+        def put_numbers(part: str) -> str:
+            """Cards are sought between the other numbers, so that these do not join them."""
+            out, last = [], 0
+            for m in _NUMBERS.finditer(part):
+                other = put(m.lastgroup, m[0])
+                if self.of(m.lastgroup, m[0]) is not None:
+                    out += [_RUN.sub(put_cards, part[last : m.start()]), other]
+                    last = m.end()
+            return "".join(out) + _RUN.sub(put_cards, part[last:])
+
         # mail addresses first take their place, so that digits in them are not numbers
         parts, last = [], 0
         if "@" in text:
@@ -185,7 +282,7 @@ class Pseudonyms:
                 last = m.end()
         parts.append(text[last:])
         for k in range(0, len(parts), 2):
-            parts[k] = _NUMBERS.sub(lambda m: put(m.lastgroup, m[0]), parts[k])
+            parts[k] = put_numbers(parts[k])
         return "".join(parts), [counts[k] for k in KINDS]
 
 
@@ -208,6 +305,9 @@ def _replaced(key: bytes, back: bool):
 def pseudonymised(docs: DataFrame, key: bytes, back: bool = False) -> DataFrame:
     """doc_id, n_card, n_phone, n_ip, n_date, n_email and text of every row of ``docs``, with pseudonyms in the text.
 
+    A card beside other digit groups is found if it is one group or has one of
+    ``CARD_FORMS``; in other forms among groups of 19 digits at most. Where a
+    pseudonym would make another card of its neighbours, the next one is taken.
     Dates written with dots or strokes get two digits for day and month. What does
     not validate (a wrong check digit, a 30 February, 300.1.1.1) stays. A null text
     stays null, an empty one empty; repeated rows and null ids are treated like any
