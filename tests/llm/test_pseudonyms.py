@@ -79,3 +79,20 @@ def test_runs_are_undone(parts, mark):
     text, counts = p.Pseudonyms(KEY).text(run)
     again, same = p.Pseudonyms(KEY, back=True).text(text)
     assert again == run and counts == same
+
+
+def test_dates_month_first_and_year_first():
+    names, back = p.Pseudonyms(KEY), p.Pseudonyms(KEY, back=True)
+    iso = names.date("1987-06-05")
+    assert names.date("1987/06/05") == iso.replace("-", "/") and names.date("1987.6.5") == iso.replace("-", ".")
+    seen = set()
+    for day in range(13, 32):
+        text, counts = names.text(f"on 12/{day}/1999.")
+        month, other, year = map(int, re.fullmatch(r"on (\d\d)/(\d\d)/(\d{4})\.", text).groups())
+        assert counts[3] == 1 and month <= 12 < other and (month, other, year) != (12, day, 1999)
+        assert back.text(text)[0] == f"on 12/{day}/1999."
+        seen.add(text)
+    assert len(seen) == 19
+    for value in ("13.31.1999", "13/13/1999", "02/30/1999", "1987/13/05", "1987.02.30", "1.1987.06.05", "1987/06/05/1"):
+        assert names.text(value)[0] == value
+    assert back.date(iso.replace("-", "/")) == "1987/06/05"

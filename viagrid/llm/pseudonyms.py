@@ -26,7 +26,7 @@ FIRST_DAY, LAST_DAY = datetime.date(1900, 1, 1).toordinal(), datetime.date(2099,
 _FORM = r"[ -]\d{4}[ -](?:\d{4}[ -]\d{4}[ -]\d{4}(?!\d|[ -]\d{4}(?!\d))|\d{6}[ -]\d{4,5}(?!\d))"
 _NUMBERS = re.compile(
     r"(?P<ip>(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?!\d|\.\d))"
-    r"|(?P<date>(?<![\d./-])(?:\d{4}-\d{2}-\d{2}|\d{1,2}\.\d{1,2}\.\d{4}|\d{1,2}/\d{1,2}/\d{4})(?![\d/-]|\.\d))"
+    r"|(?P<date>(?<![\d./-])(?:\d{4}-\d{2}-\d{2}|\d{1,2}\.\d{1,2}\.\d{4}|\d{1,2}/\d{1,2}/\d{4}|\d{4}/\d{1,2}/\d{1,2}|\d{4}\.\d{1,2}\.\d{1,2})(?![\d/-]|\.\d))"
     r"|(?P<phone>(?<![\d+])\+\d{1,3}[ .-]?\(?\d{2,4}\)?"
     r"(?:(?:(?!" + _FORM + r")[ .-]?\d{2,4}){2,3}(?!\d)|(?:[ .-]?\d{2,4}){2,3}(?!\d)))",
     re.ASCII,
@@ -211,20 +211,29 @@ class Pseudonyms:
         return ".".join(map(str, x.to_bytes(4)))
 
     def date(self, value: str) -> str | None:
+        """Days are read first, months first only with strokes where that is the one way to read the date, which then holds for the pseudonym."""
         mark = "-" if "-" in value else "/" if "/" in value else "."
-        parts = value.split(mark)
-        year, month, day = parts if mark == "-" else parts[::-1]
+        parts = [int(p) for p in value.split(mark)]
+        first = len(value.split(mark)[0]) == 4
+        year, month, day = parts if first else parts[::-1]
+        swapped = mark == "/" and not first and month > 12
+        if swapped:
+            month, day = day, month
         try:
-            at = datetime.date(int(year), int(month), int(day)).toordinal() - FIRST_DAY
+            at = datetime.date(year, month, day).toordinal() - FIRST_DAY
         except ValueError:
             return None
         size = LAST_DAY - FIRST_DAY + 1
         if not 0 <= at < size:
             return None
-        other = datetime.date.fromordinal(FIRST_DAY + self._permuted("date", size, at))
-        if mark == "-":
-            return other.isoformat()
-        return f"{other.day:02d}{mark}{other.month:02d}{mark}{other.year}"
+        at = self._permuted("date", size, at)
+        while swapped and datetime.date.fromordinal(FIRST_DAY + at).day <= 12:
+            at = self._permuted("date", size, at)
+        other = datetime.date.fromordinal(FIRST_DAY + at)
+        if first:
+            return f"{other.year}{mark}{other.month:02d}{mark}{other.day:02d}"
+        month, day = (other.day, other.month) if swapped else (other.month, other.day)
+        return f"{day:02d}{mark}{month:02d}{mark}{other.year}"
 
     def email(self, value: str) -> str:
         """Letters and digits before the @ are permuted by place and kind; the domain stays."""
@@ -308,8 +317,12 @@ def pseudonymised(docs: DataFrame, key: bytes, back: bool = False) -> DataFrame:
     A card beside other digit groups is found if it is one group or has one of
     ``CARD_FORMS``; in other forms among groups of 19 digits at most. Where a
     pseudonym would make another card of its neighbours, the next one is taken.
-    Dates written with dots or strokes get two digits for day and month. What does
-    not validate (a wrong check digit, a 30 February, 300.1.1.1) stays. A null text
+    Dates are year-month-day, day.month.year, day/month/year, month/day/year where
+    only that is valid, year/month/day and year.month.day; those with dots or strokes
+    get two digits for day and month. Not sought: years of two digits, names of
+    months, day-month-year with hyphens, phone numbers without a leading +. A date
+    valid only month first gets another such date, so it can differ from the
+    pseudonym of the same day in other forms. What does not validate (a wrong check digit, a 30 February, 300.1.1.1) stays. A null text
     stays null, an empty one empty; repeated rows and null ids are treated like any
     other. ``back`` turns pseudonyms into the values again. Nothing is shuffled.
     """
