@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from viagrid.llm import decontam, mixing, neardup, pseudonyms, quality, rules, secrets, tokens, warc, wavelet
+from viagrid.llm import bpe, decontam, mixing, neardup, pseudonyms, quality, rules, secrets, tokens, warc, wavelet
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 #: Key of the pseudonyms over test tables; real runs pass their own.
 TEST_KEY = b"key for test tables only"
 
@@ -134,6 +136,14 @@ def op10_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, folder, "documents"), 85)
 
 
+@registered()
+def op12_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    """Byte-level BPE ids of every document, and the bytes that they spell."""
+    ids = bpe.encoded(table(spark, folder, "documents"), BYTE_RANKS, public_tokenizers.PATTERN)
+    rows = bpe.decoded(ids, BYTE_RANKS, public_tokenizers.PATTERN)
+    return rows.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 @registered(corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     """The corpus pipeline over documents."""
