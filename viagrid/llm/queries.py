@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from viagrid.llm import bpe, decontam, mixing, neardup, pseudonyms, quality, rules, secrets, tokens, warc, wavelet
+from viagrid.llm import bpe, decontam, mixing, neardup, pseudonyms, quality, rules, secrets, tokens, warc, wavelet, whitening
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -144,6 +144,12 @@ def op12_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+@registered()
+def op13_whitened_embeddings(spark: SparkSession, folder: str) -> DataFrame:
+    """Embeddings along their 16 main components, each of variance 1."""
+    return whitening.whitened(table(spark, folder, "embeddings"))
+
+
 @registered(corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     """The corpus pipeline over documents."""
