@@ -21,14 +21,16 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Characters of text parted at a time, ids decoded at a time, distinct matches kept by a worker.
-PART_CHARS, DECODED_IDS, KEPT_MATCHES = 1 << 20, 1 << 18, 400_000
+from viagrid.llm.text import by_bytes
+
+#: Bytes of text in a batch, characters parted at a time, ids decoded at a time, distinct matches kept by a worker.
+BATCH_BYTES, PART_CHARS, DECODED_IDS, KEPT_MATCHES = 4 << 20, 1 << 20, 1 << 18, 500_000
 #: Rows that a recursion may make; a match of L bytes makes at most L * L / 2.
-RECURSION_ROWS = 1 << 20
+RECURSION_ROWS = 1 << 19
 #: Bytes from which on a match is contracted with a heap, as its rows would grow with the square of its length.
 LONG_MATCH = 512
 #: Memory of a worker's database.
-DATABASE_MB = 256
+DATABASE_MB = 160
 
 #: Between two characters that are not white space, no match reaches across the front of a single blank.
 _SAFE = regex.compile(r"(?<=\S) (?=\S)")
@@ -37,11 +39,13 @@ ENCODE_SQL = """
 WITH RECURSIVE t(step, word, pos, id) AS (
     SELECT 0, word, pos, id FROM start
     UNION ALL (
-        WITH pairs AS (SELECT *, lag(pos) OVER w AS before, lead(id) OVER w AS after FROM t WINDOW w AS (PARTITION BY word ORDER BY pos)),
-        ranked AS (SELECT pairs.*, made FROM pairs LEFT JOIN merges ON id = first AND after = second),
-        least AS (SELECT word, min(made::BIGINT * 65536 + pos) % 65536 AS place FROM ranked WHERE made IS NOT NULL GROUP BY word)
-        SELECT step + 1, word, pos, CASE WHEN pos = place THEN made ELSE id END
-        FROM ranked JOIN least USING (word) WHERE before IS NULL OR before <> place
+        WITH least AS (
+            SELECT a.word, min(made::BIGINT * 65536 + a.pos) AS best
+            FROM t a JOIN t b ON b.word = a.word AND b.pos = a.pos + 1 JOIN merges ON pair = a.id::BIGINT * 65536 + b.id
+            GROUP BY a.word
+        )
+        SELECT step + 1, word, CASE WHEN pos > best % 65536 THEN pos - 1 ELSE pos END, CASE WHEN pos = best % 65536 THEN best // 65536 ELSE id END::INT
+        FROM t JOIN least USING (word) WHERE pos <> best % 65536 + 1
     )
 )
 SELECT word, list(id ORDER BY pos) AS ids
@@ -62,13 +66,13 @@ def read_ranks(path: str) -> dict[bytes, int]:
 
 
 def merges_of(ranks: dict[bytes, int]) -> pa.Table:
-    """Every pair of tokens that makes a token: first, second, made (which is also the pair's rank)."""
+    """Every pair of tokens that makes a token: pair (first * 65536 + second) and made, which is also the pair's rank."""
     rows = [
-        (ranks[token[:k]], ranks[token[k:]], made)
+        (ranks[token[:k]] * 65536 + ranks[token[k:]], made)
         for token, made in ranks.items() for k in range(1, len(token)) if token[:k] in ranks and token[k:] in ranks
     ]
-    columns = np.array(rows, np.int64).reshape(-1, 3).astype(np.int32)
-    return pa.table({name: columns[:, k] for k, name in enumerate(("first", "second", "made"))})
+    pairs, made = np.array(rows, np.int64).reshape(-1, 2).T
+    return pa.table({"pair": pairs, "made": made.astype(np.int32)})
 
 
 def parts_of(text: str, most: int = PART_CHARS) -> Iterator[str]:
@@ -101,8 +105,8 @@ class Vocabulary:
         self._forget()
 
     def _forget(self) -> None:
-        self.known: dict[str, int] = {}
-        self.lengths = np.empty(0, np.int64)
+        self.known: dict[str, int] = {}  # its place in the following
+        self.lengths, self.first, self.uses = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
         self.pool = np.empty(0, np.int32)
 
     def _query(self, sql: str, name: str, rows: pa.Table) -> pa.Table:
@@ -111,9 +115,8 @@ class Vocabulary:
         self.database.unregister(name)
         return found.combine_chunks()
 
-    def _contracted(self, words: list[bytes]) -> list[np.ndarray]:
-        """Ids of words, contracted by the recursive query in groups of bounded work."""
-        out = []
+    def _contracted(self, words: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Lengths and ids of words, contracted by the recursive query in groups of bounded work."""
         i = 0
         while i < len(words):
             j, rows = i, 0
@@ -123,11 +126,10 @@ class Vocabulary:
             data = np.frombuffer(b"".join(words[i:j]), np.uint8)
             lengths = np.array([len(w) for w in words[i:j]])
             places = np.arange(len(data)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-            start = pa.table({"word": np.repeat(np.arange(j - i), lengths), "pos": places, "id": self.single[data]})
+            start = pa.table({"word": np.repeat(np.arange(j - i, dtype=np.int32), lengths), "pos": places.astype(np.int32), "id": self.single[data]})
             found = self._query(ENCODE_SQL, "start", start).column("ids").combine_chunks()
-            out += np.split(np.asarray(found.flatten(), np.int32), np.cumsum(np.asarray(pc.list_value_length(found)))[:-1])
+            yield np.asarray(pc.list_value_length(found)), np.asarray(found.flatten())
             i = j
-        return out
 
     def _contracted_long(self, word: bytes) -> np.ndarray:
         """Ids of one word by the same contractions, the next one taken from a heap."""
@@ -154,21 +156,32 @@ class Vocabulary:
         return np.array([self.ranks[word[k : ends[k]]] for k in range(size) if alive[k]], np.int32)
 
     def _learn(self, words: list[str]) -> None:
-        spelled = [w.encode() for w in words]
-        ids: list = [None] * len(words)
-        rest = []
-        for k, word in enumerate(spelled):
-            if word in self.ranks:
-                ids[k] = np.array([self.ranks[word]], np.int32)
-            elif len(word) > LONG_MATCH:
-                ids[k] = self._contracted_long(word)
-            else:
-                rest.append(k)
-        for k, found in zip(rest, self._contracted([spelled[k] for k in rest])):
-            ids[k] = found
-        self.known.update(zip(words, range(len(self.known), len(self.known) + len(words))))
-        self.lengths = np.concatenate((self.lengths, [len(x) for x in ids])).astype(np.int64)
+        spelled = [(w, w.encode()) for w in words]
+        whole = [(w, x) for w, x in spelled if x in self.ranks]
+        long = [(w, x) for w, x in spelled if len(x) > LONG_MATCH and x not in self.ranks]
+        rest = [(w, x) for w, x in spelled if len(x) <= LONG_MATCH and x not in self.ranks]
+        by_heap = [self._contracted_long(x) for _, x in long]
+        lengths = [np.ones(len(whole), np.int64), np.array([len(x) for x in by_heap], np.int64)]
+        ids = [np.array([self.ranks[x] for _, x in whole], np.int32), *by_heap]
+        for own, found in self._contracted([x for _, x in rest]):
+            lengths.append(own)
+            ids.append(found)
+        self.known.update((w, k) for k, (w, _) in enumerate([*whole, *long, *rest], len(self.known)))
+        self.lengths = np.concatenate((self.lengths, *lengths))
         self.pool = np.concatenate((self.pool, *ids))
+        self.uses = np.concatenate((self.uses, np.zeros(len(words), np.int64)))
+        self.first = np.cumsum(self.lengths) - self.lengths
+
+    def _keep_frequent(self) -> None:
+        """Forget the matches met in one call only, or the less frequent half if most were met in more."""
+        kept = self.uses >= max(2, np.median(self.uses) if len(self.uses) else 0)
+        if kept.sum() * 2 > self.kept:
+            kept[:] = False
+        number = np.cumsum(kept) - 1
+        self.known = {w: int(number[k]) for w, k in self.known.items() if kept[k]}
+        self.pool = self.pool[np.repeat(kept, self.lengths)]
+        self.lengths, self.uses = self.lengths[kept], self.uses[kept] // 2
+        self.first = np.cumsum(self.lengths) - self.lengths
 
     def _ids(self, matches: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """How many ids each match has, and the ids of all."""
@@ -176,15 +189,16 @@ class Vocabulary:
         words = coded.dictionary.to_pylist()
         new = [w for w in words if w not in self.known]
         if len(self.known) + len(new) > self.kept:
-            self._forget()
-            new = words
+            self._keep_frequent()
+            new = [w for w in words if w not in self.known]
         if new:
             self._learn(new)
-        place = np.fromiter((self.known[w] for w in words), np.int64, len(words))[np.asarray(coded.indices)]
+        number = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+        self.uses[number] += 1
+        place = number[np.asarray(coded.indices)]
         lengths = self.lengths[place]
-        first = (np.cumsum(self.lengths) - self.lengths)[place]
         ends = np.cumsum(lengths)
-        return lengths, self.pool[np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(first - (ends - lengths), lengths)]
+        return lengths, self.pool[np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(self.first[place] - (ends - lengths), lengths)]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text."""
@@ -243,14 +257,35 @@ def vocabulary(path: str, pattern: str) -> Vocabulary:
 def _encoded(path: str, pattern: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [(x or b"").decode("utf-8", "replace") for x in batch.column(1).cast(pa.large_binary()).to_pylist()]
-            ids = vocabulary(path, pattern).encode(texts)
-            columns = [batch.column(0), pa.array([len(x) for x in ids], pa.int64()), pa.array([x.astype("<u4").tobytes() for x in ids], pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_tokens", "ids"])
+            raw = batch.column("text").cast(pa.large_binary())
+            for i, j in by_bytes(raw, BATCH_BYTES):
+                ids = vocabulary(path, pattern).encode([(x or b"").decode("utf-8", "replace") for x in raw.slice(i, j - i).to_pylist()])
+                columns = [batch.column("doc_id").slice(i, j - i), pa.array([len(x) for x in ids], pa.int64()), pa.array([x.astype("<u4").tobytes() for x in ids], pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_tokens", "ids"])
 
     return run
 
 
+def _decoded(path: str, pattern: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, j in by_bytes(batch.column("ids"), BATCH_BYTES):
+                part = batch.slice(i, j - i)
+                ids = [np.frombuffer(x or b"", "<u4").astype(np.int64) for x in part.column("ids").to_pylist()]
+                spelled = pa.array(vocabulary(path, pattern).decode(ids), pa.binary())
+                yield pa.RecordBatch.from_arrays([*part.columns, spelled], names=[*part.schema.names, "decoded"])
+
+    return run
+
+
+ENCODED = "doc_id long, n_tokens long, ids binary"
+DECODED = f"{ENCODED}, decoded binary"
+
+
+def _texts(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+
+
 def encoded(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """doc_id, n_tokens and ids of every row of ``docs``.
 
@@ -261,18 +296,7 @@ def encoded(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     ignored. Matches of over ``LONG_MATCH`` bytes are contracted in the same
     order with a heap instead of the query.
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(_encoded(path, pattern), "doc_id long, n_tokens long, ids binary")
-
-
-def _decoded(path: str, pattern: str):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = [np.frombuffer(x or b"", "<u4").astype(np.int64) for x in batch.column("ids").to_pylist()]
-            spelled = pa.array(vocabulary(path, pattern).decode(ids), pa.binary())
-            yield pa.RecordBatch.from_arrays([*batch.columns, spelled], names=[*batch.schema.names, "decoded"])
-
-    return run
+    return _texts(docs).mapInArrow(_encoded(path, pattern), ENCODED)
 
 
 def decoded(rows: DataFrame, path: str, pattern: str) -> DataFrame:
@@ -280,5 +304,10 @@ def decoded(rows: DataFrame, path: str, pattern: str) -> DataFrame:
 
     Null ids spell nothing; an id outside the vocabulary is an error.
     """
-    rows = rows.select("doc_id", "n_tokens", "ids")
-    return rows.mapInArrow(_decoded(path, pattern), "doc_id long, n_tokens long, ids binary, decoded binary")
+    return rows.select("doc_id", "n_tokens", "ids").mapInArrow(_decoded(path, pattern), DECODED)
+
+
+def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
+    """What ``decoded(encoded(docs))`` gives, both by one worker with one vocabulary."""
+    encode, decode = _encoded(path, pattern), _decoded(path, pattern)
+    return _texts(docs).mapInArrow(lambda batches: decode(encode(batches)), DECODED)

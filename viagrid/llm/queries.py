@@ -139,8 +139,7 @@ def op10_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
 @registered()
 def op12_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """Byte-level BPE ids of every document, and the bytes that they spell."""
-    ids = bpe.encoded(table(spark, folder, "documents"), BYTE_RANKS, public_tokenizers.PATTERN)
-    rows = bpe.decoded(ids, BYTE_RANKS, public_tokenizers.PATTERN)
+    rows = bpe.round_trip(table(spark, folder, "documents"), BYTE_RANKS, public_tokenizers.PATTERN)
     return rows.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
