@@ -2,7 +2,7 @@ import duckdb
 import pytest
 
 SMALL = "/root/testdata/sf0.001"
-NAMES = ("documents", "benchmark", "labels", "pages")
+NAMES = ("documents", "benchmark", "labels", "pages", "embeddings")
 
 
 @pytest.fixture

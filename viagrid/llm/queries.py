@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from viagrid.llm import bpe, decontam, mixing, neardup, pseudonyms, quality, rules, secrets, tokens, warc, wavelet, whitening
+from viagrid.llm import bpe, decontam, mixing, neardup, negatives, pseudonyms, quality, rules, secrets, tokens, warc, wavelet, whitening
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -74,6 +74,28 @@ SELECT page_id, b AS payload_bytes, list_aggregate(list_transform(range(32), lam
 FROM d
 """
 
+OP11_SQL = """
+WITH v AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda c: floor(256 * c::DOUBLE)::BIGINT) AS x
+    FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+),
+scored AS (
+    SELECT a.vec_id AS anchor_id, r.vec_id, a.label = r.label AS alike, list_inner_product(a.x::DOUBLE[], r.x::DOUBLE[])::BIGINT AS score
+    FROM v a JOIN v r ON a.vec_id % 100 = 0 AND a.vec_id <> r.vec_id
+),
+positives AS (
+    SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE alike
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id, row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)::INT AS rank,
+    vec_id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scored USING (anchor_id)
+WHERE NOT alike AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY rank <= 10
+"""
+
 
 @registered()
 def op1_secret_spans(spark: SparkSession, folder: str) -> DataFrame:
@@ -136,6 +158,14 @@ def op10_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, folder, "documents"), 85)
 
 
+@registered(OP11_SQL)
+def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """Hard negatives of every hundredth embedding, with some labels shifted."""
+    rows = table(spark, folder, "embeddings")
+    shifted = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(rows.withColumn("label", shifted), F.col("vec_id") % 100 == 0)
+
+
 @registered()
 def op12_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """Byte-level BPE ids of every document, and the bytes that they spell."""
