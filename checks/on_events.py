@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import time
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,14 +29,12 @@ def event_stream(i: Inputs) -> DataFrame:
     return envelopes(jobs.folder_log(i.spark, f"{i.folder}/events*.parquet", schema))
 
 
-def in_batches(i: Inputs, label: str, parts: dict[str, str]) -> DataFrame:
-    """The envelopes as a stream of several batches, a file each, in the order given; ``parts`` are conditions."""
+def in_batches(i: Inputs, label: str, parts: dict[str, str], job: Callable[[DataFrame], None]) -> None:
+    """Land the envelopes part by part, in the order given, and run a job after each; ``parts`` are conditions."""
     base = work_folder(i.spark, label)
-    for number, condition in enumerate(parts.values()):
-        rows = i.envelopes.filter(condition).coalesce(1)
-        sinks.write_table(rows, f"{base}/{number}")
-        time.sleep(1.1)  # files are taken by their time of writing
-    return jobs.folder_log(i.spark, f"{base}/*", files_per_batch=1)
+    for condition in parts.values():
+        sinks.append_rows(i.envelopes.filter(condition), base)
+        job(jobs.folder_log(i.spark, base))
 
 
 #: Three batches: the third hours of days, then all but every fifth event of the rest, then those, which come late.
@@ -110,7 +108,7 @@ add(
 
 def three_batches(i: Inputs, table: str) -> DataFrame:
     base = work_folder(i.spark, "E4h")
-    jobs.refresh_tables(in_batches(i, "E4l", THREE), f"{base}/silver", f"{base}/gold", f"{base}/progress", latest_only=False)
+    in_batches(i, "E4l", THREE, lambda log: jobs.refresh_tables(log, f"{base}/silver", f"{base}/gold", f"{base}/progress", latest_only=False))
     return i.spark.read.parquet(f"{base}/{table}").drop("on_date")
 
 
@@ -122,7 +120,7 @@ def late_batch(i: Inputs, table: str) -> DataFrame:
         "second half": f"enqueued_time = '{newest}' and sequence_number % 2 = 1", "older": f"enqueued_time < '{newest}'",
     }
     base = work_folder(i.spark, "E4n")
-    jobs.refresh_tables(in_batches(i, "E4o", parts), f"{base}/silver", f"{base}/gold", f"{base}/progress")
+    in_batches(i, "E4o", parts, lambda log: jobs.refresh_tables(log, f"{base}/silver", f"{base}/gold", f"{base}/progress"))
     return i.spark.read.parquet(f"{base}/{table}")
 
 
@@ -140,10 +138,62 @@ def each_once(i: Inputs) -> str:
     """Bronze of a log in three batches that holds every event twice, some of it very late."""
     base = work_folder(i.spark, "E10o")
     parts = {**THREE, **{f"{name} again": condition for name, condition in THREE.items()}}
-    jobs.ingest_once(in_batches(i, "E10l", parts), f"{base}/bronze", f"{base}/progress")
+    in_batches(i, "E10l", parts, lambda log: jobs.ingest_once(log, f"{base}/bronze", f"{base}/progress"))
     return f"{base}/bronze"
 
 
+
+def two_logs(i: Inputs, label: str, job: Callable[[DataFrame, str], None]) -> None:
+    """Two logs of half the events each, every arrival day in both, through one job with a checkpoint for each."""
+    base = work_folder(i.spark, label)
+    for half in ("0", "1"):
+        sinks.write_table(i.envelopes.filter(f"sequence_number % 2 = {half}"), f"{base}/log{half}")
+        job(jobs.folder_log(i.spark, f"{base}/log{half}"), f"{base}/progress{half}")
+
+
+def two_streams_ingested(i: Inputs) -> DataFrame:
+    """Bronze of two logs, and of one of them again after its checkpoint was lost."""
+    base = work_folder(i.spark, "E10c")
+    two_logs(i, "E10d", lambda log, progress: jobs.ingest_once(log, f"{base}/bronze", progress))
+    jobs.ingest_once(event_stream(i), f"{base}/bronze", f"{base}/renewed-progress")
+    return jobs.raw_table(i.spark, f"{base}/bronze").read()
+
+
+def two_streams_routed(i: Inputs) -> str:
+    base = work_folder(i.spark, "E4c")
+    two_logs(i, "E4d", lambda log, progress: jobs.refresh_tables(log, f"{base}/silver", f"{base}/gold", progress, latest_only=False))
+    return base
+
+
+def two_streams_timed(i: Inputs) -> DataFrame:
+    base = work_folder(i.spark, "E12c")
+    two_logs(i, "E12d", lambda log, progress: jobs.keep_timeline(log, f"{base}/timeline", progress))
+    return i.spark.read.parquet(f"{base}/timeline").drop("on_date")
+
+
+def merged_batches(i: Inputs) -> DataFrame:
+    """Bronze of twenty batches, merged three at a time on the way."""
+    base = work_folder(i.spark, "E1m")
+    table = jobs.raw_table(i.spark, f"{base}/bronze")
+    for number in range(20):
+        table.add(jobs.with_arrival(i.envelopes.filter(f"sequence_number % 20 = {number}")), "log", number)
+        table.merge(fan=3)
+    table.remove_merged()
+    return table.read()
+
+
+add("E10_stream_new_checkpoint", lambda i: with_kind(two_streams_ingested(i).select(ENVELOPE)), ENVELOPE_SQL)
+add(
+    "E4_stream_new_checkpoint",
+    lambda i: counted(jobs.silver_table(i.spark, f"{two_streams_routed(i)}/silver").read(), "event_type", "data_timestamp"),
+    count_sql("carbon_events", "event_type", "data_timestamp"),
+)
+add(
+    "E4_stream_new_checkpoint_gold",
+    lambda i: i.spark.read.parquet(f"{two_streams_routed(i)}/gold/gold_regional_intensity").drop("on_date"),
+    GOLD_SQL["gold_regional_intensity"]("carbon_events"),
+)
+add("E1_merged_batches", lambda i: with_kind(merged_batches(i).select(ENVELOPE)), ENVELOPE_SQL)
 add("E10_stream_late_event_kept", lambda i: with_kind(i.spark.read.parquet(each_once(i)).select(ENVELOPE)), ENVELOPE_SQL)
 
 
@@ -210,13 +260,13 @@ def timeline_in_batches(i: Inputs) -> DataFrame:
     """The timeline over the raw table that three late and repeated batches have filled."""
     base = work_folder(i.spark, "E12b")
     raw = each_once(i)
-    log = jobs.folder_log(i.spark, raw, i.spark.read.parquet(raw).schema, files_per_batch=200)
-    jobs.keep_timeline(log, f"{base}/timeline", f"{base}/progress")
+    jobs.keep_timeline(jobs.raw_log(i.spark, raw, files_per_batch=200), f"{base}/timeline", f"{base}/progress")
     return i.spark.read.parquet(f"{base}/timeline").drop("on_date")
 
 
 add("E12_stream_timeline", streamed_timeline, TIMELINE_SQL)
 add("E12_stream_timeline_in_batches", timeline_in_batches, TIMELINE_SQL)
+add("E12_stream_new_checkpoint", two_streams_timed, TIMELINE_SQL)
 add(
     "E12_category_trend",
     lambda i: carbon.category_trend(i.events),

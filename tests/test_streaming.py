@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from viagrid.sources import sinks
+from viagrid.sources.batches import BatchTable
 from viagrid.streaming import carbon, jobs, payload
 
 FUELS = {"gas": 22.1, "wind": 22.7, "solar": 23.4, "nuclear": 14.7, "imports": 11.1, "biomass": 6.0,
@@ -150,6 +151,61 @@ def test_late_and_repeated_events_are_kept_once(spark, polled, tmp_path):
     assert stored.count() == 360 and stored.select("partition_id", "sequence_number").distinct().count() == 360
 
 
+def test_a_new_checkpoint_leaves_what_is_stored(spark, polled, tmp_path, values):
+    early, late = (polled.filter(f"enqueued_time like '%T{hour}%'") for hour in (16, 17))
+    bronze, silver, gold, table = (str(tmp_path / n) for n in ("bronze", "silver", "gold", "timeline"))
+    for name, part in (("a", early), ("b", late), ("c", early)):  # the third is the first log again, its checkpoint lost
+        sinks.append_rows(part, str(tmp_path / f"log-{name}"))
+        log = jobs.folder_log(spark, str(tmp_path / f"log-{name}"))
+        jobs.ingest_once(log, bronze, str(tmp_path / f"bronze-{name}"))
+        if name != "c":
+            jobs.refresh_tables(log, silver, gold, str(tmp_path / f"silver-{name}"), latest_only=False)
+            jobs.keep_timeline(log, table, str(tmp_path / f"timeline-{name}"))
+    keys = list(jobs.EVENT_KEYS)
+    assert values(jobs.raw_table(spark, bronze).read(), *keys) == values(polled, *keys)
+    assert jobs.silver_table(spark, silver).read().count() == 360
+    batch = carbon.timeline(payload.parsed(polled))
+    assert values(spark.read.parquet(table), *batch.columns) == values(batch) and batch.count() == 2
+    for name, build in carbon.GOLD.items():
+        whole = build(payload.parsed(polled))
+        assert values(spark.read.parquet(f"{gold}/{name}"), *whole.columns) == values(whole), name
+
+
+def test_a_batch_that_broke_off_counts_once(spark, polled, tmp_path, monkeypatch):
+    log, bronze = str(tmp_path / "log"), str(tmp_path / "bronze")
+    sinks.append_rows(polled, log)
+    publish = BatchTable._publish
+
+    def broken(table, listing):
+        raise RuntimeError("lost")
+
+    for broken_publish in (broken, lambda table, listing: publish(table, listing) and broken(table, listing)):
+        monkeypatch.setattr(BatchTable, "_publish", broken_publish)
+        with pytest.raises(Exception, match="lost"):
+            jobs.ingest_once(jobs.folder_log(spark, log), bronze, str(tmp_path / "progress"))
+    monkeypatch.setattr(BatchTable, "_publish", publish)
+    jobs.ingest_once(jobs.folder_log(spark, log), bronze, str(tmp_path / "progress"))
+    assert jobs.raw_table(spark, bronze).read().count() == 360
+    assert jobs.raw_log(spark, bronze).isStreaming
+
+
+def test_writers_at_once_keep_each_event_once(spark, polled, tmp_path, monkeypatch):
+    log, bronze = str(tmp_path / "log"), str(tmp_path / "bronze")
+    sinks.append_rows(polled, log)
+    write, done = BatchTable.write, []
+
+    def overtaken(table, df, owner, number):
+        entry = write(table, df, owner, number)
+        if not done:
+            done.append(1)
+            jobs.ingest_once(jobs.folder_log(spark, log), bronze, str(tmp_path / "other"))
+        return entry
+
+    monkeypatch.setattr(BatchTable, "write", overtaken)
+    jobs.ingest_once(jobs.folder_log(spark, log), bronze, str(tmp_path / "progress"))
+    assert jobs.raw_table(spark, bronze).read().count() == 360
+
+
 def test_the_last_arrival_reads_one_day(spark, polled, tmp_path):
     bronze = str(tmp_path / "bronze")
     sinks.append_rows(polled, str(tmp_path / "log"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 DEFAULTS = {
@@ -63,3 +64,39 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     place, system = _located(spark, path)
     if system.exists(place):
         system.delete(place, True)
+
+
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none where there is no folder."""
+    place, system = _located(spark, path)
+    return sorted(entry.getPath().getName() for entry in system.listStatus(place)) if system.exists(place) else []
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    place, system = _located(spark, path)
+    stream = system.open(place)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_new_text(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small file whole or not at all; False if there is one of that name, which stays as it is."""
+    folder, _, name = path.rpartition("/")
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    place, system = _located(spark, path)
+    draft = hadoop.Path(f"{folder}/.{name}-{uuid.uuid4().hex}")
+    stream = system.create(draft, False)
+    stream.write(bytearray(text, "utf-8"))
+    stream.close()
+    context = hadoop.FileContext.getFileContext(system.makeQualified(place).toUri(), spark._jsc.hadoopConfiguration())
+    kept = spark.sparkContext._gateway.new_array(spark._jvm.org.apache.hadoop.fs.Options.Rename, 0)
+    try:
+        context.rename(system.makeQualified(draft), system.makeQualified(place), kept)
+        return True
+    except Py4JJavaError as error:
+        system.delete(draft, False)
+        if "FileAlreadyExistsException" not in error.java_exception.getClass().getName():
+            raise
+        return False

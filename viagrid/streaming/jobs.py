@@ -4,9 +4,11 @@ Each job drains what is there and stops (``availableNow``); schedule it, or give
 another trigger to keep it running. Progress lives in the checkpoint folder, so a
 job that is run again, or restarted after a loss, takes up where it stopped.
 
-Tables are kept in partitions that name the batch they came from. A batch that is
-repeated replaces its own rows; what any other batch has brought stays, however
-late or early it came. No job keeps state, so none forgets or drops an event.
+Tables are kept as :class:`~viagrid.sources.batches.BatchTable`: a batch is known by
+the stream's identity, which its checkpoint holds, and its number. Repeated it
+counts once; what any other batch has brought stays, however late or early it
+came and whichever checkpoint it came from. Small batches are merged as the jobs
+go on. No job keeps state, so none forgets or drops an event.
 """
 
 from __future__ import annotations
@@ -19,8 +21,8 @@ from pyspark.sql import types as T
 
 from viagrid import schemas
 from viagrid.operators.keyed import one_per_key
-from viagrid.session import folder_exists
 from viagrid.sources import sinks
+from viagrid.sources.batches import FOLDER, BatchTable, Entry
 from viagrid.streaming import carbon, payload
 
 DRAIN = {"availableNow": True}
@@ -57,18 +59,38 @@ def with_arrival(envelopes: DataFrame) -> DataFrame:
     return envelopes.withColumns({"arrived_at": at, "arrival_date": at.cast("date")})
 
 
+def raw_table(spark: SparkSession, bronze_path: str) -> BatchTable:
+    """The raw table of envelopes, by arrival date."""
+    return BatchTable(spark, bronze_path, ["arrival_date"])
+
+
+def raw_log(spark: SparkSession, bronze_path: str, files_per_batch: int | None = None) -> DataFrame:
+    """A raw table streamed on, each batch once; folders that merging has made are not read again.
+
+    A batch that broke off and is tried again writes new files, so let this
+    stream run when the ingestion is not about to repeat one.
+    """
+    schema = raw_table(spark, bronze_path).read().schema
+    reader = spark.readStream.schema(schema).option("basePath", bronze_path)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return reader.parquet(f"{bronze_path}/{FOLDER}=b-*")
+
+
+def _owner(batch: DataFrame) -> str:
+    """The identity of the stream that a batch belongs to; it lies in the checkpoint."""
+    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "none"
+
+
 def ingest(log: DataFrame, bronze_path: str, checkpoint: str, trigger: dict = DRAIN) -> None:
     """Append new envelopes to the raw table by arrival date, each exactly once."""
-    query = (
-        with_arrival(log).writeStream.format("parquet")
-        .option("path", bronze_path)
-        .option("checkpointLocation", checkpoint)
-        .partitionBy("arrival_date")
-        .outputMode("append")
-        .trigger(**trigger)
-        .start()
-    )
-    query.awaitTermination()
+
+    def act(batch: DataFrame, number: int) -> None:
+        table = raw_table(batch.sparkSession, bronze_path)
+        table.add(with_arrival(batch), _owner(batch), number)
+        table.merge()
+
+    for_each_batch(log, act, checkpoint, trigger=trigger)
 
 
 def without_repeats(log: DataFrame, delay: str | None) -> DataFrame:
@@ -101,16 +123,14 @@ def for_each_batch(
     query.awaitTermination()
 
 
-def _on_days(column: str, days: list) -> Column:
-    """Partitions of some days; None stands for rows without one."""
-    known = [day for day in days if day is not None]
-    test = F.col(column).isin(*known) if known else F.lit(False)
-    return test | F.col(column).isNull() if None in days else test
+def _days_of(df: DataFrame, column: str) -> set[str]:
+    """The partitions of days that a batch touches."""
+    days = (row[0] for row in df.select(column).distinct().collect())
+    return {f"{column}={'__HIVE_DEFAULT_PARTITION__' if day is None else day}" for day in days}
 
 
-def _days(df: DataFrame, column: str) -> list:
-    """The days that a batch touches."""
-    return [row[0] for row in df.select(column).distinct().collect()]
+def _days_in(parts: list[str]) -> set[str]:
+    return {part.split("/")[0] for part in parts}
 
 
 def ingest_once(log: DataFrame, bronze_path: str, checkpoint: str, trigger: dict = DRAIN) -> None:
@@ -118,29 +138,30 @@ def ingest_once(log: DataFrame, bronze_path: str, checkpoint: str, trigger: dict
 
     Each batch is held against the stored keys of its own arrival dates: a
     repeated event has the arrival it had before. However late an event comes, it
-    is kept once.
+    is kept once, whichever stream brought it first: where another one has
+    added to the table meanwhile, the batch is held against it again.
     """
 
     def act(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        fresh = with_arrival(one_per_key(batch, EVENT_KEYS))
-        if folder_exists(spark, bronze_path):
-            others = spark.read.parquet(bronze_path).filter(
-                _on_days("arrival_date", _days(fresh, "arrival_date")) & (F.col("_batch") != number)
-            )
-            seen = others.select(*(F.col(key).alias(f"_{key}") for key in EVENT_KEYS))
-            same = [F.col(key).eqNullSafe(F.col(f"_{key}")) for key in EVENT_KEYS]
-            fresh = fresh.join(seen, same[0] & same[1], "left_anti")
-        _write_batch(fresh, number, bronze_path, ["arrival_date"])
+        table, owner = raw_table(batch.sparkSession, bronze_path), _owner(batch)
+        counted = False
+        while not counted:
+            now = table.listing()
+            if now.holds(owner, number):
+                return
+            fresh = with_arrival(one_per_key(batch, EVENT_KEYS))
+            if now.live:
+                stored = table.read(now.live, _days_of(fresh, "arrival_date"))
+                seen = stored.select(*(F.col(key).alias(f"_{key}") for key in EVENT_KEYS))
+                same = [F.col(key).eqNullSafe(F.col(f"_{key}")) for key in EVENT_KEYS]
+                fresh = fresh.join(seen, same[0] & same[1], "left_anti")
+            entry = table.write(fresh, owner, number)
+            counted = table.count_in(entry, fresh.schema, owner, number, since=now)
+        table.merge()
 
     for_each_batch(log, act, checkpoint, trigger=trigger)
 
 
-def _write_batch(df: DataFrame, number: int, path: str, by: list[str]) -> None:
-    """Put a batch into partitions of its own, replacing what an earlier try of it has left."""
-    sinks.write_table(df.withColumn("_batch", F.lit(number)), path, [*by, "_batch"], replace_only_present=True)
-
-
 def _period_day(df: DataFrame) -> Column:
     """The day of an event's period, which all events of a gold key share; the poll's where there is no period."""
     day = F.substring("period_from", 1, 10).try_cast("date")
@@ -163,40 +184,43 @@ def refresh_tables(
     """
 
     def act(batch: DataFrame, number: int) -> None:
-        if batch.isEmpty():
-            return
-        spark = batch.sparkSession
         events = sinks.with_processed_time(payload.parsed(batch))
         events = events.withColumn("on_date", _period_day(events))
-        _write_batch(events, number, silver_path, ["on_date", "event_type"])
+        silver = silver_table(batch.sparkSession, silver_path)
+        entry = silver.add(events, _owner(batch), number)
+        if not entry.parts:
+            return
         if latest_only:
-            _newest_cycle(spark, events, number, silver_path, gold_base)
+            _newest_cycle(silver, entry, gold_base)
         else:
-            days = _days(events, "on_date")
-            touched = spark.read.parquet(silver_path).filter(_on_days("on_date", days)).drop("_batch", "on_date")
+            touched = silver.read(parts=_days_in(entry.parts)).drop("on_date")
             for name, build in carbon.GOLD.items():
                 table = build(touched)
                 by_day = table.withColumn("on_date", _gold_day(name, table))
                 sinks.write_table(by_day, f"{gold_base}/{name}", ["on_date"], replace_only_present=True)
+        silver.merge()
 
     for_each_batch(log, act, checkpoint)
 
 
+def silver_table(spark: SparkSession, silver_path: str) -> BatchTable:
+    """Parsed events by day and kind; each folder's last arrival is noted."""
+    return BatchTable(spark, silver_path, ["on_date", "event_type"], mark=F.max("event_time"))
+
+
 def _gold_day(name: str, table: DataFrame) -> Column:
     if name == "gold_regional_generation":
         return _period_day(table)
     return F.substring("period_from", 1, 10).try_cast("date")
 
 
-def _newest_cycle(spark: SparkSession, events: DataFrame, number: int, silver_path: str, gold_base: str) -> None:
-    """Gold of the cycle that arrived last, from the batches that have part of it."""
-    arrivals = f"{gold_base}/arrivals"
-    _write_batch(events.agg(F.max("event_time").alias("last")), number, arrivals, [])
-    known = spark.read.parquet(arrivals)
-    holders = [row["_batch"] for row in carbon.latest_by(known, F.col("last")).collect()]
-    if number not in holders:
+def _newest_cycle(silver: BatchTable, entry: Entry, gold_base: str) -> None:
+    """Gold of the cycle that arrived last, from the folders that have part of it."""
+    live = silver.listing().live
+    last = max((e.mark for e in live if e.mark is not None), default=None)
+    if last is None or (entry.mark is not None and entry.mark < last):
         return
-    rows = spark.read.parquet(silver_path).filter(F.col("_batch").isin(*holders)).drop("_batch", "on_date")
+    rows = silver.read([e for e in live if e.mark == last]).drop("on_date")
     current = carbon.latest_cycle(carbon.latest_by(rows, F.col("event_time")))
     for name, build in carbon.GOLD.items():
         sinks.write_table(build(current), f"{gold_base}/{name}")
@@ -209,19 +233,17 @@ def keep_timeline(log: DataFrame, path: str, checkpoint: str, width: str = "30 m
     summed up anew from these. Feed it what ``ingest_once`` has stored: repeated
     events would count again.
     """
-    parts = f"{path.rstrip('/')}-parts"
 
     def act(batch: DataFrame, number: int) -> None:
-        if batch.isEmpty():
-            return
         sums = carbon.timeline_sums(payload.parsed(batch), width=width)
         sums = sums.withColumn("on_date", F.col("window_start").cast("date"))
-        days = _days(sums, "on_date")
-        if not days:
+        parts = BatchTable(batch.sparkSession, f"{path.rstrip('/')}-parts", ["on_date"])
+        entry = parts.add(sums, _owner(batch), number)
+        if not entry.parts:
             return
-        _write_batch(sums, number, parts, ["on_date"])
-        touched = batch.sparkSession.read.parquet(parts).filter(_on_days("on_date", days))
+        touched = parts.read(parts=_days_in(entry.parts))
         table = carbon.timeline_of(touched).withColumn("on_date", F.col("window_start").cast("date"))
         sinks.write_table(table, path, ["on_date"], replace_only_present=True)
+        parts.merge()
 
     for_each_batch(log, act, checkpoint)
