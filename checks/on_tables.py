@@ -475,8 +475,8 @@ rows_rule(
         "motor": quality.below_sum("all_motor_vehicles", ["cars_and_taxis", "all_hgvs", "lgvs", "pedal_cycles"]),
     },
     {
-        "total": "total_vehicles < cars_and_taxis + all_hgvs + pedal_cycles",
-        "motor": "all_motor_vehicles < cars_and_taxis + all_hgvs + lgvs + pedal_cycles",
+        "total": "total_vehicles < CAST(cars_and_taxis AS BIGINT) + all_hgvs + pedal_cycles",
+        "motor": "all_motor_vehicles < CAST(cars_and_taxis AS BIGINT) + all_hgvs + lgvs + pedal_cycles",
     },
 )
 

@@ -239,3 +239,86 @@ def test_a_renamed_region_is_renamed_in_all_years(spark, tmp_path):
     incremental.run(spark, raw_counts(spark, [2019, 2020]), reference("new"), base)
     names = incremental.gold_table(spark, base, "fact_traffic_summary").select("region_name", "year").distinct().collect()
     assert {tuple(r) for r in names} == {("New", 2019), ("New", 2020), ("B", 2019), ("B", 2020)}
+
+
+def areas(spark, region="a", authority="la"):
+    return {
+        "regions": spark.createDataFrame([("1", region), ("2", "b")], "id string, name string"),
+        "local_authorities": spark.createDataFrame([("0", authority)], "id string, name string"),
+        "count_points": raw_counts(spark, [2019]).select("count_point_id", "road_name", "latitude", "longitude"),
+    }
+
+
+def gold_of(spark, base, values):
+    return {name: values(incremental.gold_table(spark, base, name)) for name in ("fact_traffic_summary", "fact_road_analysis", "dim_location", "fact_busiest_roads")}
+
+
+def broken_off(patch, step, *args, **options):
+    with patch.context() as broken:
+        broken.setattr(annual, step, lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            incremental.run(*args, **options)
+
+
+def test_a_rename_in_a_run_that_breaks_off_reaches_all_years(spark, tmp_path, values, monkeypatch):
+    step, whole = str(tmp_path / "step"), str(tmp_path / "whole")
+    both = raw_counts(spark, [2019, 2020])
+    incremental.run(spark, raw_counts(spark, [2019]), areas(spark, "old"), step)
+    broken_off(monkeypatch, "impact_from", spark, both, areas(spark, "new"), step)
+    assert incremental.run(spark, both, areas(spark, "new"), step) == "LOADED"
+    incremental.run(spark, both, areas(spark, "new"), whole)
+    assert gold_of(spark, step, values) == gold_of(spark, whole, values)
+
+
+def test_a_rename_that_is_taken_back_leaves_no_year_behind(spark, tmp_path, values, monkeypatch):
+    step, whole = str(tmp_path / "step"), str(tmp_path / "whole")
+    both = raw_counts(spark, [2019, 2020])
+    incremental.run(spark, raw_counts(spark, [2019]), areas(spark, "old"), step)
+    broken_off(monkeypatch, "impact_from", spark, both, areas(spark, "new"), step)
+    assert incremental.run(spark, both, areas(spark, "old"), step) == "LOADED"
+    incremental.run(spark, both, areas(spark, "old"), whole)
+    assert gold_of(spark, step, values) == gold_of(spark, whole, values)
+    assert incremental.run(spark, both, areas(spark, "old"), step) == "NO_NEW_DATA"
+
+
+def test_changed_names_and_corrected_years_are_found(spark, tmp_path, values, monkeypatch):
+    step, whole = str(tmp_path / "step"), str(tmp_path / "whole")
+    years = raw_counts(spark, [2019, 2020, 2021])
+    wrong = years.withColumn("lgvs", F.when(F.col("year") == "2020", "9999").otherwise(F.col("lgvs")))
+    incremental.run(spark, wrong, areas(spark), step)
+    assert incremental.run(spark, years.repartition(3), areas(spark), step) == "NO_NEW_DATA"  # loaded years are not read again
+    broken_off(monkeypatch, "impact_from", spark, years, areas(spark), step, recheck=True)
+    assert incremental.run(spark, years, areas(spark), step) == "LOADED"  # what broke off is done again
+    assert incremental.run(spark, years.repartition(3), areas(spark), step, recheck=True) == "NO_NEW_DATA"
+    incremental.run(spark, years, areas(spark), whole)
+    assert gold_of(spark, step, values) == gold_of(spark, whole, values)
+    assert incremental.run(spark, years, areas(spark, authority="renamed"), step) == "LOADED"  # without a new year
+    incremental.run(spark, years, areas(spark, authority="renamed"), f"{whole}2")
+    assert gold_of(spark, step, values) == gold_of(spark, f"{whole}2", values)
+
+
+def test_a_corrected_year_without_usable_rows_goes(spark, tmp_path, values):
+    step, whole = str(tmp_path / "step"), str(tmp_path / "whole")
+    years = raw_counts(spark, [2019, 2020])
+    unusable = years.withColumn("latitude", F.when(F.col("year") == "2020", "0").otherwise(F.col("latitude")))
+    incremental.run(spark, years, areas(spark), step)
+    assert incremental.run(spark, unusable, areas(spark), step, recheck=True) == "LOADED"
+    incremental.run(spark, unusable, areas(spark), whole)
+    assert gold_of(spark, step, values) == gold_of(spark, whole, values)
+    points = areas(spark)["count_points"].withColumn("road_name", F.lit("renamed"))
+    assert incremental.run(spark, unusable, {**areas(spark), "count_points": points}, step) == "LOADED"
+    assert gold_of(spark, step, values) == gold_of(spark, whole, values)
+    assert {r[0] for r in spark.read.parquet(f"{step}/silver/count_points").select("road_name").collect()} == {"RENAMED"}
+
+
+def test_fingerprints_see_rows_not_their_order(spark):
+    from viagrid.operators.fingerprint import fingerprints
+
+    def print_of(rows, kind="a string, b string"):
+        return fingerprints(spark.createDataFrame(rows, kind)).first()[0]
+
+    rows = [("x", None), (None, "x"), ("x", "y"), ("x", "y")]
+    assert print_of(rows) == print_of(rows[::-1]) == print_of([(b, a) for a, b in rows], "b string, a string")
+    others = [rows[:3], [("x", None), ("x", None), ("x", "y"), ("x", "y")], [(None, "x")] + rows[1:], []]
+    assert len({print_of(rows), *map(print_of, others)}) == 5
+    assert {r.a: r.fingerprint for r in fingerprints(spark.createDataFrame(rows, "a string, b string"), ["a"]).collect()}.keys() == {"x", None}

@@ -1,8 +1,10 @@
 """Loading only the years that are missing, then rebuilding what depends on them.
 
-A run ends by noting its years and its gold folder in the progress table. Until
-then nothing counts as loaded: a run that breaks off is done again in full by
-the next one, and readers keep the gold of the last run that ended.
+A run ends by noting its version and the fingerprints of what it was made from:
+each year of counts and each reference table. Until then nothing counts as
+loaded: a run that breaks off is done again by the next one, and readers keep
+the gold of the last run that ended. What is rebuilt follows from the notes
+alone, not from tables that a broken-off run may have left.
 """
 
 from __future__ import annotations
@@ -13,17 +15,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from viagrid.functions.cleaning import whole
+from viagrid.operators.fingerprint import fingerprints
 from viagrid.operators.lookup import missing_from
 from viagrid.plans import annual, dates, silver
 from viagrid.session import folder_exists, remove_folder, work_folder
 from viagrid.sources import sinks
 
 NOTHING_YET = 1999
+NOTES = "version int, input string, year int, fingerprint string"
+#: Reference tables whose names stand in the yearly tables.
+NAMED = ("regions", "local_authorities")
 
 
-def stored_or_none(spark: SparkSession, path: str) -> DataFrame | None:
-    """A stored table, or None where nothing has been written yet."""
-    return spark.read.parquet(path) if folder_exists(spark, path) else None
+#: Reference tables and what makes silver of them.
+REFERENCE = {"count_points": silver.annual_count_points, "regions": silver.named_areas, "local_authorities": silver.named_areas}
 
 
 def high_water_mark(gold: DataFrame | None, spark: SparkSession) -> DataFrame:
@@ -33,9 +38,15 @@ def high_water_mark(gold: DataFrame | None, spark: SparkSession) -> DataFrame:
     return gold.agg(F.coalesce(F.max("year"), F.lit(NOTHING_YET)).alias("latest_year"))
 
 
+def _notes(spark: SparkSession, path: str) -> DataFrame | None:
+    if not folder_exists(spark, path):
+        return None
+    return spark.read.schema(NOTES).parquet(path).withColumn("input", F.coalesce("input", F.lit("counts")))
+
+
 def progress(spark: SparkSession, base: str) -> DataFrame | None:
-    """version and year of every year that a finished run has loaded."""
-    return stored_or_none(spark, f"{base}/progress")
+    """What every finished run has loaded: its version, and per year of counts and per reference table a fingerprint."""
+    return _notes(spark, f"{base}/progress")
 
 
 def _version(done: DataFrame | None) -> int:
@@ -66,11 +77,16 @@ def load_missing(source: DataFrame, loaded: DataFrame | None, bronze_path: str)
     stay out, as the silver rules would drop them.
     """
     years = sorted(row["year"] for row in missing_years(source, loaded).collect())
+    load_years(source, years, bronze_path)
+    return years
+
+
+def load_years(source: DataFrame, years: Sequence[int], bronze_path: str) -> None:
+    """Write some years to the raw table, each replaced as a whole."""
     if years:
         dated = source.withColumn("load_year", whole(F.col("year")))
-        fresh = dated.filter(F.col("load_year").isin(years))
+        fresh = dated.filter(F.col("load_year").isin(*years))
         sinks.write_table(fresh, bronze_path, ["load_year"], replace_only_present=True)
-    return years
 
 
 def read_loaded(spark: SparkSession, bronze_path: str, years: Sequence[int] | None = None) -> DataFrame:
@@ -87,31 +103,15 @@ def refresh_reference(tables: dict[str, DataFrame], base: str) -> None:
         sinks.write_table(df, f"{base}/{name}")
 
 
-def _differs(one: DataFrame, other: DataFrame) -> bool:
-    return not (one.exceptAll(other).isEmpty() and other.exceptAll(one).isEmpty())
-
-
-def rebuild_silver(
-    spark: SparkSession, bronze: str, silver_base: str, years: Sequence[int] | None = None
-) -> Sequence[int] | None:
-    """Silver counts of some years (None: all), and the other silver tables whole.
-
-    Returns the years whose totals are out of date: those given, or None, which
-    means all, if a region or an authority has changed its name.
-    """
+def rebuild_silver(spark: SparkSession, bronze: str, silver_base: str, years: Sequence[int] | None = None) -> None:
+    """Silver counts of some years (None: all), and the other silver tables whole."""
     counts = silver.annual_counts(read_loaded(spark, f"{bronze}/counts", years))
     sinks.write_table(
         sinks.with_processed_time(counts), f"{silver_base}/counts", ["year"], replace_only_present=years is not None
     )
-    points = silver.annual_count_points(spark.read.parquet(f"{bronze}/count_points"))
-    sinks.write_table(sinks.with_processed_time(points), f"{silver_base}/count_points")
-    for name in ("regions", "local_authorities"):
-        areas = silver.named_areas(spark.read.parquet(f"{bronze}/{name}"))
-        before = stored_or_none(spark, f"{silver_base}/{name}")
-        if before is None or _differs(areas, before.select(*areas.columns)):
-            years = None
-        sinks.write_table(sinks.with_processed_time(areas), f"{silver_base}/{name}")
-    return years
+    for name, conform in REFERENCE.items():
+        table = conform(spark.read.parquet(f"{bronze}/{name}"))
+        sinks.write_table(sinks.with_processed_time(table), f"{silver_base}/{name}")
 
 
 def gold_tables(
@@ -175,23 +175,75 @@ def rebuild_gold(
     return paths
 
 
+def year_prints(rows: DataFrame) -> dict[int, str]:
+    """The fingerprint of each year of counts."""
+    dated = rows.withColumn("_year", whole(F.col("year"))).filter(F.col("_year").isNotNull())
+    return {r["_year"]: r["fingerprint"] for r in fingerprints(dated, ["_year"]).collect()}
+
+
+def reference_prints(reference: dict[str, DataFrame]) -> dict[str, str]:
+    """The fingerprint of each reference table, of the columns that silver takes from it."""
+    return {name: fingerprints(conform(reference[name])).first()["fingerprint"] for name, conform in REFERENCE.items()}
+
+
+def _last_notes(notes: DataFrame | None, after: int = -1) -> dict[tuple[str, int | None], str | None]:
+    """The newest print of each year and reference table, of versions over ``after``."""
+    if notes is None:
+        return {}
+    rows = notes.filter(F.col("version") > after).groupBy("input", "year").agg(F.max_by("fingerprint", "version").alias("fingerprint"))
+    return {(r["input"], r["year"]): r["fingerprint"] for r in rows.collect()}
+
+
+def _note(spark: SparkSession, path: str, version: int, prints: dict[tuple[str, int | None], str | None]) -> None:
+    rows = [(version, name, year, found) for (name, year), found in prints.items()]
+    sinks.append_rows(spark.createDataFrame(rows, NOTES).coalesce(1), path)
+
+
 def run(
-    spark: SparkSession, source: DataFrame, reference: dict[str, DataFrame], base: str, **options
+    spark: SparkSession, source: DataFrame, reference: dict[str, DataFrame], base: str, recheck: bool = False, **options
 ) -> str:
     """One incremental run below ``base``: load, rebuild what it changes, then note it as done.
 
-    The gold of the run before stays for readers that are still at it; older ones
-    are removed.
+    Loaded are the years that no finished run has loaded; with ``recheck``,
+    which reads the whole source, also years whose rows have changed since. All
+    years are rebuilt if a region or an authority has another name than in the
+    last finished run, or if a run between the two that broke off had yet
+    others; else the years loaded now, and those of runs that broke off. Years
+    that the source offers no longer stay. Nothing is done where nothing has
+    changed. The gold of the run before stays for readers that are still at it;
+    older ones are removed.
     """
     done = progress(spark, base)
-    years = load_missing(source, done, f"{base}/bronze/counts")
-    if not years:
-        return "NO_NEW_DATA"
     version = _version(done) + 1
-    refresh_reference(reference, f"{base}/bronze")
-    changed = rebuild_silver(spark, f"{base}/bronze", f"{base}/silver", years)
-    rebuild_gold(spark, base, f"{base}/gold/v{version:06d}", changed, **options)
-    note = spark.createDataFrame([(version, year) for year in years], "version int, year int")
-    sinks.append_rows(note.coalesce(1), f"{base}/progress")
+    noted = _last_notes(done)
+    broken = _last_notes(_notes(spark, f"{base}/attempts"), after=version - 1)
+    years = {row["year"] for row in missing_years(source, done).collect()} | {year for name, year in broken if name == "counts"}
+    changed: set[int] = set()
+    if recheck and done is not None:
+        offered = year_prints(source)
+        changed = {year for year, found in offered.items() if found != noted.get(("counts", year)) and ("counts", year) in noted}
+    prints = {(name, None): found for name, found in reference_prints(reference).items()}
+    if not years and not changed and not broken and all(noted.get(key) == found for key, found in prints.items()):
+        return "NO_NEW_DATA"
+    _note(spark, f"{base}/attempts", version, {**prints, **{("counts", year): None for year in years | changed}})
+    bronze = f"{base}/bronze"
+    load_years(source, sorted(years | changed), f"{bronze}/counts")
+    refresh_reference(reference, bronze)
+    renamed = any(seen.get((name, None), prints[name, None]) != prints[name, None] for seen in (noted, broken) for name in NAMED)
+    stale = None if renamed or done is None else sorted(years | changed)
+    if stale and not changed <= _usable_years(spark, bronze, sorted(changed)):
+        stale = None  # a year without rows left is replaced only with all others
+    rebuild_silver(spark, bronze, f"{base}/silver", stale)
+    rebuild_gold(spark, base, f"{base}/gold/v{version:06d}", stale, **options)
+    loaded = year_prints(read_loaded(spark, f"{bronze}/counts", sorted(years | changed)))
+    _note(spark, f"{base}/progress", version, {**prints, **{("counts", year): found for year, found in loaded.items()}})
     remove_folder(spark, f"{base}/gold/v{version - 2:06d}")
     return "LOADED"
+
+
+def _usable_years(spark: SparkSession, bronze: str, years: Sequence[int]) -> set[int]:
+    """Years of the raw table that have rows for silver."""
+    if not years:
+        return set()
+    counts = silver.annual_counts(read_loaded(spark, f"{bronze}/counts", years))
+    return {row["year"] for row in counts.select("year").distinct().collect()}
