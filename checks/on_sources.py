@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 import datetime as dt
 
 from pyspark.sql import DataFrame
@@ -583,6 +585,42 @@ def _feeds(i: Inputs, lost: int | None = None) -> dict[str, raw.Feed]:
     }
 
 
+def _page_landed_twice(i: Inputs) -> DataFrame:
+    """The feed, and before it an older state of every second page, in the same folder."""
+    path = landed_pages(i)
+    lines = i.spark.read.text(path)
+    page = F.get_json_object("value", "$.current_page").cast("int")
+    older = lines.filter(page % 2 == 0).select(F.regexp_replace("value", '"year":2000', '"year":1999').alias("value"))
+    both = work_folder(i.spark, "pages-twice")
+    for part in (older, lines, lines.filter(page == 1)):  # the first pages once more, unchanged
+        part.write.mode("append").text(both)
+        time.sleep(1.1)  # the later file counts
+    return raw.Feed(both, RECORD, "pages", by="region int").read(i.spark)
+
+
+def _group_missing(i: Inputs) -> DataFrame:
+    """A feed that was asked for by all nations of a region or more, of which one has no pages."""
+    base = work_folder(i.spark, "raw-group")
+    feed = raw.Feed(landed_pages(i), RECORD, "pages", by="region int", asked=i.spark.range(6).select(col("id").cast("int").alias("region")))
+    try:
+        raw.run(i.spark, {"counts": feed}, base)
+        outcome = "written"
+    except raw.IncompleteFeed:
+        outcome = "refused" if not folder_exists(i.spark, base) else "refused too late"
+    return feed.gaps(i.spark).select("region", "pages_read", "records").withColumn("outcome", F.lit(outcome))
+
+
+def _bad_lines(i: Inputs) -> DataFrame:
+    """A list feed in which every 500th line is cut off and every 700th has text for a number."""
+    path = work_folder(i.spark, "spoilt")
+    line = F.to_json(F.struct(col("c_custkey").alias("id"), col("c_name").alias("name")))
+    key = col("c_custkey")
+    spoilt = F.when(key % 500 == 0, F.substring(line, 1, 9)).when(key % 700 == 0, F.lit('{"id":"none"}')).otherwise(line)
+    i.table("customer").select(spoilt.alias("value")).write.text(path)
+    feed = raw.Feed(path, "id int, name string", bad_share=0.01)
+    return raw.run(i.spark, {"names": feed}, work_folder(i.spark, "raw-spoilt")).select("table_name", "row_count")
+
+
 def _raw_run(i: Inputs) -> DataFrame:
     base = work_folder(i.spark, "raw")
     report = raw.run(i.spark, _feeds(i), base)
@@ -608,6 +646,14 @@ add(
  UNION ALL SELECT 'authorities', COUNT(*), 5, FALSE, 'authorities' FROM nation
  UNION ALL SELECT 'collisions', COUNT(*), 15, FALSE, 'collisions' FROM orders""",
 )
+add("S2_page_landed_twice", _page_landed_twice, RECORD_SQL)
+add("B_run_refuses_missing_group", _group_missing, "SELECT CAST(5 AS INTEGER) AS region, 0::BIGINT AS pages_read, 0::BIGINT AS records, 'refused' AS outcome")
+add(
+    "B_run_bad_lines", _bad_lines,
+    """WITH s AS (SELECT c_custkey % 500 = 0 OR c_custkey % 700 = 0 AS bad FROM customer)
+ SELECT 'names' AS table_name, COUNT(*) FILTER (NOT bad) AS row_count FROM s
+ UNION ALL SELECT 'names_bad_lines', COUNT(*) FILTER (bad) FROM s HAVING COUNT(*) FILTER (bad) > 0""",
+)
 add("B_run_refuses_missing_pages", _refused, f"SELECT COUNT(*) AS n, CASE WHEN COUNT(*) > {PAGE_ROWS} THEN 'refused' ELSE 'written' END AS outcome FROM customer")
 
 

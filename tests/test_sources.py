@@ -322,3 +322,66 @@ def test_fingerprints_see_rows_not_their_order(spark):
     others = [rows[:3], [("x", None), ("x", None), ("x", "y"), ("x", "y")], [(None, "x")] + rows[1:], []]
     assert len({print_of(rows), *map(print_of, others)}) == 5
     assert {r.a: r.fingerprint for r in fingerprints(spark.createDataFrame(rows, "a string, b string"), ["a"]).collect()}.keys() == {"x", None}
+
+
+def landed_text(folder, *files):
+    folder.mkdir()
+    for n, text in enumerate(files):
+        (folder / f"{n}.json").write_text(text)
+        os.utime(folder / f"{n}.json", (1_700_000_000 + n, 1_700_000_000 + n))
+    return str(folder)
+
+
+def page(region, number, last, *ids):
+    return json.dumps({"region": region, "current_page": number, "last_page": last, "data": [{"id": i} for i in ids]}) + "\n"
+
+
+def test_of_a_page_landed_twice_the_later_counts(spark, tmp_path, values):
+    from viagrid.plans import raw
+
+    old = page(1, 1, 2, 90, 91) + page(1, 2, 2, 20) + page(2, 1, 1, 30)
+    path = landed_text(tmp_path / "pages", old, page(1, 1, 2, 10) + page(None, 1, 1, 40), page(1, 2, 2, 20) * 2)
+    feed = raw.Feed(path, "id int", "pages", by="region int")
+    assert values(feed.read(spark)) == [(10,), (20,), (30,), (40,)]
+    assert feed.gaps(spark).count() == 0
+    whole = raw.Feed(path, "id int", "pages", by="region int", whole_files=False, asked=spark.createDataFrame([(1,), (2,), (3,)], "region int"))
+    assert [(r.region, r.pages_read) for r in whole.gaps(spark).collect()] == [(3, 0)]
+    with pytest.raises(raw.IncompleteFeed):
+        raw.run(spark, {"counts": whole}, str(tmp_path / "out"))
+    assert not (tmp_path / "out").exists()
+
+
+def test_pages_without_repeats_are_not_shuffled_with_their_records(spark, tmp_path):
+    path = landed_text(tmp_path / "pages", page(1, 1, 1, 10))
+    pages = landed.read_pages(spark, path, "id int", extra="region int")
+    found = landed.newest_pages(pages, ["region"])
+    assert found.count() == 1 and found.columns == pages.columns
+    assert "cartesian" not in found._jdf.queryExecution().executedPlan().toString().lower()
+
+
+def test_bad_lines_are_kept_beside_the_table(spark, tmp_path, values):
+    from viagrid.plans import raw
+
+    good = "".join(json.dumps({"id": n, "name": "x"}) + "\n" for n in range(997))
+    path = landed_text(tmp_path / "list", good + '{"id": 1, "na\n{"id": "one", "name": "y"}\nnothing\n')
+    report = raw.run(spark, {"names": raw.Feed(path, "id int, name string", bad_share=0.003)}, str(tmp_path / "out"))
+    assert values(report, "table_name", "row_count") == [("names", 997), ("names_bad_lines", 3)]
+    beside = spark.read.parquet(str(tmp_path / "out/names_bad_lines"))
+    assert {r.line: r.read_as for r in beside.collect()}['{"id": "one", "name": "y"}'] == '{"name":"y"}'
+    assert all(r.file.endswith("/0.json") for r in beside.collect())
+    with pytest.raises(raw.UnreadableFeed):
+        raw.run(spark, {"names": raw.Feed(path, "id int, name string", bad_share=0.002)}, str(tmp_path / "refused"))
+    assert not (tmp_path / "refused").exists()
+    clean = landed_text(tmp_path / "clean", good)
+    report = raw.run(spark, {"names": raw.Feed(clean, "id int, name string")}, str(tmp_path / "out"))
+    assert values(report, "table_name", "row_count") == [("names", 997)] and not (tmp_path / "out/names_bad_lines").exists()
+
+
+def test_a_broken_whole_file_is_counted(spark, tmp_path):
+    from viagrid.plans import raw
+
+    path = landed_text(tmp_path / "rows", '{"rows": [{"id": 1},\n {"id": 2}]}', '{"rows": [{"id": 3},\n')
+    feed = raw.Feed(path, "id int", "rows", whole_files=True)
+    assert landed.line_counts(spark, path, feed.documents, True) == (2, 1)
+    with pytest.raises(raw.UnreadableFeed):
+        raw.run(spark, {"rows": feed}, str(tmp_path / "out"))
