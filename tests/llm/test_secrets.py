@@ -1,5 +1,9 @@
 import hashlib
+import itertools
+import random
 import re
+import time
+from math import log10
 
 from viagrid.llm import secrets
 
@@ -65,5 +69,76 @@ def test_guess_costs():
     assert cost("xK9$" * 5_000) < cost("".join(chr(33 + (i * i * 7 + i // 90) % 90) for i in range(20_000)))
 
 
+def every_segment(value):
+    """(first, end, price) of every segment but brute force, from the definitions."""
+    n, near = len(value), (lambda a, b: b in secrets._NEAR.get(a, ()), lambda a, b: a.isalnum() and abs(ord(a) - ord(b)) == 1)
+    for a in range(n):
+        for b in range(a + 1, n + 1):
+            part = value[a:b]
+            if b - a >= 2 and secrets._word_cost(part) is not None:
+                yield a, b, secrets._word_cost(part)
+            if re.fullmatch(secrets._DATES, part) and secrets._DATES.match(value, a).end() == b:
+                yield a, b, log10(200) if b - a == 4 else log10(200 * 365)
+            if re.fullmatch("[a-z]{4,14}|[A-Z][a-z]{3,13}|[A-Z]{4,14}", part) and not value[a - 1 : a].isalpha() and not value[b : b + 1].isalpha() and secrets._word_like(part):
+                yield a, b, secrets.UNKNOWN_WORD
+            if b - a >= 3:
+                for linked in near:
+                    low = secrets.lowered(part)
+                    if all(map(linked, low, low[1:])):
+                        steps = [ord(y) - ord(x) for x, y in zip(low, low[1:])]
+                        yield a, b, secrets.WALK + secrets.TURN * sum(x != y for x, y in zip(steps, steps[1:]))
+                if any(p <= b - a and value[a - p : b - p] == part for p in range(1, a + 1)):
+                    yield a, b, secrets.REPEAT
+
+
+def exact_cost(value):
+    segments = list(every_segment(value))
+    best = {(0, False): 0.0}
+    for i in range(len(value)):
+        for held in (False, True):
+            if (i, held) in best:
+                at = best[i, held]
+                cut = secrets.CUT if i else 0
+                ways = [(i + 1, True, at + secrets._brute(value[i]) + (0 if held else cut))] + [(b, False, at + cut + c) for a, b, c in segments if a == i]
+                for b, kind, cost in ways:
+                    best[b, kind] = min(best.get((b, kind), 1e9), cost)
+    return min(best.get((len(value), held), 1e9) for held in (False, True))
+
+
+def test_least_cost_of_all_segmentations():
+    draw = random.Random(8)
+    values = ["".join(v) for size in range(1, 8) for v in itertools.product("a1", repeat=size)]
+    values += ["".join(draw.choice(letters) for _ in range(draw.randint(1, size))) for letters, size in (("ab1", 8), ("qwe", 10), ("pas1", 12), ("as", 24), ("x7", 30), ("2019-0", 12)) for _ in range(250)]
+    values += ["passpasspass", "abcdeabcdeabcdeabcde", "1999-12-31pass", "qwertyqwerty1", "P4ssword" * 3, "xK9$xK9$", "ıİ" * 4]
+    for value in values:
+        assert abs(secrets.guess_cost(value) - exact_cost(value)) < 1e-9, value
+        assert (secrets.guess_cost(value, 4.0) > 4.0) == (exact_cost(value) > 4.0 + 1e-9), value
+
+
+def test_random_letters_are_no_words():
+    for value in ("qzxkvbnwpj", "XKQJZVWPMT", "zqxkvjwpmb"):
+        assert secrets.guess_cost(value) > 13
+    for value in ("correct", "horse", "Battery", "STAPLE", "kitchen", "mountain"):
+        assert secrets.guess_cost(value) <= secrets.UNKNOWN_WORD
+    assert secrets.guess_cost("abcde" * 4) < secrets.LEAST_GUESSES
+
+
+def test_long_values_take_linear_time():
+    for unit in ("a", "as", "x7", "abcde", "password", "qwertyuiop", "A" * 40 + "b"):
+        begun = time.process_time()
+        long = secrets.guess_cost(unit * (1_000_000 // len(unit)))
+        assert time.process_time() - begun < 10, unit
+        assert abs(long - secrets.guess_cost(unit * (800 // len(unit)))) < 12, unit
+    begun = time.process_time()
+    noise = "".join(random.Random(1).choices("abcdefghijklmnopqrstuvwxyz0123456789", k=1_000_000))
+    assert secrets.guess_cost(noise, secrets.LEAST_GUESSES) > secrets.LEAST_GUESSES and time.process_time() - begun < 20
+
+
+def test_a_text_of_several_megabytes(docs_of):
+    text = "token=" + "A" * 3_000_000 + " pwd: " + "as" * 500_000 + " pwd: q9#Lw2!xZ8vR"
+    row = secrets.secrets(docs_of([(1, text)])).first()
+    assert row.n_assign == 1 and row.spans == f"assign:0:3000006,guess:{3_000_006 + 6 + 1_000_000 + 6}:{len(text)}"
+
+
 def test_no_rows(docs_of):
     assert secrets.secrets(docs_of([])).count() == 0
