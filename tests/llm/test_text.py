@@ -54,3 +54,25 @@ def test_hashes_do_not_depend_on_chunks(monkeypatch, chunk):
 def test_row_ranges_cover_all_rows():
     ranges = list(text.by_bytes(pa.array(ODD, pa.string()), 20))
     assert [r for a, b in ranges for r in range(a, b)] == list(range(len(ODD)))
+
+
+def thue_morse(n, letters):
+    return "".join(letters[bin(i).count("1") % 2] for i in range(n))
+
+
+@pytest.mark.parametrize("letters", ["ab", "xy", "01", "é日"])
+def test_words_that_collide_under_any_polynomial(letters):
+    pairs = [(thue_morse(1 << k, letters), thue_morse(1 << k, letters[::-1])) for k in range(1, 13)]
+    texts = [" ".join([word] * 5) for pair in pairs for word in pair]
+    for family in (0, 1):
+        hashes = text.words_of(pa.array([w for pair in pairs for w in pair])).hashes(family=family)
+        assert len(set(hashes.tolist())) == 2 * len(pairs)
+    sets = list(text.shingle_sets(pa.array(texts)))
+    assert len({s.tobytes() for s in sets}) == len(texts)
+
+
+def test_the_two_hashes_are_independent():
+    words = text.words_of(pa.array([" ".join(f"{k:x}" for k in range(5000))]))
+    one, two = words.hashes(), words.hashes(family=1)
+    agree = [bin(int(a ^ b)).count("1") for a, b in zip(one, two)]
+    assert 31.5 < sum(agree) / len(agree) < 32.5

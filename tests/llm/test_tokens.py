@@ -48,6 +48,26 @@ def test_a_full_table_begins_anew(library):
         assert encoder.counts(pa.array([text], pa.string())).tolist() == [len(library(text))]
 
 
+def test_words_that_share_a_hash_keep_their_own_ids(library, monkeypatch):
+    letters = ["".join("ab"[(bin(i).count("1") + turn) % 2] for i in range(1 << k)) for k in range(1, 13) for turn in (0, 1)]
+    texts = [*letters, " ".join(letters), *ODD, " ".join(f"w{k} x{k}." for k in range(300))]
+
+    def check(encoder):
+        for _ in range(2):
+            for first, flat, bounds in encoder.encoded(pa.array(texts, pa.string())):
+                for k in range(len(bounds) - 1):
+                    assert flat[bounds[k] : bounds[k + 1]].tolist() == library(texts[first + k])
+
+    check(tokens.Encoder(WORD))
+    whole = tokens.Words.hashes
+    # nearly all words share a key
+    monkeypatch.setattr(tokens.Words, "hashes", lambda words, fold=False, family=0: whole(words, fold, family) % (7 if family == 0 else 1 << 63))
+    check(tokens.Encoder(WORD))
+    small = tokens.Encoder(WORD)
+    small.table.most = 50
+    check(small)
+
+
 @pytest.mark.parametrize("name", ["byte_bpe_50k.json", "piece_bpe_32k.model"])
 def test_other_vocabularies_encode_whole_texts(name):
     path = public_tokenizers.path(name)

@@ -20,7 +20,6 @@ CHUNK_BYTES = 1 << 18
 SHINGLE_WORDS = 5
 
 _MASK = (1 << 64) - 1
-_BASE = 0x9E3779B97F4A7C15 | 5
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -40,22 +39,32 @@ def seeded(n: int, seed: int) -> np.ndarray:
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
-_BYTES = seeded(256, 1)
-_FOLDED = _BYTES.copy()
-_FOLDED[65:91] = _BYTES[97:123]
 _PLACES = seeded(SHINGLE_WORDS, 2) | np.uint64(1)
-_powers = np.ones(1, dtype=np.uint64)
 
 
-def powers(n: int) -> np.ndarray:
-    """Powers of the hash base, as many as the longest run hashed so far needed."""
-    global _powers
-    if len(_powers) < n:
-        size = max(n, CHUNK_BYTES)
-        steps = np.full(size, _BASE & _MASK, dtype=np.uint64)
-        steps[0] = 1
-        _powers = np.multiply.accumulate(steps)
-    return _powers
+class _Family:
+    """Keys of one hash: a value per byte, the same with A-Z as a-z, and an odd key per place in a word.
+
+    Every place has a key of its own, so no pattern of bytes makes two words
+    collide whatever the keys are, as powers of one base would.
+    """
+
+    def __init__(self, seed: int):
+        self.seed = seed
+        self.bytes = seeded(256, seed)
+        self.folded = self.bytes.copy()
+        self.folded[65:91] = self.bytes[97:123]
+        self.places = np.empty(0, np.uint64)
+
+    def keys(self, n: int) -> np.ndarray:
+        """Keys of the first places, as many as the longest run hashed so far needed."""
+        if len(self.places) < n:
+            self.places = seeded(max(n, CHUNK_BYTES), self.seed + 1) | np.uint64(1)
+        return self.places
+
+
+#: Two independent hashes.
+_FAMILIES = (_Family(1), _Family(11))
 
 
 @dataclass
@@ -67,9 +76,10 @@ class Words:
     end: np.ndarray
     first: np.ndarray  # of text i: words first[i] to first[i + 1]
 
-    def hashes(self, fold: bool = False) -> np.ndarray:
-        """A 64-bit hash per word; ``fold`` takes A-Z as a-z."""
-        table = _FOLDED if fold else _BYTES
+    def hashes(self, fold: bool = False, family: int = 0) -> np.ndarray:
+        """A 64-bit hash per word; ``fold`` takes A-Z as a-z, ``family`` is one of two independent hashes."""
+        keys = _FAMILIES[family]
+        table = keys.folded if fold else keys.bytes
         out = np.empty(len(self.start), dtype=np.uint64)
         i = 0
         while i < len(self.start):
@@ -80,7 +90,7 @@ class Words:
             # place of each byte in its word: bytes between words get any place, they are not summed
             offset = self.start[i:j] - base
             place = np.arange(len(piece)) - np.repeat(offset, np.diff(np.append(offset, len(piece))))
-            piece = piece * powers(int(place.max()) + 1)[place]
+            piece = piece * keys.keys(int(place.max()) + 1)[place]
             sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(piece)))
             out[i:j] = mixed(sums[offset + lengths] - sums[offset] + lengths.astype(np.uint64))
             i = j

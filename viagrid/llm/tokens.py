@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from viagrid.llm.text import Words, buffer_of, by_bytes, words_of
+from viagrid.llm.text import Words, buffer_of, by_bytes, mixed, words_of
 
 #: Text encoded at a time, words kept by a worker, words joined into one call, bytes of a call.
 BATCH_BYTES, KEPT_WORDS, JOINED_WORDS, CALL_BYTES = 4 << 20, 1_200_000, 500, 1 << 18
@@ -60,14 +60,18 @@ def units_of(words: Words) -> Words:
 
 
 class WordTable:
-    """Ids of the words met so far, by word hash; emptied when full."""
+    """Ids of the words met so far, by word hash; emptied when full.
+
+    Each word has a second hash beside its key, so a word that only shares
+    another's key is told apart.
+    """
 
     def __init__(self, most: int = KEPT_WORDS):
         self.most = most
         self.clear()
 
     def clear(self) -> None:
-        self.keys = np.empty(0, np.uint64)
+        self.keys, self.seconds = np.empty(0, np.uint64), np.empty(0, np.uint64)
         self.lengths = np.empty(0, np.int32)
         self.at = np.empty(0, np.int64)
         self.pool = np.empty(0, np.uint32)
@@ -80,10 +84,11 @@ class WordTable:
         at[at == len(self.keys)] = 0
         return at, self.keys[at] != keys
 
-    def add(self, keys: np.ndarray, lengths: np.ndarray, at: np.ndarray, ids: np.ndarray) -> None:
-        """New sorted keys: how many ids each has, and where they begin in ``ids``."""
+    def add(self, keys: np.ndarray, seconds: np.ndarray, lengths: np.ndarray, at: np.ndarray, ids: np.ndarray) -> None:
+        """New sorted keys: their second hashes, how many ids each has, and where they begin in ``ids``."""
         where = np.searchsorted(self.keys, keys)
         self.keys = np.insert(self.keys, where, keys)
+        self.seconds = np.insert(self.seconds, where, seconds)
         self.lengths = np.insert(self.lengths, where, lengths)
         self.at = np.insert(self.at, where, at + len(self.pool))
         self.pool = np.concatenate((self.pool, ids))
@@ -146,8 +151,22 @@ class Encoder:
         return lengths, at, ids
 
     def _placed(self, words: Words) -> np.ndarray:
-        """The place in the table of every unit of a batch."""
-        keys, first, inverse = np.unique(words.hashes(), return_index=True, return_inverse=True)
+        """The place in the table of every unit of a batch.
+
+        Units whose second hash is not that of their key's word get another key,
+        made of both hashes, until every unit stands with its own word.
+        """
+        keys, seconds = words.hashes(), words.hashes(family=1)
+        while True:
+            at = self._looked_up(words, keys, seconds)
+            apart = self.table.seconds[at] != seconds
+            if not apart.any():
+                return at
+            keys[apart] = mixed(keys[apart] ^ seconds[apart])
+
+    def _looked_up(self, words: Words, keys: np.ndarray, seconds: np.ndarray) -> np.ndarray:
+        """The place of every unit's key, added with the first unit that has it where it is absent."""
+        keys, first, inverse = np.unique(keys, return_index=True, return_inverse=True)
         at, absent = self.table.places(keys)
         if absent.any():
             if len(self.table.keys) + int(absent.sum()) > self.table.most:
@@ -156,7 +175,7 @@ class Encoder:
             new = np.flatnonzero(absent)
             data = words.data.tobytes()
             begins, ends = words.start[first[new]].tolist(), words.end[first[new]].tolist()
-            self.table.add(keys[new], *self._words([data[a:b] for a, b in zip(begins, ends)]))
+            self.table.add(keys[new], seconds[first[new]], *self._words([data[a:b] for a, b in zip(begins, ends)]))
             at, _ = self.table.places(keys)
         return at[inverse]
 
