@@ -109,3 +109,15 @@ def test_thresholds(spark):
     assert step([800] * 50, [1200]) == 1000
     assert step([800] * 50, []) == 800
     assert step([], [1200]) == rules.STEPS
+
+
+def test_all_trees_are_built_at_every_size():
+    rng = np.random.default_rng(5)
+    for n, own in ((1, 1), (2, 2), (10, 10), (199, 16), (200, 16), (1000, 62), (5_000, 256), (30_000, 256)):
+        x = rng.normal(0, 1, (n, len(SHAPES)))
+        forest = rules.fit(x, 100, 256)
+        assert len(forest.feature) == 100 and forest.depth == max(1, int(np.ceil(np.log2(max(2, own)))))
+        assert ((forest.feature >= 0).sum(axis=1) < own).all()
+        if n > 2:
+            assert len({tuple(row) for row in forest.split[:, :3]}) > 90  # each has rows of its own
+    assert len(rules.fit(np.empty((0, len(SHAPES))), 100, 256).feature) == 0

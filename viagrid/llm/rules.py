@@ -20,6 +20,8 @@ from viagrid.llm.stats import COUNTS, SHAPES, with_stats
 
 #: Size of the forest: rows in a tree's sample and trees; together the bound on what the fit reads.
 TREE_ROWS, TREES = 256, 100
+#: Part of a small sample that a tree has, and its least number of rows.
+TREE_SHARE, LEAST_ROWS = 16, 16
 #: Share of good labelled documents that the forest may reject where no bad ones are labelled.
 GOOD_LOSS = 0.002
 #: Steps in which scores are compared with the threshold.
@@ -80,14 +82,19 @@ def grown(sample: np.ndarray, depth: int, rng: np.random.Generator) -> tuple[lis
 
 
 def fit(sample: np.ndarray, trees: int, tree_rows: int, seed: int = 7) -> Forest:
-    """A forest on rows dealt out to the trees in order."""
+    """A forest of ``trees`` trees, each on rows of its own drawn from the whole sample.
+
+    A tree has ``tree_rows`` rows, of a small sample one in ``TREE_SHARE`` (at
+    least ``LEAST_ROWS``): trees that see most rows take a group of like
+    anomalies for usual.
+    """
     rng = np.random.default_rng(seed)
-    depth = max(1, int(np.ceil(np.log2(max(2, min(tree_rows, len(sample)))))))
-    parts = [sample[t::trees] for t in range(trees)] if len(sample) >= 2 * trees else [sample]
-    built = [grown(p, depth, rng) for p in parts if len(p)]
+    own = min(tree_rows, len(sample), max(LEAST_ROWS, len(sample) // TREE_SHARE))
+    depth = max(1, int(np.ceil(np.log2(max(2, own)))))
+    built = [grown(sample[rng.permutation(len(sample))[:own]], depth, rng) for _ in range(trees)] if own else []
     most = max((len(b[0]) for b in built), default=1)
     filled = [np.array([b[k] + [z] * (most - len(b[k])) for b in built]) for k, z in enumerate((-1, 0.0, 0, 0.0))]
-    usual = expected_path(max(2, len(parts[0])))
+    usual = expected_path(max(2, own))
     return Forest(filled[0].astype(int), filled[1], filled[2].astype(int), filled[3], depth, usual)
 
 
