@@ -96,3 +96,23 @@ def test_dates_month_first_and_year_first():
     for value in ("13.31.1999", "13/13/1999", "02/30/1999", "1987/13/05", "1987.02.30", "1.1987.06.05", "1987/06/05/1"):
         assert names.text(value)[0] == value
     assert back.date(iso.replace("-", "/")) == "1987/06/05"
+
+
+def test_equal_phone_numbers_are_linked_in_any_grouping():
+    names, back = p.Pseudonyms(b"k"), p.Pseudonyms(b"k", back=True)
+    for forms in (("+44 20 7946 0958", "+442079460958", "+44-20-7946-0958", "+44 (20) 7946 0958"), ("+49 30 901 820", "+4930901820"), ("+7 495 123 45 67", "+74951234567"), ("+353 1 234 5678", "+35312345678"), ("+1 212 555 0100", "+12125550100")):
+        found = [names.text(f"call {form}, please")[0].split("call ")[1].split(",")[0] for form in forms]
+        digits = {"".join(c for c in value if c.isdigit()) for value in found if value not in forms}
+        assert len(digits) == 1, forms
+        for form, value in zip(forms, found):
+            assert back.text(f"call {value}, please")[0] == f"call {form}, please" or value == form
+
+
+def test_cards_in_many_small_groups_and_with_dots():
+    names, back = p.Pseudonyms(b"k"), p.Pseudonyms(b"k", back=True)
+    for text in ("12 41 11 11 11 11 11 11 11", "41 11 11 11 11 11 11 11", "4 1 1 1 1 1 1 1 1 1 1 1 1 1 1 1", "at 4111.1111.1111.1111."):
+        other, counts = names.text(text)
+        assert counts[0] == 1 and other != text and "1111" not in other.replace(" ", ""), text
+        assert [len(g) for g in other.replace(".", " ").split(" ")] == [len(g) for g in text.replace(".", " ").split(" ")]
+        assert back.text(other)[0] == text
+    assert names.text("1.2345.6789 and 4111.1111.1111.1112")[0] == "1.2345.6789 and 4111.1111.1111.1112"

@@ -31,16 +31,19 @@ _NUMBERS = re.compile(
     r"(?:(?:(?!" + _FORM + r")[ .-]?\d{2,4}){2,3}(?!\d)|(?:[ .-]?\d{2,4}){2,3}(?!\d)))",
     re.ASCII,
 )
-#: Digit groups with single blanks or hyphens between them, 13 digits or more.
-_RUN = re.compile(r"(?<!\d)\d(?:[ -]?\d){12,}(?!\d)", re.ASCII)
+#: Digit groups with single blanks or hyphens between them, 13 digits or more, and four fours with dots.
+_RUN = re.compile(r"(?<!\d)\d(?:[ -]?\d){12,}(?!\d)|(?<![\d.])\d{4}\.\d{4}\.\d{4}\.\d{4}(?!\d|\.\d)", re.ASCII)
 _GROUP = re.compile(r"\d+", re.ASCII)
 #: Sizes of the groups in which cards are written, besides a single one; of two forms at a place the one of fewer groups wins.
 CARD_FORMS = {
     (4, 4, 4, 4), (4, 6, 5), (4, 6, 4), (4, 3, 3, 3), (4, 5, 6), (4, 4, 4, 2), (4, 4, 4, 3), (4, 4, 5), (8, 8), (6, 10), (6, 13),
     (4, 4, 4, 4, 1), (4, 4, 4, 4, 2), (4, 4, 4, 4, 3),
 }
-#: Groups of 13 to 19 digits in other forms are searched for parts that are a card if they are no more than these.
-PART_GROUPS = 6
+#: Calling codes of two digits (fixed values); those that begin with 1 or 7 have one digit, all others three.
+TWO_DIGIT_CODES = {
+    "20", "27", "30", "31", "32", "33", "34", "36", "39", "40", "41", "43", "44", "45", "46", "47", "48", "49", "51", "52", "53", "54",
+    "55", "56", "57", "58", "60", "61", "62", "63", "64", "65", "66", "81", "82", "84", "86", "90", "91", "92", "93", "94", "95", "98",
+}
 _EMAIL = re.compile(r"(?<![A-Za-z0-9_.+-])([A-Za-z0-9_.+-]+)@((?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,})(?![A-Za-z0-9])")
 _LAST = re.compile(r"\d")
 
@@ -136,7 +139,7 @@ class CardRun:
             if digits < 13:
                 i += 1
                 continue
-            parts = [(x, y) for x in range(i, j) for y in range(j, x, -1)] if j - i <= PART_GROUPS else [(i, j)]
+            parts = [(x, y) for x in range(i, j) for y in range(j, x, -1)]
             for k, (x, y) in enumerate(parts):
                 if self._card(x, y):
                     self.others.append((x, y, a, parts[:k]))
@@ -198,9 +201,7 @@ class Pseudonyms:
         digits = re.sub(r"\D", "", value)
         if not 9 <= len(digits) <= 15:
             return None
-        country = re.match(r"\+(\d{1,3})", value)[1]
-        if country.startswith("1"):
-            country = "1"
+        country = digits[: 1 if digits[0] in "17" else 2 if digits[:2] in TWO_DIGIT_CODES else 3]
         return _filled(value, country + self._digits("phone" + country, digits[len(country) :]))
 
     def ip(self, value: str) -> str | None:
@@ -315,12 +316,16 @@ def pseudonymised(docs: DataFrame, key: bytes, back: bool = False) -> DataFrame:
     """doc_id, n_card, n_phone, n_ip, n_date, n_email and text of every row of ``docs``, with pseudonyms in the text.
 
     A card beside other digit groups is found if it is one group or has one of
-    ``CARD_FORMS``; in other forms among groups of 19 digits at most. Where a
+    ``CARD_FORMS``; in other forms among groups of 19 digits at most, wherever
+    in them it begins and ends. Equal phone numbers are linked however their
+    digits are grouped, as the calling code follows from the digits. Where a
     pseudonym would make another card of its neighbours, the next one is taken.
     Dates are year-month-day, day.month.year, day/month/year, month/day/year where
     only that is valid, year/month/day and year.month.day; those with dots or strokes
     get two digits for day and month. Not sought: years of two digits, names of
-    months, day-month-year with hyphens, phone numbers without a leading +. A date
+    months, day-month-year with hyphens, phone numbers without a leading + or with
+    the trunk 0 in brackets, cards with dots but in four fours or with two
+    blanks between groups, IBAN, social security numbers, IPv6. A date
     valid only month first gets another such date, so it can differ from the
     pseudonym of the same day in other forms. What does not validate (a wrong check digit, a 30 February, 300.1.1.1) stays. A null text
     stays null, an empty one empty; repeated rows and null ids are treated like any
