@@ -24,6 +24,8 @@ from viagrid.session import work_folder
 
 #: Bytes of records after which a frame, and of frames after which a file is closed.
 FRAME_BYTES, FILE_BYTES = 1 << 20, 1 << 30
+#: Bytes of records that a task reads back, about.
+READ_BYTES = 1 << 26
 #: Fixed values of the seekable format: skippable frame, end of the seek table.
 SKIPPABLE, SEEK_END = 0x184D2A5E, 0x8F92EAB1
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -193,7 +195,12 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def read_archives(index: DataFrame) -> DataFrame:
-    """page_id, payload_bytes, payload_digest, record_type and refers_to of every record, read at its place in its file."""
-    ordered = index.repartition("file", "frame").sortWithinPartitions("file", "frame", "offset")
+    """page_id, payload_bytes, payload_digest, record_type and refers_to of every record, read at its place in its file.
+
+    The records are parted by the bytes they inflate to, not by the size of the index.
+    """
+    whole = index.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+    parts = max(index.sparkSession.sparkContext.defaultParallelism, -(-whole // READ_BYTES))
+    ordered = index.repartition(parts, "file", "frame").sortWithinPartitions("file", "frame", "offset")
     kind = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
     return ordered.select("file", "frame", "offset", "length").mapInArrow(_read, kind)
