@@ -24,8 +24,10 @@ def test_one_row_per_key_with_a_hot_key(spark):
     kept = one_per_key(df, ["k"])
     assert kept.count() == 40_001
     assert kept.filter("k = -1").first().n == 0
-    plan = kept._jdf.queryExecution().toString()
-    assert "partial_min" in plan and "Window" not in plan
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    below = plan[plan.rindex("Exchange") :]
+    assert "WindowGroupLimit" in below and "Partial" in below  # one row per key and task is sent
+    assert "SortAggregate" not in plan
 
 
 def test_one_row_per_key_prefers_values_and_the_latest(spark, values):

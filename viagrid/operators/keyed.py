@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -15,19 +15,19 @@ def one_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -
     one that is highest in those columns, then in the others. A missing value
     loses against any other in either case. NULL keys form a group of their own.
 
-    The rule is total, so the same row is kept on every run. As an aggregate it
-    combines before the shuffle: each task sends at most one row per key, however
-    many copies of a key there are.
+    The rule is total, so the same row is kept on every run. As the first row of
+    a window it is found before the shuffle: each task sends at most one row per
+    key, however many copies of a key there are.
     """
     rest = [name for name in df.columns if name not in keys]
     if not rest:
         return df.distinct()
     if order:
-        ranked = [*order, *(name for name in rest if name not in order)]
-        kept = F.max(F.struct(*ranked))  # NULL is the smallest
+        first = [F.col(name).desc_nulls_last() for name in (*order, *(name for name in rest if name not in order))]
     else:
-        nullable = {field.name for field in df.schema.fields if field.nullable}
-        marked = ([F.col(n).isNull().alias(f"_{k}")] * (n in nullable) + [F.col(n)] for k, n in enumerate(rest))
-        kept = F.min(F.struct(*(column for pair in marked for column in pair)))
-    one = df.groupBy(*keys).agg(kept.alias("_kept"))
-    return one.select(*(F.col(name) if name in keys else F.col(f"_kept.{name}") for name in df.columns))
+        first = [F.col(name).asc_nulls_last() for name in rest]
+    place = "_place"
+    while place in df.columns:
+        place = f"_{place}"
+    placed = df.withColumn(place, F.row_number().over(Window.partitionBy(*keys).orderBy(*first)))
+    return placed.filter(F.col(place) == 1).drop(place)
