@@ -302,7 +302,8 @@ add(
     "U2_latest_per_key",
     lambda i: keyed.one_per_key(i.table("lineitem"), ["l_orderkey"], ["l_shipdate", "l_linenumber"]),
     """SELECT * EXCLUDE (rn) FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY l_orderkey
- ORDER BY l_shipdate DESC NULLS LAST, l_linenumber DESC NULLS LAST) AS rn FROM lineitem) WHERE rn = 1""",
+ ORDER BY l_shipdate DESC NULLS LAST, l_linenumber DESC NULLS LAST, l_partkey DESC, l_suppkey DESC, l_quantity DESC,
+ l_extendedprice DESC, l_discount DESC, l_tax DESC, l_returnflag DESC, l_linestatus DESC) AS rn FROM lineitem) WHERE rn = 1""",
 )
 add(
     "U2_one_per_key",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from checks import oracle as o
@@ -9,8 +10,9 @@ from checks.registry import add, all_of, count_sql, counted, stored
 from checks.standins import BASE_YEAR, LAST_BASE_YEAR
 from viagrid.functions import cleaning
 from viagrid.operators import compare, lookup, quality, ranking
+from viagrid.operators.quarantine import Gate
 from viagrid.plans import annual, dates, domain, hourly, measures, safety, serving, silver
-from viagrid.session import work_folder
+from viagrid.session import folder_exists, work_folder
 
 col = F.col
 
@@ -205,17 +207,47 @@ add("A21_V7_capacity_utilisation", lambda i: hourly.capacity_utilisation(i.peaks
 
 
 
-def domain_gold(i, table: str):
-    """A gold table of a whole run over hourly counts and collisions, read back."""
-    raw = {
+def domain_raw(i) -> dict:
+    return {
         "count_points": i.hourly_points_raw, "counts": i.hourly_raw, "regions": i.regions_raw,
         "local_authorities": i.authorities_raw, "collisions": i.collisions_raw,
         "vehicles": i.vehicles_raw, "casualties": i.casualties_raw,
     }
-    paths = domain.run(i.spark, raw, work_folder(i.spark, "domain"), dates.spine_of(i.hourly_counts))
+
+
+def domain_gold(i, table: str):
+    """A gold table of a whole run over hourly counts and collisions, read back."""
+    paths = domain.run(i.spark, domain_raw(i), work_folder(i.spark, "domain"), dates.spine_of(i.hourly_counts))
     return i.spark.read.parquet(paths[table])
 
 
+def gated_run(i, table: str) -> DataFrame:
+    """Rows of a silver table by the rules they break ('' for those that stay), after a run under a gate that takes any share."""
+    base = work_folder(i.spark, "gated")
+    domain.run(i.spark, domain_raw(i), base, dates.spine_of(i.hourly_counts), Gate(most=1.0, last_year=2020))
+    stays = i.spark.read.parquet(f"{base}/silver/{table}").select(F.lit("").alias("rules"))
+    if not folder_exists(i.spark, f"{base}/quarantine/{table}"):
+        return counted(stays, "rules")
+    goes = i.spark.read.parquet(f"{base}/quarantine/{table}").select(F.array_join("broken_rules", ",").alias("rules"))
+    return counted(stays.union(goes), "rules")
+
+
+def broken_sql(source: str, rules: dict[str, str]) -> str:
+    named = ", ".join(f"CASE WHEN {test} THEN '{rule}' END" for rule, test in rules.items())
+    return f"SELECT rules, COUNT(*) AS n FROM (SELECT array_to_string(list_filter([{named}], lambda r: r IS NOT NULL), ',') AS rules FROM {source}) GROUP BY rules"
+
+
+add(
+    "Q_gate_collisions", lambda i: gated_run(i, "collisions"),
+    broken_sql("collisions", {
+        "null:collision_id": "collision_id IS NULL", "null:latitude": "latitude IS NULL", "null:longitude": "longitude IS NULL",
+        "inside_area": f"NOT ({o.IN_AREA})", "member:severity_label": "severity_label NOT IN ('Fatal', 'Serious', 'Slight')",
+        "member:speed_limit": "speed_limit NOT IN (20, 30, 40, 50, 60, 70)",
+        "positive:number_of_casualties": "number_of_casualties <= 0", "no_future:collision_date": "collision_date > current_date",
+    }),
+)
+
+
 add("A4_domain_run_co2", lambda i: domain_gold(i, "fact_co2_emissions"), all_of("fact_co2_hourly"))
 add("A9_domain_run_casualties", lambda i: domain_gold(i, "fact_casualty_demographics"), CASUALTY_SQL)
 
@@ -618,6 +650,25 @@ add(
         "positive:number_of_casualties": "number_of_casualties <= 0", "no_future:collision_date": "collision_date > current_date",
     }) + " UNION ALL " + unique_sql("collisions", "collisions", "collision_id"),
 )
+add(
+    "Q_suite_casualties", lambda i: quality.suite(i.casualties, "casualties"),
+    rules_sql("casualties", "casualties", {
+        "null:collision_id": "collision_id IS NULL", "null:casualty_reference": "casualty_reference IS NULL",
+        "member:casualty_severity_label": "casualty_severity_label NOT IN ('Fatal', 'Serious', 'Slight')",
+    }) + " UNION ALL " + unique_sql("casualties", "casualties", "collision_id,casualty_reference"),
+)
+add(
+    "Q_suite_count_points", lambda i: quality.suite(i.annual_points, "count_points"),
+    rules_sql("count_points", "annual_points", {
+        "null:count_point_id": "count_point_id IS NULL", "null:latitude": "latitude IS NULL", "null:longitude": "longitude IS NULL",
+        "inside_area": f"NOT ({o.IN_AREA})", "not_blank:road_name": "trim(road_name) = ''",
+    }) + " UNION ALL " + unique_sql("count_points", "annual_points", "count_point_id"),
+)
+add(
+    "Q_suite_regions", lambda i: quality.suite(i.regions, "regions"),
+    rules_sql("regions", "regions", {"null:id": "id IS NULL", "null:name": "name IS NULL", "not_blank:name": "trim(name) = ''"})
+    + " UNION ALL " + unique_sql("regions", "regions", "id"),
+)
 add(
     "Q_suite_counts", lambda i: quality.suite(i.hourly_counts, "counts", 2000, 2020),
     rules_sql("counts", "hourly_counts", {

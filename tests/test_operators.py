@@ -164,3 +164,32 @@ def test_suites_and_gate(spark, traffic):
     events = events.selectExpr("*", "1.0D as forecast", "1.0D as actual", "'x' as intensity_index", "'r' as region_name")
     found = {r.rule: r.violations for r in quality.suite(events, "events").collect()}
     assert (found["member:fuel_type"], found["percentage_0_100"], found["region_id_from_1"], found["fields:generation_mix"]) == (1, 1, 1, 0)
+
+
+def test_good_and_rejected_rows_are_the_input(spark, tmp_path, values):
+    from viagrid.operators.quarantine import Gate, checked, put_aside
+
+    df = spark.createDataFrame([("1", "a"), ("2", " "), (None, "c"), (None, ""), ("3", None)], "id string, name string")
+    with pytest.raises(quality.RuleViolated, match="regions null:id: 2 of 5"):
+        checked(spark, df, "regions", Gate(most=0.3), str(tmp_path / "a"))
+    found = checked(spark, df, "regions", Gate(most=0.3, shares={"null:id": 0.4, "not_blank:name": 0.4}), str(tmp_path / "b"))
+    assert values(found.good) == [("1", "a")]
+    assert {(r.id, r.name): r.broken_rules for r in found.rejected.collect()} == {
+        ("2", " "): ["not_blank:name"], (None, "c"): ["null:id"], (None, ""): ["null:id", "not_blank:name"], ("3", None): ["null:name"]}
+    want = quality.check_rows(df, "regions", quality.rules_of("regions", df.columns))
+    assert values(found.report) == values(want)
+    plan = found.report._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<_rules_broken:bigint>" in plan  # only the mask is read
+    put_aside(spark, found, str(tmp_path / "aside"))
+    assert spark.read.parquet(str(tmp_path / "aside")).count() == 4
+    put_aside(spark, checked(spark, df.limit(1), "regions", Gate(), str(tmp_path / "c")), str(tmp_path / "aside"))
+    assert not (tmp_path / "aside").exists()
+
+
+def test_every_silver_table_has_rules(spark):
+    from viagrid.plans import domain
+
+    for table in domain.SILVER_LAYOUT:
+        assert quality.UNIQUE_KEYS[table]
+        keys = spark.createDataFrame([], ", ".join(f"{k} string" for k in quality.UNIQUE_KEYS[table]))
+        assert quality.rules_of(table, keys.columns) and quality.suite(keys, table).count() >= 2

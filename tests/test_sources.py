@@ -385,3 +385,24 @@ def test_a_broken_whole_file_is_counted(spark, tmp_path):
     assert landed.line_counts(spark, path, feed.documents, True) == (2, 1)
     with pytest.raises(raw.UnreadableFeed):
         raw.run(spark, {"rows": feed}, str(tmp_path / "out"))
+
+
+def test_a_gate_in_incremental_runs(spark, tmp_path, values):
+    from viagrid.operators.quality import RuleViolated
+    from viagrid.operators.quarantine import Gate
+
+    base = str(tmp_path / "step")
+    years = raw_counts(spark, [2019, 2020])
+    odd = years.withColumn("lgvs", F.lit("1")).withColumn("pedal_cycles", F.when((F.col("year") == "2020") & (F.col("count_point_id") == "3"), "-4").otherwise("1"))
+    gate = Gate(most=0.2)
+    assert incremental.run(spark, odd.filter("year = '2019'"), areas(spark), base, gate=gate) == "LOADED"
+    with pytest.raises(RuleViolated):
+        incremental.run(spark, odd, areas(spark), base, gate=Gate(most=0.01))
+    assert {r.year for r in incremental.gold_table(spark, base, "fact_traffic_summary").collect()} == {2019}
+    assert incremental.run(spark, odd, areas(spark), base, gate=gate) == "LOADED"
+    silver_rows, aside = spark.read.parquet(f"{base}/silver/counts"), spark.read.parquet(f"{base}/quarantine/counts")
+    assert silver_rows.count() + aside.count() == 24 and [(r.year, r.broken_rules) for r in aside.collect()] == [(2020, ["not_negative:pedal_cycles"])]
+    assert incremental.run(spark, odd, areas(spark), base, gate=gate) == "NO_NEW_DATA"
+    mended = odd.withColumn("pedal_cycles", F.lit("1"))
+    assert incremental.run(spark, mended, areas(spark), base, recheck=True, gate=gate) == "LOADED"
+    assert spark.read.parquet(f"{base}/silver/counts").count() == 24 and not os.path.exists(f"{base}/quarantine/counts/year=2020")

@@ -137,3 +137,31 @@ def test_domain_run_writes_what_the_tables_say(spark, tmp_path, values):
         columns = sorted(direct[name].columns)
         assert values(spark.read.parquet(path), *columns) == values(direct[name], *columns), name
     assert (tmp_path / "gold/fact_co2_emissions").exists() and list((tmp_path / "silver/counts").glob("year=*"))
+
+
+def test_a_gate_holds_back_rows_or_the_whole_run(spark, tmp_path, values):
+    from checks.standins import Inputs
+    from viagrid.operators.quality import RuleViolated
+    from viagrid.operators.quarantine import Gate
+    from viagrid.plans import dates, domain
+
+    i = Inputs(spark, "/root/testdata/sf0.001")
+    raw = {
+        "count_points": i.hourly_points_raw, "counts": i.hourly_raw, "regions": i.regions_raw,
+        "local_authorities": i.authorities_raw, "collisions": i.collisions_raw,
+        "vehicles": i.vehicles_raw, "casualties": i.casualties_raw,
+    }
+    odd = {**raw, "collisions": raw["collisions"].withColumn("speed_limit", F.when(F.hash("accident_index") % 9 == 0, 35).otherwise(30))}
+    days = dates.spine_of(i.hourly_counts)
+    with pytest.raises(RuleViolated, match="speed_limit"):
+        domain.run(spark, odd, str(tmp_path / "refused"), days, Gate(most=0.02))
+    assert not (tmp_path / "refused").exists()
+    domain.run(spark, odd, str(tmp_path / "kept"), days, Gate(most=1.0))
+    whole = domain.silver_tables(odd)["collisions"]
+    good = spark.read.parquet(str(tmp_path / "kept/silver/collisions"))
+    aside = spark.read.parquet(str(tmp_path / "kept/quarantine/collisions"))
+    columns = sorted(whole.columns)
+    assert values(good.select(*columns).union(aside.select(*columns))) == values(whole, *columns)
+    assert good.filter("speed_limit = 35").count() == 0 and aside.filter("array_contains(broken_rules, 'member:speed_limit')").count() > 0
+    report = spark.read.parquet(str(tmp_path / "kept/quality"))
+    assert report.filter("table_name = 'collisions' and rule = 'member:speed_limit'").first().violations == aside.filter("speed_limit = 35").count()

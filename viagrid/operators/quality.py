@@ -12,7 +12,7 @@ from collections.abc import Iterable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from viagrid.functions import cleaning, metrics
+from viagrid.functions import cleaning, labels, metrics
 
 # Admissible members, and what a full table must cover.
 SEVERITIES = ("Fatal", "Serious", "Slight")
@@ -171,9 +171,6 @@ def check_event_fields(events: DataFrame, table: str) -> DataFrame:
     return check_rows(events, table, rules)
 
 
-# The fuels of the feed.
-FUELS = ("biomass", "coal", "imports", "gas", "nuclear", "other", "hydro", "solar", "wind")
-
 
 def rules_of(table: str, columns: Sequence[str], first_year: int = 2000, last_year: int | None = None) -> dict[str, Column]:
     """The row rules of a table, those whose columns are there.
@@ -204,12 +201,29 @@ def rules_of(table: str, columns: Sequence[str], first_year: int = 2000, last_ye
         "collision_date": {"no_future:collision_date": in_future("collision_date")},
     }
     events = {
-        "fuel_type": {"member:fuel_type": not_member("fuel_type", FUELS)},
+        "fuel_type": {"member:fuel_type": not_member("fuel_type", labels.FUELS)},
         "fuel_percentage": {"percentage_0_100": out_of_range("fuel_percentage", 0, 100)},
         "region_id": {"region_id_from_1": F.col("region_id") < 1},
     }
+    points = {
+        "count_point_id": {"null:count_point_id": absent("count_point_id")}, **area,
+        "road_name": {"not_blank:road_name": blank("road_name")},
+    }
+    areas = {"id": {"null:id": absent("id")}, "name": {"null:name": absent("name"), "not_blank:name": blank("name")}}
+    vehicles = {
+        "collision_id": {"null:collision_id": absent("collision_id")},
+        "vehicle_reference": {"null:vehicle_reference": absent("vehicle_reference")},
+    }
+    casualties = {
+        "collision_id": {"null:collision_id": absent("collision_id")},
+        "casualty_reference": {"null:casualty_reference": absent("casualty_reference")},
+        "casualty_severity_label": {"member:casualty_severity_label": not_member("casualty_severity_label", SEVERITIES)},
+    }
     emissions = {"co2_per_vehicle_kg": {"co2_1_5": out_of_range("co2_per_vehicle_kg", 1, 5)}}
-    known = {"counts": counts, "collisions": collisions, "events": events, "fact_co2_emissions": emissions}[table]
+    known = {
+        "counts": counts, "collisions": collisions, "events": events, "fact_co2_emissions": emissions, "count_points": points,
+        "regions": areas, "local_authorities": areas, "vehicles": vehicles, "casualties": casualties,
+    }[table]
     return {rule: test for needs, rules in known.items() if set(needs.split(",")) <= set(columns) for rule, test in rules.items()}
 
 
@@ -217,6 +231,11 @@ def rules_of(table: str, columns: Sequence[str], first_year: int = 2000, last_ye
 UNIQUE_KEYS = {
     "counts": ("count_point_id", "year", "count_date", "hour", "direction_of_travel"),
     "collisions": ("collision_id",),
+    "count_points": ("count_point_id",),
+    "regions": ("id",),
+    "local_authorities": ("id",),
+    "vehicles": ("collision_id", "vehicle_reference"),
+    "casualties": ("collision_id", "casualty_reference"),
 }
 
 

@@ -7,9 +7,11 @@ safety tables never rest on a step that was left out.
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
+from viagrid.operators.quarantine import Gate, checked, put_aside
 from viagrid.plans import dates, hourly, safety, silver
 from viagrid.session import remove_folder, work_folder
 from viagrid.sources import sinks
@@ -77,19 +79,34 @@ def gold_tables(
     }
 
 
-def run(spark: SparkSession, raw: Mapping[str, DataFrame], base: str, days: DataFrame | None = None) -> dict[str, str]:
+def run(
+    spark: SparkSession, raw: Mapping[str, DataFrame], base: str, days: DataFrame | None = None, gate: Gate | None = None
+) -> dict[str, str]:
     """Write silver and gold below ``base``; returns the gold paths.
 
     Counts are summed per point and year once, into the work folder; four gold
     tables read that instead of the counts. The date dimension ends with the last
     year counted, unless ``days`` are given.
+
+    With a gate, all silver tables are computed into the work folder and held
+    against it before anything is written below ``base``. Rows that break a
+    rule then go to ``quarantine/<table>`` with the names of the rules instead
+    of silver, and ``quality`` holds the report on all tables.
     """
-    for name, df in silver_tables(raw).items():
-        sinks.write_table(sinks.with_processed_time(df), f"{base}/silver/{name}", SILVER_LAYOUT[name])
-    stored = {name: spark.read.parquet(f"{base}/silver/{name}") for name in SILVER_LAYOUT}
-    kept = work_folder(spark, "point-years")
+    kept = work_folder(spark, "domain-run")
     try:
-        return _write_gold(spark, stored, kept, base, days)
+        tables = silver_tables(raw)
+        if gate is not None:
+            passed = {name: checked(spark, df, name, gate, f"{kept}/{name}") for name, df in tables.items()}
+            reports = [found.report for found in passed.values()]
+            sinks.write_table(reduce(DataFrame.unionByName, reports).coalesce(1), f"{base}/quality")
+            for name, found in passed.items():
+                put_aside(spark, found, f"{base}/quarantine/{name}")
+            tables = {name: found.good for name, found in passed.items()}
+        for name, df in tables.items():
+            sinks.write_table(sinks.with_processed_time(df), f"{base}/silver/{name}", SILVER_LAYOUT[name])
+        stored = {name: spark.read.parquet(f"{base}/silver/{name}") for name in SILVER_LAYOUT}
+        return _write_gold(spark, stored, f"{kept}/point-years", base, days)
     finally:
         remove_folder(spark, kept)
 

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from viagrid.functions.cleaning import whole
 from viagrid.operators.fingerprint import fingerprints
 from viagrid.operators.lookup import missing_from
+from viagrid.operators.quarantine import Gate, checked, put_aside
 from viagrid.plans import annual, dates, silver
 from viagrid.session import folder_exists, remove_folder, work_folder
 from viagrid.sources import sinks
@@ -103,15 +104,34 @@ def refresh_reference(tables: dict[str, DataFrame], base: str) -> None:
         sinks.write_table(df, f"{base}/{name}")
 
 
-def rebuild_silver(spark: SparkSession, bronze: str, silver_base: str, years: Sequence[int] | None = None) -> None:
-    """Silver counts of some years (None: all), and the other silver tables whole."""
-    counts = silver.annual_counts(read_loaded(spark, f"{bronze}/counts", years))
-    sinks.write_table(
-        sinks.with_processed_time(counts), f"{silver_base}/counts", ["year"], replace_only_present=years is not None
-    )
-    for name, conform in REFERENCE.items():
-        table = conform(spark.read.parquet(f"{bronze}/{name}"))
-        sinks.write_table(sinks.with_processed_time(table), f"{silver_base}/{name}")
+def rebuild_silver(
+    spark: SparkSession, bronze: str, silver_base: str, years: Sequence[int] | None = None, gate: Gate | None = None,
+    aside: str | None = None,
+) -> None:
+    """Silver counts of some years (None: all), and the other silver tables whole.
+
+    With a gate all of it is held against that before silver is touched; rows
+    that break a rule go to ``aside`` instead, those of counts by year.
+    """
+    tables = {"counts": silver.annual_counts(read_loaded(spark, f"{bronze}/counts", years))}
+    tables |= {name: conform(spark.read.parquet(f"{bronze}/{name}")) for name, conform in REFERENCE.items()}
+    kept = work_folder(spark, "silver")
+    try:
+        if gate is not None:
+            passed = {name: checked(spark, df, name, gate, f"{kept}/{name}") for name, df in tables.items()}
+            for name in REFERENCE:
+                put_aside(spark, passed[name], f"{aside}/{name}")
+            for year in [None] if years is None else years:
+                remove_folder(spark, f"{aside}/counts" + ("" if year is None else f"/year={year}"))
+            sinks.write_table(passed["counts"].rejected, f"{aside}/counts", ["year"], replace_only_present=True)
+            tables = {name: found.good for name, found in passed.items()}
+        sinks.write_table(
+            sinks.with_processed_time(tables["counts"]), f"{silver_base}/counts", ["year"], replace_only_present=years is not None
+        )
+        for name in REFERENCE:
+            sinks.write_table(sinks.with_processed_time(tables[name]), f"{silver_base}/{name}")
+    finally:
+        remove_folder(spark, kept)
 
 
 def gold_tables(
@@ -200,7 +220,8 @@ def _note(spark: SparkSession, path: str, version: int, prints: dict[tuple[str,
 
 
 def run(
-    spark: SparkSession, source: DataFrame, reference: dict[str, DataFrame], base: str, recheck: bool = False, **options
+    spark: SparkSession, source: DataFrame, reference: dict[str, DataFrame], base: str, recheck: bool = False,
+    gate: Gate | None = None, **options
 ) -> str:
     """One incremental run below ``base``: load, rebuild what it changes, then note it as done.
 
@@ -212,6 +233,10 @@ def run(
     that the source offers no longer stay. Nothing is done where nothing has
     changed. The gold of the run before stays for readers that are still at it;
     older ones are removed.
+
+    With a gate, what is rebuilt is held against it first. Rows that break a
+    rule go to ``quarantine`` instead of silver; where too many do, the run
+    stops before silver and gold are touched, and the years count as not loaded.
     """
     done = progress(spark, base)
     version = _version(done) + 1
@@ -231,9 +256,9 @@ def run(
     refresh_reference(reference, bronze)
     renamed = any(seen.get((name, None), prints[name, None]) != prints[name, None] for seen in (noted, broken) for name in NAMED)
     stale = None if renamed or done is None else sorted(years | changed)
-    if stale and not changed <= _usable_years(spark, bronze, sorted(changed)):
+    if stale and changed and (gate is not None or not changed <= _usable_years(spark, bronze, sorted(changed))):
         stale = None  # a year without rows left is replaced only with all others
-    rebuild_silver(spark, bronze, f"{base}/silver", stale)
+    rebuild_silver(spark, bronze, f"{base}/silver", stale, gate, f"{base}/quarantine")
     rebuild_gold(spark, base, f"{base}/gold/v{version:06d}", stale, **options)
     loaded = year_prints(read_loaded(spark, f"{bronze}/counts", sorted(years | changed)))
     _note(spark, f"{base}/progress", version, {**prints, **{("counts", year): found for year, found in loaded.items()}})
