@@ -251,6 +251,24 @@ add(
 add("A4_domain_run_co2", lambda i: domain_gold(i, "fact_co2_emissions"), all_of("fact_co2_hourly"))
 add("A9_domain_run_casualties", lambda i: domain_gold(i, "fact_casualty_demographics"), CASUALTY_SQL)
 
+THREE_YEARS = (1996, 1997, 1999)
+
+
+def sliced_points(i, by=()) -> DataFrame:
+    """Distinct count points over three years, from stored bitmaps."""
+    path = stored(i, "M9", annual.point_bitmaps(i.annual_counts, i.regions), ["year"])
+    return measures.points_observed(measures.slice_by(i.spark.read.parquet(path), THREE_YEARS), by)
+
+
+add(
+    "M9_points_over_years", sliced_points,
+    f"SELECT COUNT(DISTINCT count_point_id) AS count_points_observed FROM annual_named WHERE year IN {THREE_YEARS}",
+)
+add(
+    "M9_points_over_years_by_region", lambda i: sliced_points(i, ["region_name"]),
+    f"SELECT region_name, COUNT(DISTINCT count_point_id) AS count_points_observed FROM annual_named WHERE year IN {THREE_YEARS} GROUP BY region_name",
+)
+
 # ============================================================ dimensions
 add("D1_dim_date", lambda i: i.annual_dates, all_of("annual_dates"))
 add(

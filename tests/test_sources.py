@@ -406,3 +406,23 @@ def test_a_gate_in_incremental_runs(spark, tmp_path, values):
     mended = odd.withColumn("pedal_cycles", F.lit("1"))
     assert incremental.run(spark, mended, areas(spark), base, recheck=True, gate=gate) == "LOADED"
     assert spark.read.parquet(f"{base}/silver/counts").count() == 24 and not os.path.exists(f"{base}/quarantine/counts/year=2020")
+
+
+def test_years_of_a_partitioned_source_come_from_its_folders(spark, tmp_path, values):
+    source, step, whole = (str(tmp_path / n) for n in ("source", "step", "whole"))
+    years = raw_counts(spark, [2019, 2020, 2021])
+    years.filter("year < '2021'").write.partitionBy("year").parquet(source)
+    assert incremental.run(spark, source, areas(spark), step) == "LOADED"
+    for folder in ("year=2019", "year=2020"):  # what is loaded is not opened again
+        for name in os.listdir(f"{source}/{folder}"):
+            os.remove(f"{source}/{folder}/{name}")
+        with open(f"{source}/{folder}/part-0.parquet", "w") as file:
+            file.write("no parquet")
+    assert incremental.run(spark, source, areas(spark), step) == "NO_NEW_DATA"
+    years.filter("year = '2021'").write.partitionBy("year").mode("append").parquet(source)
+    assert incremental.run(spark, source, areas(spark), step) == "LOADED"
+    incremental.run(spark, years, areas(spark), whole)
+    assert gold_of(spark, step, values) == gold_of(spark, whole, values)
+    flat = str(tmp_path / "flat")
+    years.write.parquet(flat)
+    assert incremental.run(spark, flat, areas(spark), step) == "NO_NEW_DATA"

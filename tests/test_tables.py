@@ -165,3 +165,21 @@ def test_a_gate_holds_back_rows_or_the_whole_run(spark, tmp_path, values):
     assert good.filter("speed_limit = 35").count() == 0 and aside.filter("array_contains(broken_rules, 'member:speed_limit')").count() > 0
     report = spark.read.parquet(str(tmp_path / "kept/quality"))
     assert report.filter("table_name = 'collisions' and rule = 'member:speed_limit'").first().violations == aside.filter("speed_limit = 35").count()
+
+
+def test_distinct_points_add_up_over_years(spark, tmp_path, values):
+    from viagrid.plans import annual, measures
+
+    draw = [(p, y, 1 + p % 2) for p in (-40_000, -1, 0, 1, 32_768, 32_769, 2_000_000_000, 7) for y in (2019, 2020, 2021) if (p + y) % 3]
+    counts = spark.createDataFrame(draw + [(None, 2019, 1), (7, 2019, 2)], "count_point_id int, year int, region_id int").selectExpr("*", "'Major' as road_type")
+    regions = spark.createDataFrame([(1, "A"), (2, "B")], "id int, name string")
+    annual.point_bitmaps(counts, regions).write.partitionBy("year").parquet(str(tmp_path / "points"))
+    bitmaps = spark.read.parquet(str(tmp_path / "points"))
+    named = counts.join(regions.selectExpr("id as region_id", "name as region_name"), "region_id")
+    for years in ([2019], [2019, 2021], [2019, 2020, 2021], [1990]):
+        for names in (["A"], ["A", "B"]):
+            chosen = measures.slice_by(named, years, names)
+            found = measures.points_observed(measures.slice_by(bitmaps, years, names))
+            assert values(found) == [(chosen.select("count_point_id").distinct().filter("count_point_id is not null").count(),)]
+    by = measures.points_observed(bitmaps, ["region_name"])
+    assert values(by) == values(named.groupBy("region_name").agg(F.count_distinct("count_point_id")))

@@ -67,6 +67,21 @@ def regional_totals(counts: DataFrame, regions: DataFrame) -> DataFrame:
     )
 
 
+def point_bitmaps(counts: DataFrame, regions: DataFrame) -> DataFrame:
+    """The count points seen per region, road type and year, as exact bitmaps of their ids.
+
+    Unlike a distinct count these can be put together over years and regions.
+    A bucket of 32,768 ids is one bitmap of 4 KB; each task sends one per group.
+    """
+    point = F.col("count_point_id").cast("bigint")
+    return (
+        with_region(counts, regions)
+        .filter(point.isNotNull())
+        .groupBy(*GROUP, "year", F.bitmap_bucket_number(point).alias("bucket"))
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position(point)).alias("points"))
+    )
+
+
 def _renamed(names: dict[str, str]) -> list[Column]:
     return [F.col(source).alias(name) for name, source in names.items()]
 

@@ -14,6 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from viagrid import session
 from viagrid.functions.cleaning import whole
 from viagrid.operators.fingerprint import fingerprints
 from viagrid.operators.lookup import missing_from
@@ -69,6 +70,29 @@ def missing_years(source: DataFrame, loaded: DataFrame | None) -> DataFrame:
     return offered.distinct() if loaded is None else missing_from(offered, loaded, "year")
 
 
+def offered_years(spark: SparkSession, source: DataFrame | str) -> DataFrame:
+    """The years of a source; of a folder with a partition per year they are read off the folders' names, and no file is opened."""
+    if isinstance(source, str):
+        folders = [name.partition("=") for name in session.names_in(spark, source)]
+        years = [(value,) for column, _, value in folders if column == "year"]
+        if years:
+            return spark.createDataFrame(years, "year string")
+    return as_table(spark, source)
+
+
+def as_table(spark: SparkSession, source: DataFrame | str, years: Sequence[int] | None = None) -> DataFrame:
+    """A source as a table; of a folder with a partition per year only the partitions of ``years``, where those are given."""
+    if not isinstance(source, str):
+        return source
+    if years is not None:
+        wanted = set(years)
+        folders = [name for name in session.names_in(spark, source) if name.startswith("year=")]
+        kept = [f"{source}/{name}" for name in folders if name[5:].isdigit() and int(name[5:]) in wanted]
+        if kept:
+            return spark.read.option("basePath", source).parquet(*kept)
+    return spark.read.parquet(source)
+
+
 def load_missing(source: DataFrame, loaded: DataFrame | None, bronze_path: str) -> list[int]:
     """Write the missing years to the raw table; returns them.
 
@@ -164,6 +188,7 @@ def yearly_tables(counts: DataFrame, regions: DataFrame, authorities: DataFrame)
         "totals": annual.regional_totals(counts, regions),
         "road_analysis": annual.road_analysis(counts, regions),
         "locations": annual.yearly_locations(counts, regions, authorities),
+        "points": annual.point_bitmaps(counts, regions),
     }
 
 
@@ -220,12 +245,14 @@ def _note(spark: SparkSession, path: str, version: int, prints: dict[tuple[str,
 
 
 def run(
-    spark: SparkSession, source: DataFrame, reference: dict[str, DataFrame], base: str, recheck: bool = False,
+    spark: SparkSession, source: DataFrame | str, reference: dict[str, DataFrame], base: str, recheck: bool = False,
     gate: Gate | None = None, **options
 ) -> str:
     """One incremental run below ``base``: load, rebuild what it changes, then note it as done.
 
-    Loaded are the years that no finished run has loaded; with ``recheck``,
+    ``source`` is a table, or a Parquet folder: if that has a partition per
+    year, what it offers is read off the folders, and only the years that are
+    loaded are read at all. Loaded are the years that no finished run has loaded; with ``recheck``,
     which reads the whole source, also years whose rows have changed since. All
     years are rebuilt if a region or an authority has another name than in the
     last finished run, or if a run between the two that broke off had yet
@@ -242,17 +269,17 @@ def run(
     version = _version(done) + 1
     noted = _last_notes(done)
     broken = _last_notes(_notes(spark, f"{base}/attempts"), after=version - 1)
-    years = {row["year"] for row in missing_years(source, done).collect()} | {year for name, year in broken if name == "counts"}
+    years = {row["year"] for row in missing_years(offered_years(spark, source), done).collect()} | {year for name, year in broken if name == "counts"}
     changed: set[int] = set()
     if recheck and done is not None:
-        offered = year_prints(source)
+        offered = year_prints(as_table(spark, source))
         changed = {year for year, found in offered.items() if found != noted.get(("counts", year)) and ("counts", year) in noted}
     prints = {(name, None): found for name, found in reference_prints(reference).items()}
     if not years and not changed and not broken and all(noted.get(key) == found for key, found in prints.items()):
         return "NO_NEW_DATA"
     _note(spark, f"{base}/attempts", version, {**prints, **{("counts", year): None for year in years | changed}})
     bronze = f"{base}/bronze"
-    load_years(source, sorted(years | changed), f"{bronze}/counts")
+    load_years(as_table(spark, source, sorted(years | changed)), sorted(years | changed), f"{bronze}/counts")
     refresh_reference(reference, bronze)
     renamed = any(seen.get((name, None), prints[name, None]) != prints[name, None] for seen in (noted, broken) for name in NAMED)
     stale = None if renamed or done is None else sorted(years | changed)

@@ -66,6 +66,16 @@ def total_co2(emissions: DataFrame) -> DataFrame:
     return emissions.agg(metrics.exact_sum(F.col("total_co2_tonnes"), 2).alias("total_co2_tonnes"))
 
 
+def points_observed(bitmaps: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Distinct count points of whatever the slicers left of ``annual.point_bitmaps``, per group of ``by``.
+
+    The bitmaps of a bucket are joined before they are counted, so a point seen
+    in several years counts once, and the counts themselves are not read again.
+    """
+    joined = bitmaps.groupBy(*by, "bucket").agg(F.bitmap_or_agg("points").alias("points"))
+    return joined.groupBy(*by).agg(F.coalesce(F.sum(F.bitmap_count("points")), F.lit(0)).alias("count_points_observed"))
+
+
 def trend_by_region(mix: DataFrame) -> DataFrame:
     return mix.groupBy("year", "region_name").agg(F.sum("total").alias("total"))
 
