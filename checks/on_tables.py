@@ -13,6 +13,7 @@ from viagrid.operators import compare, lookup, quality, ranking
 from viagrid.operators.quarantine import Gate
 from viagrid.plans import annual, dates, domain, hourly, measures, safety, serving, silver
 from viagrid.session import folder_exists, work_folder
+from viagrid.sources import catalog
 
 col = F.col
 
@@ -251,6 +252,23 @@ add(
 add("A4_domain_run_co2", lambda i: domain_gold(i, "fact_co2_emissions"), all_of("fact_co2_hourly"))
 add("A9_domain_run_casualties", lambda i: domain_gold(i, "fact_casualty_demographics"), CASUALTY_SQL)
 
+def in_buckets(i) -> dict:
+    """The tables of ``safety.by_collision``, stored in buckets."""
+    base = work_folder(i.spark, "buckets")
+    schema = f"viagrid_{base.rsplit('-', 1)[1][:12]}"
+    catalog.create_schema(i.spark, schema, base)
+    return domain.store_by_collision(i.spark, {"vehicles": i.vehicles, "casualties": i.casualties, "collisions": i.collisions}, schema, f"{base}/bucketed", 8)
+
+
+add("J3_bucketed_casualties", lambda i: safety.demographics_from((t := in_buckets(i))["collision_casualties"], t["collision_keys"]), CASUALTY_SQL)
+add(
+    "J4_bucketed_vehicles",
+    lambda i: safety.analysis_from((t := in_buckets(i))["collision_vehicles"], t["collision_keys"])
+    .select("collision_year", "vehicle_type_label", "driver_age_band", "severity_label", "vehicle_count"),
+    """SELECT c.collision_year, v.vehicle_type_label, v.driver_age_band, c.severity_label, COUNT(*) AS vehicle_count
+ FROM vehicles v JOIN collisions c ON v.collision_id = c.collision_id GROUP BY ALL""",
+)
+
 THREE_YEARS = (1996, 1997, 1999)
 
 

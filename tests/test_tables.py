@@ -183,3 +183,34 @@ def test_distinct_points_add_up_over_years(spark, tmp_path, values):
             assert values(found) == [(chosen.select("count_point_id").distinct().filter("count_point_id is not null").count(),)]
     by = measures.points_observed(bitmaps, ["region_name"])
     assert values(by) == values(named.groupBy("region_name").agg(F.count_distinct("count_point_id")))
+
+
+def test_bucketed_tables_join_without_a_shuffle(spark, tmp_path, values):
+    from viagrid.plans import domain
+    from viagrid.sources import catalog
+
+    collisions = spark.createDataFrame(
+        [(f"c{k}", 2019 + k % 3, k % 2 == 0, "Slight") for k in range(60)], "collision_id string, collision_year int, is_urban boolean, severity_label string")
+    hot = [("c7", n, "car", "17-25", 3, 1600) for n in range(3000)]  # a collision with most of the rows
+    vehicles = spark.createDataFrame(
+        hot + [(f"c{k % 60}", k, "van" if k % 4 else "car", "26-35", None if k % 5 else 2, k) for k in range(400)],
+        "collision_id string, vehicle_reference int, vehicle_type_label string, driver_age_band string, age_of_vehicle int, engine_capacity_cc int")
+    casualties = vehicles.selectExpr(
+        "collision_id", "'Slight' casualty_severity_label", "vehicle_type_label casualty_type_label", "driver_age_band casualty_age_band", "'Male' sex_label")
+    catalog.create_schema(spark, "t_buckets", str(tmp_path / "schema"))
+    tables = {"vehicles": vehicles, "casualties": casualties, "collisions": collisions}
+    for _ in range(2):  # again replaces them
+        kept = domain.store_by_collision(spark, tables, "t_buckets", str(tmp_path / "bucketed"), 4)
+    assert kept["collision_vehicles"].filter("collision_id = 'c7'").count() <= 3  # combined before it is bucketed
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for found, direct in (
+            (safety.demographics_from(kept["collision_casualties"], kept["collision_keys"]), safety.casualty_demographics(casualties, collisions)),
+            (safety.analysis_from(kept["collision_vehicles"], kept["collision_keys"]), safety.vehicle_analysis(vehicles, collisions)),
+        ):
+            plan = found._jdf.queryExecution().executedPlan().toString()
+            assert "SortMergeJoin" in plan and "Exchange" not in plan[plan.index("SortMergeJoin") :]
+            assert "Exchange" in (other := direct._jdf.queryExecution().executedPlan().toString())[other.index("SortMergeJoin") :]
+            assert values(found) == values(direct)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -56,12 +56,15 @@ def silver_tables(raw: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
 
 
 def gold_tables(
-    tables: Mapping[str, DataFrame], days: DataFrame, yearly: DataFrame | None = None
+    tables: Mapping[str, DataFrame], days: DataFrame, yearly: DataFrame | None = None,
+    bucketed: Mapping[str, DataFrame] | None = None,
 ) -> dict[str, DataFrame]:
-    """The thirteen gold tables; ``yearly`` are the point years where they are stored."""
+    """The thirteen gold tables; ``yearly`` are the point years, ``bucketed`` the tables of ``safety.by_collision``, where they are stored."""
     counts, points, collisions = (tables[name] for name in ("counts", "count_points", "collisions"))
     if yearly is None:
         yearly = hourly.point_years(counts)
+    if bucketed is None:
+        bucketed = safety.by_collision(tables["vehicles"], tables["casualties"], collisions)
     return {
         "fact_daily_traffic": hourly.daily_traffic(counts),
         "fact_hourly_peaks": hourly.hourly_peaks(counts),
@@ -73,14 +76,15 @@ def gold_tables(
         "fact_active_travel": hourly.travel_from(yearly, points),
         "fact_accident_summary": safety.accident_summary(collisions),
         "fact_accident_hotspots": safety.accident_hotspots(collisions),
-        "fact_casualty_demographics": safety.casualty_demographics(tables["casualties"], collisions),
-        "fact_vehicle_analysis": safety.vehicle_analysis(tables["vehicles"], collisions),
+        "fact_casualty_demographics": safety.demographics_from(bucketed["collision_casualties"], bucketed["collision_keys"]),
+        "fact_vehicle_analysis": safety.analysis_from(bucketed["collision_vehicles"], bucketed["collision_keys"]),
         "fact_time_patterns": safety.time_patterns(collisions),
     }
 
 
 def run(
-    spark: SparkSession, raw: Mapping[str, DataFrame], base: str, days: DataFrame | None = None, gate: Gate | None = None
+    spark: SparkSession, raw: Mapping[str, DataFrame], base: str, days: DataFrame | None = None, gate: Gate | None = None,
+    schema: str | None = None, buckets: int = 64,
 ) -> dict[str, str]:
     """Write silver and gold below ``base``; returns the gold paths.
 
@@ -92,6 +96,10 @@ def run(
     against it before anything is written below ``base``. Rows that break a
     rule then go to ``quarantine/<table>`` with the names of the rules instead
     of silver, and ``quality`` holds the report on all tables.
+
+    With a schema of the catalog, the tables of ``safety.by_collision`` are
+    registered there in buckets of the collision, stored below ``bucketed``;
+    gold and whoever joins them later moves no row of theirs.
     """
     kept = work_folder(spark, "domain-run")
     try:
@@ -106,18 +114,28 @@ def run(
         for name, df in tables.items():
             sinks.write_table(sinks.with_processed_time(df), f"{base}/silver/{name}", SILVER_LAYOUT[name])
         stored = {name: spark.read.parquet(f"{base}/silver/{name}") for name in SILVER_LAYOUT}
-        return _write_gold(spark, stored, f"{kept}/point-years", base, days)
+        bucketed = None if schema is None else store_by_collision(spark, stored, schema, f"{base}/bucketed", buckets)
+        return _write_gold(spark, stored, f"{kept}/point-years", base, days, bucketed)
     finally:
         remove_folder(spark, kept)
 
 
+def store_by_collision(
+    spark: SparkSession, tables: Mapping[str, DataFrame], schema: str, base: str, buckets: int
+) -> dict[str, DataFrame]:
+    """Write the tables of ``safety.by_collision`` in buckets and register them."""
+    made = safety.by_collision(tables["vehicles"], tables["casualties"], tables["collisions"])
+    return {name: sinks.write_bucketed(df, f"{schema}.{name}", f"{base}/{name}", "collision_id", buckets) for name, df in made.items()}
+
+
 def _write_gold(
-    spark: SparkSession, stored: Mapping[str, DataFrame], kept: str, base: str, days: DataFrame | None
+    spark: SparkSession, stored: Mapping[str, DataFrame], kept: str, base: str, days: DataFrame | None,
+    bucketed: Mapping[str, DataFrame] | None,
 ) -> dict[str, str]:
     sinks.write_table(hourly.point_years(stored["counts"]), kept)
     days = dates.spine_of(stored["counts"], dates.FIRST_YEAR) if days is None else days
     paths = {}
-    for name, df in gold_tables(stored, days, spark.read.parquet(kept)).items():
+    for name, df in gold_tables(stored, days, spark.read.parquet(kept), bucketed).items():
         paths[name] = f"{base}/gold/{name}"
         sinks.write_table(df, paths[name], GOLD_LAYOUT[name])
     return paths

@@ -66,29 +66,42 @@ def accident_hotspots(collisions: DataFrame) -> DataFrame:
     return dense_rank_within(cells, ["collision_year"], "severity_score", "hotspot_rank")
 
 
-def casualty_demographics(casualties: DataFrame, collisions: DataFrame) -> DataFrame:
-    group = ["casualty_severity_label", "casualty_type_label", "casualty_age_band", "sex_label"]
-    counted = casualties.groupBy("collision_id", *group).agg(F.count(F.lit(1)).alias("n"))
+CASUALTY_GROUP = ("casualty_severity_label", "casualty_type_label", "casualty_age_band", "sex_label")
+VEHICLE_GROUP = ("vehicle_type_label", "driver_age_band")
+
+
+def casualties_by_collision(casualties: DataFrame) -> DataFrame:
+    """Casualties counted per collision and labels."""
+    return casualties.groupBy("collision_id", *CASUALTY_GROUP).agg(F.count(F.lit(1)).alias("n"))
+
+
+def demographics_from(counted: DataFrame, collisions: DataFrame) -> DataFrame:
     return (
         counted.join(collisions.select("collision_id", "collision_year", "is_urban"), "collision_id")
-        .groupBy("collision_year", *group, "is_urban")
+        .groupBy("collision_year", *CASUALTY_GROUP, "is_urban")
         .agg(F.sum("n").alias("casualty_count"))
     )
 
 
-def vehicle_analysis(vehicles: DataFrame, collisions: DataFrame) -> DataFrame:
-    """Vehicles involved, with mean age and engine size."""
-    group = ["vehicle_type_label", "driver_age_band"]
-    counted = vehicles.groupBy("collision_id", *group).agg(
+def casualty_demographics(casualties: DataFrame, collisions: DataFrame) -> DataFrame:
+    return demographics_from(casualties_by_collision(casualties), collisions)
+
+
+def vehicles_by_collision(vehicles: DataFrame) -> DataFrame:
+    """Vehicles counted per collision and labels, with what their mean age and engine size follow from."""
+    return vehicles.groupBy("collision_id", *VEHICLE_GROUP).agg(
         F.count(F.lit(1)).alias("n"),
         F.sum("age_of_vehicle").alias("age_sum"),
         F.count("age_of_vehicle").alias("age_n"),
         F.sum("engine_capacity_cc").alias("cc_sum"),
         F.count("engine_capacity_cc").alias("cc_n"),
     )
+
+
+def analysis_from(counted: DataFrame, collisions: DataFrame) -> DataFrame:
     return (
         counted.join(collisions.select("collision_id", "collision_year", "severity_label"), "collision_id")
-        .groupBy("collision_year", *group, "severity_label")
+        .groupBy("collision_year", *VEHICLE_GROUP, "severity_label")
         .agg(
             F.sum("n").alias("vehicle_count"),
             F.try_divide(F.sum("age_sum"), F.sum("age_n")).alias("avg_vehicle_age"),
@@ -97,6 +110,25 @@ def vehicle_analysis(vehicles: DataFrame, collisions: DataFrame) -> DataFrame:
     )
 
 
+def vehicle_analysis(vehicles: DataFrame, collisions: DataFrame) -> DataFrame:
+    """Vehicles involved, with mean age and engine size."""
+    return analysis_from(vehicles_by_collision(vehicles), collisions)
+
+
+def by_collision(vehicles: DataFrame, casualties: DataFrame, collisions: DataFrame) -> dict[str, DataFrame]:
+    """What the joins on collisions need, per collision, to be stored in buckets of their id.
+
+    Rows of a collision are combined before they are bucketed, partly before
+    any shuffle, so no bucket grows with the vehicles or casualties of one
+    collision, and joins of these tables move no row.
+    """
+    return {
+        "collision_keys": collisions.select("collision_id", "collision_year", "is_urban", "severity_label"),
+        "collision_vehicles": vehicles_by_collision(vehicles),
+        "collision_casualties": casualties_by_collision(casualties),
+    }
+
+
 def time_patterns(collisions: DataFrame) -> DataFrame:
     """Collisions by weekday, hour and part of the day."""
     is_text = isinstance(collisions.schema["time"].dataType, T.StringType)

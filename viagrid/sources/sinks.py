@@ -53,6 +53,17 @@ def write_table(
     writer.save(path)
 
 
+def write_bucketed(df: DataFrame, table: str, path: str, key: str, buckets: int) -> DataFrame:
+    """Replace an external table that lies in buckets of a key, sorted by it, a file each; returns it.
+
+    Tables in as many buckets of the same key join and group by it without a
+    shuffle. Rows of one key share a bucket, so combine those of a key first.
+    """
+    placed = df.repartition(buckets, key).sortWithinPartitions(key)
+    placed.write.mode("overwrite").format("parquet").bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(table)
+    return df.sparkSession.table(table)
+
+
 def write_by_copy(df: DataFrame, path: str, column: str, copy: str | None = None) -> None:
     """Partition by a copy of a column, so that the files keep the column itself."""
     copy = copy or f"{column}_part"
