@@ -426,3 +426,15 @@ def test_years_of_a_partitioned_source_come_from_its_folders(spark, tmp_path, va
     flat = str(tmp_path / "flat")
     years.write.parquet(flat)
     assert incremental.run(spark, flat, areas(spark), step) == "NO_NEW_DATA"
+
+
+def test_only_loaded_partitions_are_analysed(spark, tmp_path):
+    path = str(tmp_path / "parted")
+    sinks.write_table(spark.createDataFrame([(n, 2000 + n % 3) for n in range(30)], "a int, year int"), path, ["year"])
+    catalog.create_schema(spark, "t_parts", str(tmp_path / "schema"))
+    catalog.register(spark, "t_parts", {"counts": path})
+    assert catalog.refresh_partitions(spark, "t_parts.counts", "year") == (3, 30)
+    sinks.write_table(spark.createDataFrame([(n, 2003) for n in range(7)] + [(1, 2001)], "a int, year int"), path, ["year"], replace_only_present=True)
+    assert catalog.refresh_partitions(spark, "t_parts.counts", "year", [2001, 2003]) == (2, 28)
+    assert catalog.refresh_partitions(spark, "t_parts.counts", "year") == (0, 28)
+    assert catalog.refresh_partitions(spark, "t_parts.counts", "year", [2000, 2001, 2002, 2003]) == (4, spark.table("t_parts.counts").count())

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import re
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -66,3 +67,32 @@ def refresh_statistics(spark: SparkSession, schema: str) -> DataFrame:
         except Exception as error:  # the report carries it
             outcome.append((entry.name, "failed", str(error)))
     return spark.createDataFrame(outcome, "table_name string, status string, message string")
+
+
+def _partition_rows(spark: SparkSession, table: str, partition: str) -> int | None:
+    """Rows of a partition as last analysed; None if it never was."""
+    described = spark.sql(f"DESCRIBE EXTENDED {table} PARTITION ({partition})").filter("col_name = 'Partition Statistics'").first()
+    found = re.search(r"(\d+) rows", described["data_type"]) if described else None
+    return int(found[1]) if found else None
+
+
+def refresh_partitions(spark: SparkSession, table: str, column: str, values: Sequence[int | str] = ()) -> tuple[int, int]:
+    """Analyze the partitions that a load has written, and those never analysed; returns how many, and the rows of all.
+
+    The other partitions keep their figures and are not read. The table's size
+    is taken from its files, its rows are the sum over the partitions. ``table``
+    is partitioned by one column.
+    """
+    known = {row["partition"].partition("=")[2] for row in spark.sql(f"SHOW PARTITIONS {table}").collect()}
+    loaded, analysed, total = {str(value) for value in values}, 0, 0
+    for value in loaded - known:  # to recover all partitions would forget what is known of them
+        spark.sql(f"ALTER TABLE {table} ADD PARTITION ({column}='{value}')")
+    for value in sorted(known | loaded):
+        partition = f"{column}='{value}'"
+        rows = None if value in loaded else _partition_rows(spark, table, partition)
+        if rows is None:
+            spark.sql(f"ANALYZE TABLE {table} PARTITION ({partition}) COMPUTE STATISTICS")
+            analysed, rows = analysed + 1, _partition_rows(spark, table, partition)
+        total += rows or 0
+    spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS NOSCAN")
+    return analysed, total
