@@ -65,3 +65,26 @@ def test_components_of_a_chain_a_star_and_a_loop(spark):
 
 def test_equals_sql(same_as_sql):
     same_as_sql("op10_near_duplicates")
+
+
+def test_a_family_of_near_copies_is_not_compared_all_against_all(docs_of, monkeypatch):
+    kept = {}
+
+    def watched(spark, df, label):
+        kept[label] = stored(spark, df, label)
+        return kept[label]
+
+    stored = neardup.stored
+    monkeypatch.setattr(neardup, "stored", watched)
+    draw = random.Random(9)
+    words = [f"w{draw.randrange(4000)}" for _ in range(120)]
+    rows = [(0, " ".join(words))]
+    for k in range(1, 600):
+        own = list(words)
+        own[draw.randrange(120)] = f"x{k}"
+        rows.append((k, " ".join(own)))
+    found = neardup.near_duplicates(docs_of(rows), 80, block=64).collect()
+    sets = {k: len(shingles(t)) for k, t in rows}
+    classes = kept["classes"].count()
+    assert kept["near-first"].count() + kept["promising"].count() < 3 * classes
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == {k: (sets[k], 0) for k in sets}

@@ -1,9 +1,13 @@
 """Near-duplicates: universal hash minima, banding, verification, connected components.
 
 Documents with the same set of word shingles form a class, stood for by its
-smallest id. Classes that share a band meet in buckets; within a bucket each
-pair is compared once (in the first band that both share), by signature and then
-on the full shingle sets. Only the edges that join what was apart leave a task.
+smallest id. Classes that share a band meet in buckets. First every class is
+held against the smallest it meets, by signature and then on the full
+shingle sets, and what links is joined; this takes a family of near copies
+together without comparing it all against all. In buckets that still hold
+classes of several components, each pair of different ones is then compared once
+(in the first band that both share). Only edges that join what was apart leave a
+task.
 """
 
 from __future__ import annotations
@@ -96,19 +100,76 @@ def _across(part: np.ndarray, lo: int, hi: int, i: int, rows: np.ndarray) -> np.
     return rows if lo == hi else rows[part[rows] != part[i]]
 
 
+def _least_estimate(threshold: float) -> float:
+    """Share of equal minima from which on a pair is verified."""
+    return threshold - SLACK * (threshold * (1 - threshold) / (BANDS * ROWS)) ** 0.5
+
+
+def _linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    """Whether two sets are similar enough, exactly."""
+    if 100 * min(len(a), len(b)) < percent * max(len(a), len(b)):
+        return False
+    at = np.searchsorted(b, a)
+    at[at == len(b)] = 0
+    shared = int((b[at] == a).sum())
+    return 100 * shared >= percent * (len(a) + len(b) - shared)
+
+
+def _sets(group: pa.Table) -> tuple[pa.Table, list[np.ndarray]]:
+    """The rows whose text is that of their class, with its shingles; an id may come with several texts."""
+    keys = group.column("key").to_pylist()
+    found = [(at, shingles) for at, shingles in enumerate(shingle_sets(group.column("text").combine_chunks())) if set_key(shingles) == keys[at]]
+    return group.take(pa.array([at for at, _ in found], pa.int64())), [shingles for _, shingles in found]
+
+
+def _near_first(threshold: float):
+    """The first member of each group, and those whose signature is near its own."""
+    least = _least_estimate(threshold)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, group in groups_of(batches, 2):
+            marks = _marks(group, "sig")
+            near = (marks == marks[0]).mean(axis=1) >= least
+            if near.sum() > 1:
+                yield from group.filter(pa.array(near)).combine_chunks().to_batches()
+
+    return run
+
+
+def _first_edges(percent: int):
+    """Edges between the first member of each group and those that are similar enough on full sets."""
+    schema = pa.schema([("u", pa.int64()), ("v", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (least, _), group in groups_of(batches, 2):
+            group, sets = _sets(group)
+            ids = np.asarray(group.column("rep"))
+            first = next((s for k, s in zip(ids, sets) if k == least), None)
+            if first is None:
+                continue
+            v = [k for k, s in zip(ids, sets) if k != least and _linked(first, s, percent)]
+            if v:
+                yield pa.RecordBatch.from_arrays([pa.array([least] * len(v), pa.int64()), pa.array(v, pa.int64())], schema=schema)
+
+    return run
+
+
 def _promising(threshold: float):
-    """Members of each bucket (or pair of blocks) that have a partner to verify."""
-    least = threshold - SLACK * (threshold * (1 - threshold) / (BANDS * ROWS)) ** 0.5
+    """Members of each bucket (or pair of blocks) that have a partner of another component to verify."""
+    least = _least_estimate(threshold)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for (_, lo, hi), group in groups_of(batches, 3):
             if len(group) < 2:
                 continue
-            marks, part = _marks(group, "sig"), np.asarray(group.column("part"))
+            marks, part, root = _marks(group, "sig"), np.asarray(group.column("part")), np.asarray(group.column("root"))
+            if (root == root[0]).all():
+                continue
             bands, band = np.ascontiguousarray(marks).view("<u8").reshape(-1, BANDS), int(group.column("band")[0].as_py())
             wanted = np.zeros(len(group), dtype=bool)
             for i in range(len(group) - 1):
                 rows = _across(part, lo, hi, i, _alike(i, marks, bands, band, least))
+                rows = rows[root[rows] != root[i]]
                 if len(rows):
                     wanted[i] = True
                     wanted[rows] = True
@@ -119,42 +180,25 @@ def _promising(threshold: float):
 
 
 def _edges(percent: int):
-    """Edges that join the members of a group: pairs at ``percent`` or more on full sets."""
-    threshold = percent / 100
-    least = threshold - SLACK * (threshold * (1 - threshold) / (BANDS * ROWS)) ** 0.5
+    """Edges that join the components of a group's members: pairs at ``percent`` or more on full sets."""
+    least = _least_estimate(percent / 100)
     schema = pa.schema([("u", pa.int64()), ("v", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for (_, lo, hi), group in groups_of(batches, 3):
-            texts = group.column("text").combine_chunks()
-            keys = group.column("key").to_pylist()
-            sets, rows = [], []
-            for at, shingles in enumerate(shingle_sets(texts)):
-                if set_key(shingles) == keys[at]:  # an id may come with several texts
-                    sets.append(shingles)
-                    rows.append(at)
-            if len(rows) < 2:
+            group, sets = _sets(group)
+            if len(sets) < 2:
                 continue
-            group = group.take(pa.array(rows))
-            ids, part, marks = np.asarray(group.column("rep")), np.asarray(group.column("part")), _marks(group, "sig")
+            part, marks, outer = np.asarray(group.column("part")), _marks(group, "sig"), np.asarray(group.column("root"))
             bands, band = np.ascontiguousarray(marks).view("<u8").reshape(-1, BANDS), int(group.column("band")[0].as_py())
-            root = np.arange(len(ids))
+            root = np.unique(outer, return_inverse=True)[1]
             u, v = [], []
-            for i in range(len(ids) - 1):
+            for i in range(len(sets) - 1):
                 for j in _across(part, lo, hi, i, _alike(i, marks, bands, band, least)):
-                    if root[i] == root[j]:
-                        continue
-                    a, b = sets[i], sets[j]
-                    most, fewest = max(len(a), len(b)), min(len(a), len(b))
-                    if 100 * fewest < percent * most:
-                        continue
-                    at = np.searchsorted(b, a)
-                    at[at == len(b)] = 0
-                    shared = int((b[at] == a).sum())
-                    if 100 * shared >= percent * (len(a) + len(b) - shared):
+                    if root[i] != root[j] and _linked(sets[i], sets[j], percent):
                         root[root == root[j]] = root[i]
-                        u.append(ids[i])
-                        v.append(ids[j])
+                        u.append(outer[i])
+                        v.append(outer[j])
             if u:
                 yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], schema=schema)
 
@@ -175,11 +219,20 @@ def _in_blocks(rows: DataFrame, block: int) -> DataFrame:
     rows = rows.withColumn("part", F.when(blocks == 1, 0).otherwise(F.pmod(F.xxhash64("rep", F.lit(7)), blocks)).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
     lo, hi = F.least("part", "other").alias("lo"), F.greatest("part", "other").alias("hi")
-    return rows.select("bucket", lo, hi, "band", "part", "rep")
+    return rows.select("bucket", lo, hi, "band", "part", "rep", "root")
+
+
+def _with_first(rows: DataFrame, block: int) -> DataFrame:
+    """(first, part, rep): each member with the smallest one in any of its buckets, in parts of about ``block`` that have the first in them."""
+    first = rows.groupBy("bucket").agg(F.min("rep").alias("first"))
+    pairs = rows.join(first, "bucket").groupBy("rep").agg(F.min("first").alias("first")).where("rep <> first")
+    sizes = pairs.groupBy("first").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("parts"))
+    part = F.pmod(F.xxhash64("rep", F.lit(7)), "parts").cast("int").alias("part")
+    own = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")
+    return pairs.join(sizes, "first").select("first", part, "rep").union(sizes.select("first", own, F.col("first").alias("rep")))
 
 
-def _grouped(df: DataFrame, run, schema: str) -> DataFrame:
-    keys = ("bucket", "lo", "hi")
+def _grouped(df: DataFrame, run, schema: str, keys: tuple[str, ...] = ("bucket", "lo", "hi")) -> DataFrame:
     return df.repartition(*keys).sortWithinPartitions(*keys, "rep").mapInArrow(run, schema)
 
 
@@ -200,18 +253,29 @@ def near_duplicates(
     first = sketches.where("n > 0 and id is not null").groupBy("key").agg(F.min(F.struct("id", "sig")).alias("m"))
     classes = stored(spark, first.select("key", F.col("m.id").alias("rep"), F.col("m.sig").alias("sig")), "classes")
 
+    texts = texts.withColumnRenamed("id", "rep")
     rows = _buckets(classes)
-    crowds = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    members = _in_blocks(rows.join(crowds, "bucket"), block)
-    kind = "bucket long, lo int, hi int, band int, part int, rep long, key binary, sig binary"
-    placed = members.join(classes, "rep").select("bucket", "lo", "hi", "band", "part", "rep", "key", "sig")
+    crowds = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
+    rows = stored(spark, rows.join(crowds, "bucket"), "buckets")
+
+    held = _with_first(rows, block).join(classes, "rep").select("first", "part", "rep", "key", "sig")
+    near = stored(spark, _grouped(held, _near_first(percent / 100), "first long, part int, rep long, key binary, sig binary", ("first", "part")), "near-first")
+    with_text = near.drop("sig").join(texts, "rep").select("first", "part", "rep", "key", "text")
+    joined_once = components(spark, _grouped(with_text, _first_edges(percent), "u long, v long", ("first", "part")))
+    joined_once = stored(spark, joined_once.select(F.col("node").alias("rep"), "root"), "joined-once")
+
+    rows = rows.join(joined_once, "rep", "left").withColumn("root", F.coalesce("root", "rep"))
+    mixed = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("root").alias("_a"), F.max("root").alias("_b")).where("_a <> _b").select("bucket", "n")
+    members = _in_blocks(rows.join(mixed, "bucket"), block)
+    kind = "bucket long, lo int, hi int, band int, part int, rep long, root long, key binary, sig binary"
+    placed = members.join(classes, "rep").select("bucket", "lo", "hi", "band", "part", "rep", "root", "key", "sig")
     promising = stored(spark, _grouped(placed, _promising(percent / 100), kind), "promising")
-    with_text = promising.join(texts.withColumnRenamed("id", "rep"), "rep")
-    columns = ("bucket", "lo", "hi", "band", "part", "rep", "key", "sig", "text")
-    edges = _grouped(with_text.select(*columns), _edges(percent), "u long, v long")
+    columns = ("bucket", "lo", "hi", "band", "part", "rep", "root", "key", "sig", "text")
+    edges = _grouped(promising.join(texts, "rep").select(*columns), _edges(percent), "u long, v long")
 
-    roots = components(spark, edges)
-    named = classes.join(roots, classes["rep"] == roots["node"], "left").select("key", F.coalesce("root", "rep").alias("root"))
+    joined_twice = components(spark, edges).select(F.col("node").alias("once"), F.col("root").alias("twice"))
+    named = classes.select("key", "rep").join(joined_once, "rep", "left").select("key", F.coalesce("root", "rep").alias("once"))
+    named = named.join(joined_twice, "once", "left").select("key", F.coalesce("twice", "once").alias("root"))
     joined = sketches.join(named, "key", "left")
     component: Column = F.when(F.col("id").isNotNull(), F.coalesce("root", "id"))
     return joined.select(
