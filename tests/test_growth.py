@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 from viagrid import session
 from viagrid.functions import metrics
 from viagrid.functions.cleaning import whole
+from viagrid.operators.fingerprint import fingerprints
+from viagrid.plans import incremental
 
 LIMIT = "spark.sql.codegen.hugeMethodLimit"
 
@@ -27,3 +29,23 @@ def test_percent_of_rows_has_the_digits_of_percent(spark):
     df = spark.createDataFrame(pairs, "a int, b int").union(spark.range(5000).selectExpr("int(id)", "20000"))
     wrong = df.filter(~metrics.percent(F.col("a"), F.col("b")).eqNullSafe(metrics.row_percent(F.col("a"), F.col("b"))))
     assert wrong.count() == 0
+
+
+def test_reference_prints_are_of_tables_computed_once(spark, tmp_path):
+    reference = {
+        "regions": spark.createDataFrame([("1", " south west"), ("2", "wales ")], "id string, name string"),
+        "local_authorities": spark.createDataFrame([("1", "la 1")], "id string, name string"),
+        "count_points": spark.createDataFrame([("1", "a1", "51.5", "-0.1")] * 3, "count_point_id string, road_name string, latitude string, longitude string"),
+    }
+    tidy = incremental.conformed(spark, reference, str(tmp_path / "kept"))
+    prints = incremental.reference_prints(tidy)
+    assert all(df.inputFiles() for df in tidy.values())
+    assert prints == {name: fingerprints(make(reference[name])).first()["fingerprint"] for name, make in incremental.REFERENCE.items()}
+
+
+def test_print_has_the_exact_sum_of_hashes(spark):
+    rows = spark.range(50)
+    hashed = rows.select(F.xxhash64(F.lit(1), "id", F.col("id").isNull()).alias("h")).collect()
+    found = fingerprints(rows)
+    assert found.first()["fingerprint"].split(":")[1] == str(sum(r.h for r in hashed))
+    assert "sum(cast(_row" not in found._jdf.queryExecution().analyzed().toString()
