@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from viagrid.functions import calendar, cleaning, labels, metrics
+from viagrid.plans import annual
 
 KINDS = "pedal_cycles int, two_wheeled_motor_vehicles int, cars_and_taxis int, buses_and_coaches int, lgvs int, all_hgvs int"
 
@@ -157,3 +158,27 @@ def test_dirty_values_stop_no_job(spark):
     reals = df.select(cleaning.real(F.col("x")).alias("x"))
     assert sorted(r.x for r in reals.dropna().collect()) == [2.5, 1e300]
     assert reals.agg(metrics.exact_mean(F.col("x"), 6)).first()[0] == 2.5
+
+
+def test_units_are_summed_in_two_halves_without_a_decimal_per_row(spark):
+    values = [(0.07,), (-12.34,), (None,), (float("nan"),), (float("inf"),), (9.1e15,), (1234567890123456.7,), (-9.9e15,), (4e16,), (-0.0,)]
+    df = spark.createDataFrame(values, "x double")
+    old = metrics.as_units(F.col("x"), 2)
+    assert df.filter(~old.cast("bigint").eqNullSafe(metrics.long_units(F.col("x"), 2))).count() == 0
+    row = df.agg(metrics.exact_sum(F.col("x"), 2).alias("a"), (F.sum(old).cast("double") / 100.0).alias("b")).first()
+    assert row.a == row.b
+
+
+def test_totals_from_bitmaps_are_the_regional_totals(spark, values):
+    kinds = ", ".join(f"{name} int" for name in metrics.VEHICLE_KINDS)
+    schema = f"count_point_id int, year int, region_id int, road_type string, {kinds}, all_motor_vehicles int, total_vehicles long, hgv_percentage double"
+    rows = [(p, 2019 + p % 2, 1 + r, road, 1, 2, 3, 4, 5, n, 6, 21, n / 7 if n else None)
+            for p, r, road, n in [(1, 0, "Major", 3), (1, 1, "Major", 4), (1, 1, "Major", 0), (2, 0, None, 5), (-1, 2, "Minor", 6), (0, 3, "Minor", 7), (40000, 0, "Major", 8)]]
+    counts = spark.createDataFrame([*rows, (None, 2019, 1, "Lone", *rows[0][4:])], schema)
+    regions = spark.createDataFrame([(1, "A"), (2, "A"), (3, None)], "id int, name string")
+    whole = annual.regional_totals(counts, regions)
+    made = annual.totals_with_points(counts, regions, annual.point_bitmaps(counts, regions))
+    assert made.columns == whole.columns and [f.dataType for f in made.schema] == [f.dataType for f in whole.schema]
+    assert values(made) == values(whole) and len(values(whole)) == 5
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert "distinct" not in plan and "region_id" in plan

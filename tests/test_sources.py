@@ -438,3 +438,28 @@ def test_only_loaded_partitions_are_analysed(spark, tmp_path):
     assert catalog.refresh_partitions(spark, "t_parts.counts", "year", [2001, 2003]) == (2, 28)
     assert catalog.refresh_partitions(spark, "t_parts.counts", "year") == (0, 28)
     assert catalog.refresh_partitions(spark, "t_parts.counts", "year", [2000, 2001, 2002, 2003]) == (4, spark.table("t_parts.counts").count())
+
+
+def test_a_rename_reads_raw_counts_of_new_years_alone(spark, tmp_path, values, monkeypatch):
+    step, whole = str(tmp_path / "step"), str(tmp_path / "whole")
+    both, plans, written = raw_counts(spark, [2019, 2020]), {}, sinks.write_table
+
+    def watched(df, path, *args, **options):
+        plans[path] = df._jdf.queryExecution().executedPlan().toString()
+        written(df, path, *args, **options)
+
+    incremental.run(spark, raw_counts(spark, [2019]), areas(spark, "old"), step)
+    monkeypatch.setattr(sinks, "write_table", watched)
+    broken_off(monkeypatch, "impact_from", spark, both, areas(spark, "new"), step)
+    assert "PartitionFilters: [isnotnull(load_year" in plans.pop(f"{step}/silver/counts")
+    assert incremental.run(spark, both, areas(spark, "new"), step) == "LOADED"
+    assert "PartitionFilters: [isnotnull(load_year" in plans[f"{step}/silver/counts"]
+    incremental.run(spark, both, areas(spark, "new"), whole)
+    assert gold_of(spark, step, values) == gold_of(spark, whole, values)
+
+
+def test_only_a_run_that_replaced_single_years_leaves_silver_whole():
+    assert not incremental._torn({})
+    assert not incremental._torn({("counts", 2020): None, (incremental.SILVER_YEARS, None): None})
+    assert incremental._torn({("counts", 2020): None})  # noted by a version that told nothing of silver
+    assert incremental._torn({(incremental.SILVER_YEARS, None): None, (incremental.SILVER_WHOLE, None): None})
