@@ -6,7 +6,7 @@ from viagrid import session
 from viagrid.functions import metrics
 from viagrid.functions.cleaning import whole
 from viagrid.operators.fingerprint import fingerprints
-from viagrid.plans import incremental
+from viagrid.plans import incremental, silver
 
 LIMIT = "spark.sql.codegen.hugeMethodLimit"
 
@@ -24,6 +24,15 @@ def test_text_with_a_point_or_a_word_is_not_tried_as_an_int(spark):
     assert "contains(" in df._jdf.queryExecution().analyzed().toString().lower()
 
 
+def test_annual_silver_of_stored_text_is_one_short_method(spark, tmp_path):
+    columns = [*silver.ANNUAL_COUNTS, "road_category"]
+    spark.range(1).selectExpr(*(f"cast(id as string) as {name}" for name in columns)).write.parquet(str(tmp_path / "raw"))
+    plan = silver.annual_counts(spark.read.parquet(str(tmp_path / "raw")))._jdf.queryExecution().executedPlan()
+    stages = spark._jvm.org.apache.spark.sql.execution.debug.package.codegenStringSeq(plan)
+    sizes = [stages.apply(n)._3().maxMethodCodeSize() for n in range(stages.size())]
+    assert sizes and max(sizes) < int(session.DEFAULTS[LIMIT]) - 200  # room for what a write adds
+
+
 def test_percent_of_rows_has_the_digits_of_percent(spark):
     pairs = [(a, b) for a in (0, 1, -3, 333, 2147483647, None) for b in (0, 1, 7, 200, 20000, 66667, -8, None)]
     df = spark.createDataFrame(pairs, "a int, b int").union(spark.range(5000).selectExpr("int(id)", "20000"))
