@@ -58,3 +58,35 @@ def test_print_has_the_exact_sum_of_hashes(spark):
     found = fingerprints(rows)
     assert found.first()["fingerprint"].split(":")[1] == str(sum(r.h for r in hashed))
     assert "sum(cast(_row" not in found._jdf.queryExecution().analyzed().toString()
+
+
+def test_unchanged_reference_tables_are_not_written_again(spark, tmp_path, values):
+    def reference(point, region="wales "):
+        return {
+            "regions": spark.createDataFrame([("1", region)], "id string, name string"),
+            "local_authorities": spark.createDataFrame([("1", "la 1")], "id string, name string"),
+            "count_points": spark.createDataFrame([("1", point, "51.5", "-0.1")] * 2, "count_point_id string, road_name string, latitude string, longitude string"),
+        }
+
+    def counts(*years):
+        columns = {name: F.lit("1") for name in (*silver.ANNUAL_COUNTS, "road_category")}
+        rows = spark.createDataFrame([(str(year),) for year in years], "year string")
+        return rows.withColumns({**columns, "year": F.col("year"), "latitude": F.lit("51.5")})
+
+    def files(layer, name):
+        return sorted(spark.read.parquet(f"{base}/{layer}/{name}").inputFiles())
+
+    base = str(tmp_path / "base")
+    options = {"first_day_year": None}
+    incremental.run(spark, counts(2019), reference("a1"), base, **options)
+    before = {(layer, name): files(layer, name) for layer in ("bronze", "silver") for name in incremental.REFERENCE}
+    assert incremental.run(spark, counts(2019, 2020), reference("a1"), base, **options) == "LOADED"
+    assert {key: files(*key) for key in before} == before
+    assert incremental.run(spark, counts(2019, 2020), reference("a1"), base, **options) == "NO_NEW_DATA"
+    assert incremental.run(spark, counts(2019, 2020), reference("a2"), base, **options) == "LOADED"
+    after = {key: files(*key) for key in before}
+    assert {name for layer, name in before if after[layer, name] != before[layer, name]} == {"count_points"}
+    assert values(spark.read.parquet(f"{base}/silver/count_points"), "road_name") == [("A2",)]
+    assert incremental.run(spark, counts(2019, 2020, 2021), reference("a2", "scotland"), base, **options) == "LOADED"
+    assert values(spark.read.parquet(f"{base}/bronze/regions"), "name") == [("scotland",)]
+    assert values(incremental.gold_table(spark, base, "fact_traffic_summary"), "region_name", "year") == [("Scotland", y) for y in (2019, 2020, 2021)]
