@@ -1,5 +1,9 @@
 """Work that grows faster than a run's input is kept out of its steps."""
 
+import threading
+import time
+
+import pytest
 from pyspark.sql import functions as F
 
 from viagrid import session
@@ -90,3 +94,62 @@ def test_unchanged_reference_tables_are_not_written_again(spark, tmp_path, value
     assert incremental.run(spark, counts(2019, 2020, 2021), reference("a2", "scotland"), base, **options) == "LOADED"
     assert values(spark.read.parquet(f"{base}/bronze/regions"), "name") == [("scotland",)]
     assert values(incremental.gold_table(spark, base, "fact_traffic_summary"), "region_name", "year") == [("Scotland", y) for y in (2019, 2020, 2021)]
+
+
+def test_jobs_side_by_side_keep_their_order_and_raise_the_first_error(spark):
+    met = threading.Barrier(2, timeout=20)
+
+    def job(n):
+        met.wait()  # passes if two are under way at once
+        return spark.range(n).count()
+
+    assert session.side_by_side(spark, [lambda n=n: job(n) for n in (3, 1, 4, 2)], 2) == [3, 1, 4, 2]
+    begun = []
+
+    def failing(n):
+        begun.append(n)
+        time.sleep(1 / n)
+        raise ValueError(n)
+
+    with pytest.raises(ValueError, match="^1$"):
+        session.side_by_side(spark, [lambda n=n: failing(n) for n in range(1, 40)], 2)
+    assert len(begun) < 39
+
+
+def test_domain_run_writes_side_by_side_and_reads_its_years_from_silver(spark, tmp_path, values, monkeypatch):
+    from checks import standins
+    from viagrid.plans import dates, domain
+    from viagrid.sources import sinks
+
+    events = spark.range(300).selectExpr(
+        "id as event_id", "timestamp'2007-05-01 00:00:00' + make_interval(0, 0, 0, 0, cast(id % 50 as int)) as ts", "id % 20 as user_id",
+        "'view' as event_type", "double(id % 90) as value")
+    orders = spark.range(60).selectExpr("id as o_orderkey", "timestamp'2019-05-01 00:00:00' as o_orderdate", "id * 31 as o_custkey", "'1-URGENT' as o_orderpriority")
+    lineitem = spark.range(200).selectExpr(
+        "id % 70 as l_orderkey", "cast(id as int) as l_linenumber", "id as l_partkey", "id as l_suppkey", "double(id % 50) as l_quantity", "double(id) as l_extendedprice")
+    raw = {
+        "counts": standins.hourly_raw(events),
+        "count_points": standins.hourly_points_raw(spark.range(20).selectExpr("id as c_custkey", "id as c_nationkey", "'BUILDING' as c_mktsegment")),
+        "regions": standins.regions_raw(spark.range(3).selectExpr("id as r_regionkey", "'WALES' as r_name")),
+        "local_authorities": standins.authorities_raw(spark.range(3).selectExpr("id as n_nationkey", "'LEEDS' as n_name", "id as n_regionkey")),
+        "collisions": standins.collisions_raw(orders), "vehicles": standins.vehicles_raw(lineitem), "casualties": standins.casualties_raw(lineitem),
+    }
+
+    at, most, lock, write = [0], [0], threading.Lock(), sinks.write_table
+
+    def counted(*args, **options):
+        with lock:
+            at[0] += 1
+            most[0] = max(most[0], at[0])
+        try:
+            write(*args, **options)
+        finally:
+            with lock:
+                at[0] -= 1
+
+    monkeypatch.setattr(sinks, "write_table", counted)
+    seen = []
+    paths = domain.run(spark, raw, str(tmp_path), lambda counts: dates.spine_of(seen.append(counts) or counts))
+    assert most[0] > 1
+    assert all("/silver/counts/" in file for file in seen[0].inputFiles())
+    assert values(spark.read.parquet(paths["dim_date"])) == values(dates.date_dim_fiscal(dates.spine_of(silver.hourly_counts(raw["counts"]))))
